@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from string import Template
 
+from tidegauge.plans.fixtures import TIE_SHIFT
+
 # Views shared by the statements; each is the SQL form of a function in fixtures.py.
 VIEWS = {
     "sensor_rows": """
@@ -144,13 +146,16 @@ PARTS = {
 
 
 def sql(body: str, *views: str) -> str:
-    """A statement over the named views, with the shared snippets filled in."""
+    """A statement over the named views, with the shared snippets filled in.
+
+    ``round`` in lower case also adds the shift ``fixtures.plain`` adds.
+    """
     needed: list[str] = []
     for view in views:
         needed.extend(v for v in (*BASE.get(view, ()), view) if v not in needed)
     heads = ", ".join(f"{v} as ({VIEWS[v]})" for v in needed)
     text = f"with {heads} {body}" if needed else body
-    return Template(text).substitute(PARTS)
+    return Template(text).substitute(PARTS).replace("round(", f"round({TIE_SHIFT} + ")
 
 
 SCORED = """window_end, ts, device_id, location, model, metric, value,
@@ -181,7 +186,7 @@ LIMIT_SCORED = """select r.device_id, r.metric, r.ts, r.location, r.model, r.val
     r.value < lower or r.value > upper as out_of_range
     from sensor_rows r left join limits l on r.device_id = l.device_id and r.metric = l.metric"""
 PARSED = """ts, device_id, location, model, n_metrics, names, round(total, 6) as total"""
-ANOMALY_TEXT = """from (select *, cast(round(zscore, 4) as varchar) as s, $severity as severity
+ANOMALY_TEXT = """from (select *, cast(ROUND(zscore, 4) as varchar) as s, $severity as severity
     from scored where abs(zscore) >= 2.0)"""
 
 
@@ -349,7 +354,7 @@ ORACLES: dict[str, str] = {
     ),
     "offline_stats": sql(
         """select cast(ts as date) as dt, device_id, metric, count(*) as n,
-            round(avg(value), 4) as mean, round(stddev_samp(value), 4) as stddev
+            round(avg(value), 6) as mean, round(stddev_samp(value), 6) as stddev
         from message_rows group by all""",
         "message_rows",
     ),
@@ -368,7 +373,7 @@ ORACLES: dict[str, str] = {
     ),
     "trend_rollup": sql(
         """select cast(date_trunc('month', ts) as date) as period, device_id, metric,
-            count(*) as n, round(avg(value), 4) as mean from message_rows group by 1, 2, 3""",
+            count(*) as n, round(avg(value), 6) as mean from message_rows group by 1, 2, 3""",
         "message_rows",
     ),
     "trend_weekly": sql(
@@ -449,7 +454,7 @@ ORACLES: dict[str, str] = {
     ),
     "alert_lines": sql(
         """select concat('[ANOMALY ALERT] ts=', t, ' device_id=d', cast(user_id as varchar),
-            ' metric=', m, ' score=', cast(round(score, 4) as varchar), ' flag=', f) as value
+            ' metric=', m, ' score=', cast(ROUND(score, 4) as varchar), ' flag=', f) as value
         from (select event_id, user_id,
                 case event_id % 7 when 4 then 'unknown-ts'
                     else concat('t', cast(event_id as varchar)) end as t,
@@ -457,7 +462,7 @@ ORACLES: dict[str, str] = {
                 case when event_id % 7 in (0, 4) then '1' else 'None' end as f,
                 case event_id % 7 when 2 then -value / 20 else value / 20 end as score
             from events)
-        where event_id % 7 in (0, 4) or (event_id % 7 = 2 and abs(round(score, 4)) >= 3.0)"""
+        where event_id % 7 in (0, 4) or (event_id % 7 = 2 and abs(ROUND(score, 4)) >= 3.0)"""
     ),
     "alerts_by_threshold": sql(
         """select round(case event_id % 7 when 2 then -value / 20 else value / 20 end, 4) as score,

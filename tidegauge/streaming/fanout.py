@@ -51,7 +51,7 @@ def fan_out(sinks: Iterable[Sink]) -> BatchWriter:
 def _deliver(sink: Sink, batch: DataFrame, batch_id: int) -> None:
     try:
         sink.write(sink.view(batch), batch_id)
-    except Exception:
+    except Exception as error:
         if sink.required:
             raise
-        log.warning("sink %s failed on batch %s", sink.name, batch_id, exc_info=True)
+        log.warning("sink %s failed on batch %s: %s", sink.name, batch_id, error)
