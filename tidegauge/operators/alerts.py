@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge import schemas
+from tidegauge.functions.once import with_json
 from tidegauge.functions.values import number_text, text_or, to_double
 from tidegauge.settings import ALERT_THRESHOLD
 
@@ -18,23 +19,20 @@ def read_events(messages: DataFrame, value: str = "value") -> DataFrame:
     object are skipped.
     """
     text = F.col(value).cast("string")
-    events = messages.filter(text.rlike(r"^\s*\{")).select(
-        F.from_json(text, schemas.ALERT_EVENT).alias("e")
-    )
-    nested = F.col("e.score").isNull() & F.col("e.anomaly").isNotNull()
-    score = F.when(nested, F.col("e.anomaly.score")).otherwise(F.col("e.score"))
-    flag = F.when(nested, F.col("e.anomaly.is_anomaly")).otherwise(F.col("e.is_anomaly"))
+    objects = messages.filter(text.rlike(r"^\s*\{"))
+    events = with_json(objects, text, schemas.ALERT_EVENT)
+    nested = F.col("score").isNull() & F.col("anomaly").isNotNull()
+    score = F.when(nested, F.col("anomaly.score")).otherwise(F.col("score"))
+    flag = F.when(nested, F.col("anomaly.is_anomaly")).otherwise(F.col("is_anomaly"))
     switch = F.when(F.lower(flag) == "true", F.lit("1")).when(F.lower(flag) == "false", F.lit("0"))
+    device = text_or(F.col("device_id"), text_or(F.col("deviceId"), "unknown-device"))
+    metric = text_or(F.col("metric"), text_or(F.col("anomaly.metric"), "unknown-metric"))
     return events.select(
         to_double(score).alias("score"),
         F.coalesce(switch, flag).try_cast("double").cast("int").alias("flag"),
-        text_or(F.col("e.ts"), text_or(F.col("e.event_ts"), "unknown-ts")).alias("ts"),
-        text_or(
-            F.col("e.device_id"), text_or(F.col("e.deviceId"), "unknown-device")
-        ).alias("device_id"),
-        text_or(
-            F.col("e.metric"), text_or(F.col("e.anomaly.metric"), "unknown-metric")
-        ).alias("metric"),
+        text_or(F.col("ts"), text_or(F.col("event_ts"), "unknown-ts")).alias("ts"),
+        device.alias("device_id"),
+        metric.alias("metric"),
     )
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge import schemas
+from tidegauge.functions.once import with_computed, with_json
 from tidegauge.functions.times import iso_utc
 from tidegauge.functions.values import clamp, text_or, to_double
 from tidegauge.operators.parsing import numeric_entries
@@ -45,24 +46,19 @@ def read_rest_payloads(bodies: DataFrame, value: str = "value") -> DataFrame:
 
     Unlike a message on the topic, a request with one bad number is refused whole.
     """
-    text = F.col(value).cast("string")
-    parsed = bodies.withColumn("p", F.from_json(text, schemas.REST_PAYLOAD))
-    metrics = F.col("p.metrics")
-    flat = {name: to_double(F.col(f"p.{name}")) for name in FLAT_METRICS}
-    bad_entry = F.exists(F.map_values(metrics), lambda v: to_double(v).isNull())
-    bad_flat = F.lit(False)
+    others = tuple(c for c in bodies.columns if c != value)
+    parsed = with_json(bodies, F.col(value).cast("string"), schemas.REST_PAYLOAD, others)
+    metrics = F.col("metrics")
+    flat = {name: to_double(F.col(name)) for name in FLAT_METRICS}
+    numbers = numeric_entries(metrics)
+    # an entry that is no number is missing from the converted map
+    bad = F.coalesce(F.size(numbers) < F.size(metrics), F.lit(False))
     for name, number in flat.items():
-        bad_flat = bad_flat | (F.col(f"p.{name}").isNotNull() & number.isNull())
-    others = [c for c in bodies.columns if c != value]
-    return parsed.select(
-        *others,
-        *[F.col(f"p.{name}").alias(name) for name in ("device_id", "ts", "location", "model")],
-        numeric_entries(metrics).alias("metrics"),
-        *[number.alias(name) for name, number in flat.items()],
-        F.when(F.coalesce(bad_entry, F.lit(False)) | bad_flat, F.lit("invalid number")).alias(
-            "problem"
-        ),
-    )
+        bad = bad | (F.col(name).isNotNull() & number.isNull())
+    columns = {
+        "metrics": numbers, **flat, "problem": F.when(bad, F.lit("invalid number"))
+    }
+    return with_computed(parsed, columns, [*others, "device_id", "ts", "location", "model"])
 
 
 def _checked_rest(payloads: DataFrame) -> DataFrame:
@@ -74,7 +70,7 @@ def _checked_rest(payloads: DataFrame) -> DataFrame:
         earlier,
         F.when(F.size(merged) == 0, F.lit("no metrics")),
     )
-    return payloads.withColumns({"reason": reason, "merged": merged})
+    return with_computed(payloads, {"reason": reason, "merged": merged}, payloads.columns)
 
 
 def normalize_rest(
@@ -115,30 +111,27 @@ def normalize_mqtt(
     object, or has a ``raw`` member, keeps that text in column ``raw``.
     """
     text = F.trim(F.make_valid_utf8(F.col(value).cast("string")), F.lit(WHITESPACE))
-    opened = records.select(
-        *keep,
-        F.col(topic).alias("topic"),
-        F.col(received).alias("received"),
-        text.alias("text"),
-        F.from_json(text, schemas.MQTT_PAYLOAD).alias("p"),
+    trimmed = records.select(
+        *keep, F.col(topic).alias("topic"), F.col(received).alias("received"), text.alias("text")
     )
-    is_object = F.json_object_keys("text").isNotNull() & F.col("text").endswith("}")
-    flat = {name: to_double(F.col(f"p.{name}")) for name in FLAT_METRICS}
-    metrics = clamp_percentages(
-        with_flat_metrics(numeric_entries(F.col("p.metrics")), flat)
+    opened = with_json(
+        trimmed, F.col("text"), schemas.MQTT_PAYLOAD, (*keep, "topic", "received", "text")
     )
-    raw = F.when(is_object, F.col("p.raw")).otherwise(F.col("text"))
+    is_object = F.json_object_keys("text").isNotNull() & F.col("text").endswith("}")
+    flat = {name: to_double(F.col(name)) for name in FLAT_METRICS}
+    metrics = clamp_percentages(with_flat_metrics(numeric_entries(F.col("metrics")), flat))
+    raw = F.when(is_object, F.col("raw")).otherwise(F.col("text"))
     from_topic = F.coalesce(
         F.try_element_at(F.split("topic", "/"), F.lit(2)), F.lit("mqtt-device")
     )
-    return opened.withColumn("metrics", metrics).select(
+    return opened.withColumn("numbers", metrics).select(
         *keep,
-        text_or(F.col("p.ts"), iso_utc(F.col("received"))).alias("ts"),
-        text_or(F.col("p.device_id"), from_topic).alias("device_id"),
-        text_or(F.col("p.location"), DEFAULT_LOCATION).alias("location"),
-        text_or(F.col("p.model"), DEFAULT_MODEL).alias("model"),
-        "metrics",
-        F.when(F.size("metrics") == 0, raw).alias("raw"),
+        text_or(F.col("ts"), iso_utc(F.col("received"))).alias("ts"),
+        text_or(F.col("device_id"), from_topic).alias("device_id"),
+        text_or(F.col("location"), DEFAULT_LOCATION).alias("location"),
+        text_or(F.col("model"), DEFAULT_MODEL).alias("model"),
+        F.col("numbers").alias("metrics"),
+        F.when(F.size("numbers") == 0, raw).alias("raw"),
         F.lit(SOURCE_MQTT).alias("source"),
         "topic",
     )

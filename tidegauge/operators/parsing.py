@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge import schemas
+from tidegauge.functions.once import with_json
 from tidegauge.functions.times import parse_ts
 from tidegauge.functions.values import to_double
 
@@ -21,14 +22,10 @@ def parse_messages(
     """
     text = F.col(value).cast("string")
     if mode == "strict":
-        return raw.select(
-            *keep, F.from_json(text, schemas.SENSOR_MESSAGE).alias("m")
-        ).select(*keep, "m.*")
+        return with_json(raw, text, schemas.SENSOR_MESSAGE, keep)
     if mode != "lenient":
         raise ValueError(f"mode must be 'strict' or 'lenient', not {mode!r}")
-    parsed = raw.select(
-        *keep, F.from_json(text, schemas.SENSOR_MESSAGE_TEXT).alias("m")
-    ).select(*keep, "m.*")
+    parsed = with_json(raw, text, schemas.SENSOR_MESSAGE_TEXT, keep)
     return parsed.withColumn("metrics", numeric_entries(F.col("metrics")))
 
 

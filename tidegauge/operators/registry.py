@@ -32,12 +32,10 @@ def insert_if_absent(
 ) -> DataFrame:
     """Rows to append: first of each new key; keys already present are left alone.
 
-    Rows with a null key never conflict and are all appended.
+    Rows without a key are left out, as the registry tables forbid them.
     """
-    keyed = first_per_key(incoming.filter(F.col(key).isNotNull()), key, position)
-    new = keyed.join(existing.select(key), key, "left_anti")
-    unkeyed = incoming.filter(F.col(key).isNull())
-    return new.select(*incoming.columns).unionByName(unkeyed).drop(position)
+    candidates = first_per_key(incoming.filter(F.col(key).isNotNull()), key, position)
+    return candidates.join(existing.select(key), key, "left_anti").drop(position)
 
 
 def valid_references(rows: DataFrame, parents: DataFrame, key: str) -> DataFrame:

@@ -72,8 +72,10 @@ def sensor_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = table(spark, sf_dir, "lineitem")
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    places = supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-    return line.join(places, F.col("l_suppkey") == F.col("s_suppkey")).select(
+    placed = line.join(supplier, F.col("l_suppkey") == F.col("s_suppkey")).join(
+        nation, F.col("s_nationkey") == F.col("n_nationkey")
+    )
+    return placed.select(
         F.col("l_shipdate").cast("timestamp").alias("ts"),
         F.concat(F.lit("sup-"), "l_suppkey").alias("device_id"),
         F.col("n_name").alias("location"),

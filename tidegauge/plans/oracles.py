@@ -185,6 +185,26 @@ LIMIT_SCORED = """select r.device_id, r.metric, r.ts, r.location, r.model, r.val
         then abs(r.value - mean) / greatest(coalesce(stddev, 0.05), 0.05) end, 6) as abs_z,
     r.value < lower or r.value > upper as out_of_range
     from sensor_rows r left join limits l on r.device_id = l.device_id and r.metric = l.metric"""
+EWMA = """, averaged as (
+            select *, list_reduce(list(mean) over s, lambda e, x: 0.3 * x + 0.7 * e) as ewma
+            from features
+            window s as (partition by device_id, metric order by window_start
+                rows between unbounded preceding and current row)
+        ), stepped as (
+            select *, lag(ewma) over s as before,
+                0.7 * coalesce(pow(mean - lag(ewma) over s, 2), 0) as step
+            from averaged window s as (partition by device_id, metric order by window_start)
+        ), spread as (
+            select *, list_reduce(list_prepend(0.0, list(step) over s),
+                lambda v, x: 0.3 * x + 0.7 * v) as variance
+            from stepped
+            window s as (partition by device_id, metric order by window_start
+                rows between unbounded preceding and current row)
+        )
+        select device_id, metric, window_start, round(mean, 6) as mean, round(ewma, 6) as ewma,
+            round((mean - before) / greatest(0.05, sqrt(lag(variance) over (
+                partition by device_id, metric order by window_start))), 6) as score
+        from spread"""
 PARSED = """ts, device_id, location, model, n_metrics, names, round(total, 6) as total"""
 ANOMALY_TEXT = """from (select *, cast(ROUND(zscore, 4) as varchar) as s, $severity as severity
     from scored where abs(zscore) >= 2.0)"""
@@ -397,29 +417,7 @@ ORACLES: dict[str, str] = {
         from sensor_rows group by date_trunc('hour', ts), device_id, location, model, metric""",
         "sensor_rows",
     ),
-    "ewma_scores": sql(
-        """, averaged as (
-            select *, list_reduce(list(mean) over s, lambda e, x: 0.3 * x + 0.7 * e) as ewma
-            from features
-            window s as (partition by device_id, metric order by window_start
-                rows between unbounded preceding and current row)
-        ), stepped as (
-            select *, lag(ewma) over s as before,
-                0.7 * coalesce(pow(mean - lag(ewma) over s, 2), 0) as step
-            from averaged window s as (partition by device_id, metric order by window_start)
-        ), spread as (
-            select *, list_reduce(list_prepend(0.0, list(step) over s),
-                lambda v, x: 0.3 * x + 0.7 * v) as variance
-            from stepped
-            window s as (partition by device_id, metric order by window_start
-                rows between unbounded preceding and current row)
-        )
-        select device_id, metric, window_start, round(mean, 6) as mean, round(ewma, 6) as ewma,
-            round((mean - before) / greatest(0.05, sqrt(lag(variance) over (
-                partition by device_id, metric order by window_start))), 6) as score
-        from spread""",
-        "features",
-    ),
+    "ewma_scores": sql(EWMA, "features"),
     "anomaly_messages": sql(
         f"""select cast(null as varchar) as key, concat('{{"ts":"',
             rtrim(rtrim(strftime(ts, '%Y-%m-%d %H:%M:%S.%f'), '0'), '.'), '","device_id":"', device_id,
@@ -592,6 +590,9 @@ ORACLES: dict[str, str] = {
     "stream_window_features": sql(
         f"{FEATURES} where window_end <= $open", "features", "closing"
     ),
+    "stream_ewma": sql(
+        f"{EWMA} where window_start + interval '6 hours' <= $open", "features", "closing"
+    ),
     "stream_archive": sql(
         f"""select {PARSED}, case when ts <> 'bad' then event_time end as event_ts,
             case when ts <> 'bad' then cast(event_time as date) end as dt

@@ -26,6 +26,7 @@ from tidegauge.plans import fixtures as fx
 from tidegauge.session import scratch_dir, tune
 from tidegauge.sinks import files
 from tidegauge.sources import tables
+from tidegauge.streaming import ewma as stateful_ewma
 from tidegauge.streaming import runner
 from tidegauge.streaming.fanout import Sink, fan_out
 
@@ -640,3 +641,10 @@ def stream_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
         one = reader(path).groupBy().agg(F.lit(name).alias("sink"), F.count("*").alias("n"))
         counts = one if counts is None else counts.unionByName(one)
     return counts
+
+
+@query
+def stream_ewma(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fx.sensor_rows(spark, sf_dir, True)
+    means = metrics.window_features(rows, "6 hours", watermark=DELAY)
+    return fx.plain(runner.drained(stateful_ewma.ewma_scores(means), "ewma"))
