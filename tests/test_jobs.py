@@ -1,5 +1,4 @@
 import json
-import os
 
 import pytest
 
@@ -13,14 +12,13 @@ from tidegauge.streaming import runner
 from tidegauge.streaming.fanout import Sink
 
 
-class OneFile:
-    def __init__(self, path):
-        self.path = path
-
-    def __call__(self, text):
-        with open(self.path, "a") as f:
+def one_file(path):
+    def send(text):
+        with open(path, "a") as f:
             f.write(text + "\n")
 
+    return send
+
 
 @pytest.fixture
 def raw(spark, tmp_path):
@@ -32,7 +30,10 @@ def raw(spark, tmp_path):
                     "metrics": {"t": 500.0 if i == 7 else 20.0, "h": 50.0}})
         for i in range(100)
     ]
-    bodies += ["broken", json.dumps({"ts": at(10).isoformat(), "device_id": "d", "metrics": {"t": 1}})]
+    later = {"ts": at(10).isoformat(), "device_id": "d", "metrics": {"t": 1}}
+    # only readings with complete keys move the watermark of the statistics
+    complete = {**later, "ts": at(9).isoformat(), "location": "l", "model": "m"}
+    bodies += ["broken", json.dumps(later), json.dumps(complete)]
     (folder / "0.txt").write_text("\n".join(bodies))
     return topics.file_stream(spark, str(folder), "value string", "text")
 
@@ -41,11 +42,11 @@ def test_archive_then_offline(spark, raw, tmp_path):
     path, stats = str(tmp_path / "lake"), str(tmp_path / "stats")
     runner.drain(jobs.archive(raw, path, str(tmp_path / "checkpoint")))
     lake = tables.lake(spark, path)
-    assert lake.count() == 101
+    assert lake.count() == 102
     jobs.offline_statistics(lake, stats)
     jobs.offline_statistics(lake, stats, since="2026-01-13")
     got = {r["metric"]: r["n"] for r in spark.read.parquet(stats).collect()}
-    assert got == {"t": 101, "h": 100}
+    assert got == {"t": 102, "h": 100}
 
 
 def test_speed(spark, raw, tmp_path):
@@ -57,21 +58,23 @@ def test_speed(spark, raw, tmp_path):
     assert json.loads(body)["metric"] == "t" and json.loads(body)["value"] == 500.0
 
 
-def test_alerts(spark, tmp_path, capfd):
+def test_alerts(spark, tmp_path):
     folder = tmp_path / "anomalies"
     folder.mkdir()
     (folder / "0.txt").write_text('{"ts":"t","device_id":"d","metric":"m","score":4,"is_anomaly":1}\n{}')
     found = topics.file_stream(spark, str(folder), "value string", "text")
-    runner.drain(jobs.alerting(found, str(tmp_path / "checkpoint")))
-    assert "[ANOMALY ALERT] ts=t device_id=d metric=m score=4.0 flag=1" in capfd.readouterr().out
+    lines = runner.drained(jobs.alert_rows(found), "alerts")
+    assert column(lines, "value") == [
+        "[ANOMALY ALERT] ts=t device_id=d metric=m score=4.0 flag=1"
+    ]
 
 
 def test_live_metrics_do_not_wait(raw, tmp_path):
     target = str(tmp_path / "lines")
-    runner.drain(jobs.live_metrics(raw, OneFile(target), str(tmp_path / "checkpoint")))
+    runner.drain(jobs.live_metrics(raw, one_file(target), str(tmp_path / "checkpoint")))
     with open(target) as f:
         lines = f.read().splitlines()
-    assert len(lines) == 101
+    assert len(lines) == 102
     assert "sensor_metrics,device_id=d,location=unknown,model=unknown t=1.0" in "\n".join(lines)
 
 

@@ -105,3 +105,12 @@ def test_inspection(spark):
     assert got[1]["value"] == "��ab"
     assert got[0]["kafka_ts"] == "2026-01-13T00:00:00.000000+00:00"
     assert messages.inspect_messages(df, 0).count() == 3
+
+
+def test_far_future_timestamps_do_not_fail(spark):
+    df = texts(spark, ["9999-12-31T00:00:00Z"]).selectExpr(
+        "cast(value as timestamp) as ts", "'d' as device_id", "'l' as location", "'m' as model",
+        "'t' as metric", "1.0D as value",
+    )
+    (line,) = column(messages.metric_lines(df), "value")
+    assert line.endswith(" t=1.0 253402214400000000000")

@@ -108,9 +108,9 @@ def test_mqtt_record_on_the_wire(spark):
         [(at(), "iot", b"hello"), (at(), "iot/d", b'{"temperature":1}')],
         "received_at timestamp, topic string, payload binary",
     )
-    wire = messages.sensor_records(normalize.mqtt_wire_metrics(normalize.normalize_mqtt(df)))
+    wire = messages.sensor_records(normalize.normalize_mqtt(df))
     rows = {r["key"]: json.loads(r["value"])["metrics"] for r in wire.collect()}
-    assert rows == {"mqtt-device": {"raw": "hello"}, "d": {"temperature": "1.0"}}
+    assert rows == {"mqtt-device": {"raw": "hello"}, "d": {"temperature": 1.0}}
 
 
 def test_board_requests(spark):

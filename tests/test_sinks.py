@@ -1,4 +1,5 @@
 import os
+import uuid
 from datetime import date
 
 import pytest
@@ -10,26 +11,24 @@ from tidegauge.sinks import files, records, timeseries
 from tidegauge.sources import tables, topics
 
 
-class Folder:
-    """Transport that keeps every request as a file."""
-
-    def __init__(self, path):
-        self.path = path
+def one_file_per_request(folder):
+    def send(text):
+        with open(os.path.join(folder, uuid.uuid4().hex), "w") as f:
+            f.write(text)
 
-    def __call__(self, text):
-        import uuid
+    return send
 
-        with open(os.path.join(self.path, uuid.uuid4().hex), "w") as f:
-            f.write(text)
 
+def refusing():
+    def send(_):
+        raise RuntimeError("status 400")
 
-def refuse(_):
-    raise timeseries.DeliveryError("status 400")
+    return send
 
 
 def test_delivery_in_requests(spark, tmp_path):
     lines = texts(spark, [f"m,a=b v={i} {i}" for i in range(25)]).coalesce(1)
-    assert timeseries.deliver_lines(lines, Folder(str(tmp_path)), lines_per_request=10) == 25
+    assert timeseries.deliver_lines(lines, one_file_per_request(str(tmp_path)), lines_per_request=10) == 25
     requests = [f.read_text().split("\n") for f in tmp_path.iterdir()]
     assert sorted(len(r) for r in requests) == [5, 10, 10]
     assert len({line for r in requests for line in r}) == 25
@@ -37,9 +36,9 @@ def test_delivery_in_requests(spark, tmp_path):
 
 def test_delivery_of_nothing_and_refusal(spark, tmp_path):
     none = texts(spark, ["x"]).filter("false")
-    assert timeseries.deliver_lines(none, Folder(str(tmp_path))) == 0
+    assert timeseries.deliver_lines(none, one_file_per_request(str(tmp_path))) == 0
     with pytest.raises(Exception, match="status 400"):
-        timeseries.deliver_lines(texts(spark, ["x"]), refuse)
+        timeseries.deliver_lines(texts(spark, ["x"]), refusing())
 
 
 def test_http_target():
@@ -109,7 +108,23 @@ def test_checkpoint_location():
         look("job", {})
 
 
-def test_scratch_folders_follow_the_session(spark, conf):
-    conf("spark.checkpoint.dir", "/shared/checkpoints")
-    one, two = scratch_dir(spark, "x"), scratch_dir(spark, "x")
+class Session:
+    """Just the settings of a session."""
+
+    def __init__(self, **settings):
+        self.settings, self.conf = settings, self
+
+    def get(self, key, default=None):
+        return self.settings.get(key, default)
+
+    def set(self, key, value):
+        self.settings[key] = value
+
+
+def test_scratch_folders_follow_the_session():
+    shared = Session(**{"spark.checkpoint.dir": "/shared/checkpoints"})
+    one, two = scratch_dir(shared, "x"), scratch_dir(shared, "x")
     assert one.startswith("/shared/checkpoints/x-") and one != two
+    alone = Session()
+    one, two = scratch_dir(alone, "x"), scratch_dir(alone, "x")
+    assert os.path.dirname(one) == os.path.dirname(two) and one != two

@@ -138,10 +138,12 @@ def test_fan_out(spark, tmp_path):
         fan_out([Sink("needed", failing)])(scored, 7)
 
 
-def test_console(spark, tmp_path, capfd):
+def test_console(spark, tmp_path):
     rows = feed(spark, str(tmp_path / "in"), [[reading(0, 1.5)]])
-    runner.drain(files.console_stream(rows, str(tmp_path / "checkpoint")))
-    assert "1.5" in capfd.readouterr().out
+    query = runner.start(files.console_stream(rows, str(tmp_path / "checkpoint")), every="1 second")
+    query.processAllAvailable()
+    query.stop()
+    assert any(p.numInputRows == 1 and "Console" in p.sink.description for p in query.recentProgress)
 
 
 def test_downsample_and_features_stream(spark, tmp_path):

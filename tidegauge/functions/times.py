@@ -16,8 +16,11 @@ def parse_ts(text: Column) -> Column:
 
 
 def epoch_ns(ts: Column) -> Column:
-    """Nanoseconds since the epoch, exact to the stored microsecond."""
-    return F.unix_micros(ts) * F.lit(1000)
+    """Nanoseconds since the epoch, exact to the stored microsecond.
+
+    A decimal, since a device clock in a far century would overflow a bigint.
+    """
+    return F.unix_micros(ts).cast("decimal(20,0)") * F.lit(1000)
 
 
 def iso_utc(ts: Column) -> Column:

@@ -44,5 +44,5 @@ def text_or(value: Column, default: Column | str) -> Column:
 
 def soil_percent(raw: Column, dry: int = 3500, wet: int = 1500) -> Column:
     """Probe reading to percent moisture: dry is 0, wet is 100, whole percents."""
-    scaled = (raw - F.lit(dry)) * 100 / F.lit(wet - dry)
-    return clamp(scaled.cast("int"), 0, 100).cast("int")
+    scaled = (raw.cast("double") - F.lit(dry)) * 100 / F.lit(wet - dry)
+    return clamp(scaled, 0.0, 100.0).cast("int")

@@ -29,7 +29,7 @@ def read_events(messages: DataFrame, value: str = "value") -> DataFrame:
     metric = text_or(F.col("metric"), text_or(F.col("anomaly.metric"), "unknown-metric"))
     return events.select(
         to_double(score).alias("score"),
-        F.coalesce(switch, flag).try_cast("double").cast("int").alias("flag"),
+        F.coalesce(switch, flag).try_cast("double").try_cast("int").alias("flag"),
         text_or(F.col("ts"), text_or(F.col("event_ts"), "unknown-ts")).alias("ts"),
         device.alias("device_id"),
         metric.alias("metric"),

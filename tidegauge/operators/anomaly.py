@@ -43,7 +43,8 @@ def score_rows(
 
     Readings with a null key never match statistics and keep a null score. On a
     stream a reading comes out when its window closes; one that is too late for
-    its window comes out unscored.
+    its window comes out unscored. Only readings with complete keys move the
+    watermark, because Spark drops the others ahead of the statistics.
 
     The statistics are aggregated on the map side, so only one row per key and
     task is shuffled for them. The readings of one very large window-key are

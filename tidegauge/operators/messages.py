@@ -27,9 +27,18 @@ def anomaly_messages(found: DataFrame) -> DataFrame:
 
 
 def sensor_records(normalized: DataFrame) -> DataFrame:
-    """Normalised messages as (key, value) records keyed by device."""
-    body = F.struct(*normalized.columns)
-    return normalized.select(F.col("device_id").alias("key"), F.to_json(body).alias("value"))
+    """Normalised messages as (key, value) records keyed by device.
+
+    A message that kept a text instead of metrics (column ``raw``) is sent with that
+    text as its only metric.
+    """
+    columns = [name for name in normalized.columns if name != "raw"]
+    body = F.to_json(F.struct(*columns))
+    if "raw" in normalized.columns:
+        kept = F.create_map(F.lit("raw"), F.col("raw")).alias("metrics")
+        with_text = F.struct(*[kept if name == "metrics" else name for name in columns])
+        body = F.when(F.col("raw").isNotNull(), F.to_json(with_text)).otherwise(body)
+    return normalized.select(F.col("device_id").alias("key"), body.alias("value"))
 
 
 def metric_lines(rows: DataFrame, measurement: str = MEASUREMENT_METRICS) -> DataFrame:

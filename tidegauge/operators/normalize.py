@@ -137,13 +137,6 @@ def normalize_mqtt(
     )
 
 
-def mqtt_wire_metrics(normalized: DataFrame) -> DataFrame:
-    """MQTT messages with the kept text folded into a text-valued metrics map."""
-    numbers = F.transform_values("metrics", lambda _, v: v.cast("string"))
-    kept = F.when(F.col("raw").isNotNull(), F.create_map(F.lit("raw"), F.col("raw")))
-    return normalized.withColumn("metrics", F.coalesce(kept, numbers)).drop("raw")
-
-
 def normalize_board(
     requests: DataFrame,
     path: str = "path",

@@ -68,12 +68,12 @@ def offline_statistics(lake: DataFrame, path: str, since: str | None = None) ->
     )
 
 
-def alerting(
-    found: DataFrame, checkpoint: str, rules: settings.AlertSettings = settings.AlertSettings()
-) -> DataStreamWriter:
-    """Alert lines on the console."""
+def alert_rows(
+    found: DataFrame, rules: settings.AlertSettings = settings.AlertSettings()
+) -> DataFrame:
+    """Anomaly records to the alert lines they raise."""
     raised = alerts.alerting(alerts.read_events(found), rules.threshold, rules.only_flagged)
-    return files.console_stream(alerts.alert_lines(raised), checkpoint)
+    return alerts.alert_lines(raised)
 
 
 def speed_sinks(
@@ -144,7 +144,8 @@ def run(job: str, spark: SparkSession, env: Mapping[str, str]) -> None:
         send = timeseries.HttpTransport.of(settings.TimeSeriesSettings.from_env(env))
         writer = live_metrics(source, send, checkpoint)
     else:
-        writer = alerting(source, checkpoint, settings.AlertSettings.from_env(env))
+        lines = alert_rows(source, settings.AlertSettings.from_env(env))
+        writer = files.console_stream(lines, checkpoint)
     runner.start(writer)
     runner.wait_for_any(spark)
 

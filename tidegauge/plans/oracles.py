@@ -529,8 +529,8 @@ ORACLES: dict[str, str] = {
                     when user_id % 3 = 1 then concat('node-', cast(user_id as varchar))
                     else 'gate' end as device_id,
                 case event_id % 7 when 0 then 'temperature,x'
-                    when 1 then 'humidity,soil_moisture' else '' end as names,
-                case when event_id % 7 in (0, 1) then 2 else 0 end as n_metrics
+                    when 1 then 'humidity,soil_moisture' when 5 then '' end as names,
+                case event_id % 7 when 0 then 2 when 1 then 2 when 5 then 0 end as n_metrics
             from events)
         group by 1, 2, 3"""
     ),

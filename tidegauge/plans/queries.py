@@ -463,10 +463,9 @@ def normalize_mqtt(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def mqtt_wire_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keys of the records published, and how a strict reader sees their metrics."""
+    """Keys of the records published, and the metrics a strict reader gets from them."""
     rows = normalize.normalize_mqtt(fx.mqtt_records(spark, sf_dir))
-    records = messages.sensor_records(normalize.mqtt_wire_metrics(rows))
-    parsed = parsing.parse_messages(records, mode="lenient", keep=("key",))
+    parsed = parsing.parse_messages(messages.sensor_records(rows), keep=("key",))
     return (
         _map_summary(parsed)
         .groupBy("key", "device_id", "names")

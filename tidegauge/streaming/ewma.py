@@ -17,40 +17,40 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from tidegauge.settings import MIN_STD
 
 
-class MovingAverage(StatefulProcessor):
-    def __init__(self, alpha: float, min_std: float) -> None:
-        self.alpha = alpha
-        self.min_std = min_std
+def moving_average(alpha: float, min_std: float) -> StatefulProcessor:
+    # a local class travels to the executors with the query
+    class MovingAverage(StatefulProcessor):
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.state = handle.getValueState("average", "ewma double, variance double")
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("average", "ewma double, variance double")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        windows = pd.concat(list(rows)).sort_values("window_start")
-        ewma, variance = self.state.get() if self.state.exists() else (None, 0.0)
-        averages, scores = [], []
-        for mean in windows["mean"]:
-            distance = None if ewma is None else mean - ewma
-            scores.append(
-                None if distance is None else distance / max(math.sqrt(variance), self.min_std)
+        def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+            windows = pd.concat(list(rows)).sort_values("window_start")
+            ewma, variance = self.state.get() if self.state.exists() else (None, 0.0)
+            averages, scores = [], []
+            for mean in windows["mean"]:
+                distance = None if ewma is None else mean - ewma
+                scores.append(
+                    None if distance is None else distance / max(math.sqrt(variance), min_std)
+                )
+                ewma = mean if ewma is None else alpha * mean + (1 - alpha) * ewma
+                variance = (1 - alpha) * (variance + alpha * (distance or 0.0) ** 2)
+                averages.append(ewma)
+            self.state.update((float(ewma), float(variance)))
+            yield pd.DataFrame(
+                {
+                    "device_id": key[0],
+                    "metric": key[1],
+                    "window_start": windows["window_start"].to_numpy(),
+                    "mean": windows["mean"].to_numpy(),
+                    "ewma": averages,
+                    "score": pd.Series(scores, dtype="float64"),
+                }
             )
-            ewma = mean if ewma is None else self.alpha * mean + (1 - self.alpha) * ewma
-            variance = (1 - self.alpha) * (variance + self.alpha * (distance or 0.0) ** 2)
-            averages.append(ewma)
-        self.state.update((float(ewma), float(variance)))
-        yield pd.DataFrame(
-            {
-                "device_id": key[0],
-                "metric": key[1],
-                "window_start": windows["window_start"].to_numpy(),
-                "mean": windows["mean"].to_numpy(),
-                "ewma": averages,
-                "score": pd.Series(scores, dtype="float64"),
-            }
-        )
 
-    def close(self) -> None:
-        pass
+        def close(self) -> None:
+            pass
+
+    return MovingAverage()
 
 
 def ewma_scores(means: DataFrame, alpha: float = 0.3, min_std: float = MIN_STD) -> DataFrame:
@@ -64,7 +64,7 @@ def ewma_scores(means: DataFrame, alpha: float = 0.3, min_std: float = MIN_STD)
         means.select("device_id", "metric", "window_start", "mean")
         .groupBy("device_id", "metric")
         .transformWithStateInPandas(
-            MovingAverage(alpha, min_std),
+            moving_average(alpha, min_std),
             outputStructType="device_id string, metric string, window_start timestamp, "
             "mean double, ewma double, score double",
             outputMode="Append",
