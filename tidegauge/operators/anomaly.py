@@ -13,7 +13,7 @@ from tidegauge.settings import MIN_STD, WINDOW, Z_THRESHOLD
 METHOD = "zscore"
 PEAK_METHOD = "zscore_window_1m"
 
-# Join tasks per statistics row on a stream, where no adaptive splitting exists.
+# Join tasks a key is spread over on a stream, where no adaptive splitting exists.
 STREAM_SALTS = 16
 
 
@@ -37,7 +37,7 @@ def score_rows(
     watermark: str | None = None,
     min_std: float = MIN_STD,
     nan_policy: str = "drop",
-    salts: int | None = None,
+    salts: int = STREAM_SALTS,
 ) -> DataFrame:
     """Every reading with the mean, std and z-score of its own window and key.
 
@@ -50,7 +50,8 @@ def score_rows(
     task is shuffled for them. The readings of one very large window-key are
     spread over several join tasks: on static input by adaptive execution, which
     splits by measured size; on a stream by ``salts``, each reading drawing one of
-    that many copies of its statistics row.
+    that many copies of its statistics row. The draw is repeatable for rows that come
+    straight from a source, so a repeated task gives the same rows.
 
     ``nan_policy='propagate'`` keeps NaN and infinite readings, which turns all
     statistics of their window into NaN.
@@ -65,8 +66,7 @@ def score_rows(
     stats = window_stats(rows, window, keys, watermark)
     readings = rows.withColumn("w", F.window("ts", window))
     on = ["w", *keys]
-    salts = salts or (STREAM_SALTS if rows.isStreaming else 1)
-    if salts > 1:
+    if rows.isStreaming and salts > 1:
         copies = F.sequence(F.lit(0), F.lit(salts - 1))
         stats = stats.withColumn("salt", F.explode(copies))
         readings = readings.withColumn("salt", (F.rand(seed=7) * salts).cast("int"))

@@ -1,132 +1,81 @@
 """Exponentially weighted moving average of a series and the score built on it.
 
-The average runs over window means, not single readings, so what reaches one
-series is bounded by the length of time, however many readings it has. It is
-computed in two exact steps: each chunk of a series (a day) from a zero start,
-then the value carried into every chunk. Being linear, the average inside a
-chunk is its zero-start value plus the carried value times (1 - alpha)^steps. No
-task sees more than one chunk's windows or one series' chunks.
+The average runs over window means, not single readings: however many readings a
+series has, what is left of it is one row per window, aggregated on the map side.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+from collections.abc import Callable, Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.settings import MIN_STD
 
+SERIES = ("device_id", "metric")
 
-def linear_recurrence(
-    points: DataFrame,
-    keys: tuple[str, ...],
-    order: str,
-    value: str,
-    result: str,
-    alpha: float,
-    start_at_first: bool = True,
-    chunk: str = "day",
-) -> DataFrame:
-    """Add ``result`` = alpha * value + (1 - alpha) * previous result, and the previous
-    result itself as ``<result>_before``.
-
-    A series starts at its first value, or at zero when ``start_at_first`` is off;
-    ``<result>_before`` of its first point is null in the first case. ``order`` must
-    be unique within a series and ``value`` not null.
-    """
-    keep = 1.0 - alpha
-    others = [name for name in points.columns if name not in keys]
-    chunks = (
-        points.withColumn("chunk", F.date_trunc(chunk, F.col(order)))
-        .groupBy(*keys, "chunk")
-        .agg(F.array_sort(F.collect_list(F.struct(order, *[c for c in others if c != order]))))
-        .toDF(*keys, "chunk", "points")
-    )
-
-    def step(series: Column, point: Column) -> Column:
-        previous = F.coalesce(F.try_element_at(series, F.lit(-1)), F.lit(0.0))
-        return F.array_append(series, F.lit(alpha) * point[value] + F.lit(keep) * previous)
+# What a series remembers: its average and its moving variance.
+State = tuple[float, float]
 
-    no_values = F.array().cast("array<double>")
-    chunks = chunks.withColumn(
-        "zero_start", F.aggregate("points", no_values, step)
-    )
 
-    ends = F.array_sort(
-        F.collect_list(
-            F.struct(
-                "chunk",
-                F.element_at("zero_start", -1).alias("end"),
-                F.size("points").alias("steps"),
-                F.col("points")[0][value].alias("first"),
-            )
-        )
-    )
+def moving_average(
+    alpha: float, min_std: float
+) -> Callable[[State | None, float], tuple[State, float | None]]:
+    """The step from one window to the next: new state, score of the window.
 
-    def carry_on(done: Column, part: Column) -> Column:
-        fresh = part["first"] if start_at_first else F.lit(0.0)
-        carried = F.when(F.size(done) == 0, fresh).otherwise(F.try_element_at(done, F.lit(-1))["leaving"])
-        leaving = part["end"] + F.pow(F.lit(keep), part["steps"]) * carried
-        entry = F.struct(
-            part["chunk"].alias("chunk"),
-            carried.cast("double").alias("carried"),
-            leaving.cast("double").alias("leaving"),
-            (F.size(done) == 0).alias("is_first"),
-        )
-        return F.array_append(done, entry)
+    Average and variance follow e = alpha * x + (1 - alpha) * e and
+    v = (1 - alpha) * (v + alpha * (x - e)^2). The score is the distance of x from
+    the average before it in standard deviations before it, at least ``min_std``.
+    The first window of a series starts the average and has no score.
+    """
 
-    nothing = F.array().cast(
-        "array<struct<chunk: timestamp, carried: double, leaving: double, is_first: boolean>>"
-    )
-    carried = (
-        chunks.groupBy(*keys)
-        .agg(ends.alias("ends"))
-        .select(*keys, F.explode(F.aggregate("ends", nothing, carry_on)).alias("c"))
-        .select(*keys, "c.chunk", "c.carried", "c.is_first")
-    )
+    def step(state: State | None, mean: float) -> tuple[State, float | None]:
+        if state is None:
+            return (mean, 0.0), None
+        average, variance = state
+        distance = mean - average
+        score = distance / max(math.sqrt(variance), min_std)
+        moved = alpha * mean + (1 - alpha) * average
+        return (moved, (1 - alpha) * (variance + alpha * distance * distance)), score
 
-    rows = chunks.join(carried, [*keys, "chunk"]).select(
-        *keys, "zero_start", "carried", "is_first", F.posexplode("points").alias("at", "p")
-    )
-    now = F.get("zero_start", F.col("at")) + F.pow(F.lit(keep), F.col("at") + 1) * F.col("carried")
-    earlier = F.coalesce(F.get("zero_start", F.col("at") - 1), F.lit(0.0)) + F.pow(
-        F.lit(keep), F.col("at")
-    ) * F.col("carried")
-    if start_at_first:
-        earlier = F.when(~(F.col("is_first") & (F.col("at") == 0)), earlier)
-    return rows.select(
-        *keys,
-        *[F.col(f"p.{name}").alias(name) for name in others],
-        now.alias(result),
-        earlier.alias(f"{result}_before"),
-    )
+    return step
 
 
 def ewma_scores(
-    means: DataFrame,
-    keys: tuple[str, ...] = ("device_id", "metric"),
-    order: str = "window_start",
-    value: str = "mean",
-    alpha: float = 0.3,
-    min_std: float = MIN_STD,
+    means: DataFrame, alpha: float = 0.3, min_std: float = MIN_STD, order: str = "window_start"
 ) -> DataFrame:
     """Score each window mean against the moving average that precedes it.
 
-    ``ewma`` is the average including the window; ``score`` is the distance of the
-    mean from the average before it, in floored moving standard deviations before
-    it. The moving variance follows v = (1 - alpha) * (v + alpha * distance^2). The
-    first window of a series has no score. Static input.
+    A series is a recurrence over time, which no aggregate or window function
+    expresses. Its windows are sorted within one partition and walked in Arrow
+    batches; the walk holds one batch and the state of one series, whatever the
+    length of a series. Static input; ``streaming.ewma`` is the form for streams.
     """
-    averaged = linear_recurrence(
-        means.select(*keys, order, value), keys, order, value, "ewma", alpha
-    )
-    distance = F.col(value) - F.col("ewma_before")
-    squares = averaged.withColumn("distance", distance).withColumn(
-        "step", (1.0 - alpha) * F.coalesce(F.col("distance") * F.col("distance"), F.lit(0.0))
-    )
-    spread = linear_recurrence(
-        squares, keys, order, "step", "variance", alpha, start_at_first=False
-    )
-    std = F.greatest(F.sqrt("variance_before"), F.lit(min_std))
-    return spread.select(
-        *keys, order, value, "ewma", (F.col("distance") / std).alias("score")
+    step = moving_average(alpha, min_std)
+
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        series, state = None, None
+        for batch in batches:
+            averages, scores = [], []
+            for device, metric, mean in zip(batch["device_id"], batch["metric"], batch["mean"]):
+                if (device, metric) != series:
+                    series, state = (device, metric), None
+                state, score = step(state, mean)
+                averages.append(state[0])
+                scores.append(score)
+            yield batch.assign(ewma=averages, score=pd.Series(scores, batch.index, "float64"))
+
+    points = means.select(*SERIES, order, "mean").filter(F.col("mean").isNotNull())
+    walked = (
+        points.repartition(*SERIES)
+        .sortWithinPartitions(*SERIES, order)
+        .mapInPandas(
+            walk,
+            f"device_id string, metric string, {order} timestamp, mean double, ewma double, "
+            "score double",
+        )
     )
+    return walked.withColumn("score", F.nanvl("score", F.lit(None).cast("double")))

@@ -437,7 +437,7 @@ def inspect_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def inspect_all_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     shown = messages.inspect_messages(fx.message_records(spark, sf_dir), 0)
-    return shown.withColumn("value", F.length("value"))
+    return shown.withColumn("value", F.length("value").cast("bigint"))
 
 
 # --- ingestion ---------------------------------------------------------------

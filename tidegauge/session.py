@@ -60,13 +60,15 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder every executor can reach.
 
     The parent is the folder named by ``spark.checkpoint.dir``. Only where the
-    session names none (single-machine tests) a local folder is made and
-    remembered in the session.
+    session names none and runs on this machine alone (tests), a local folder is
+    made and remembered in the session.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.conf.get("spark.tidegauge.scratch", None)
     if not base:
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         base = tempfile.mkdtemp(prefix="tidegauge-")
         spark.conf.set("spark.tidegauge.scratch", base)
     return os.path.join(base, f"{purpose}-{uuid.uuid4().hex}")

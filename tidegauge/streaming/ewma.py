@@ -6,7 +6,6 @@ series is two numbers, however long it runs.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import pandas as pd
@@ -14,38 +13,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from tidegauge.operators.ewma import SERIES, moving_average
 from tidegauge.settings import MIN_STD
 
 
-def moving_average(alpha: float, min_std: float) -> StatefulProcessor:
+def processor(alpha: float, min_std: float) -> StatefulProcessor:
+    step = moving_average(alpha, min_std)
+
     # a local class travels to the executors with the query
     class MovingAverage(StatefulProcessor):
         def init(self, handle: StatefulProcessorHandle) -> None:
             self.state = handle.getValueState("average", "ewma double, variance double")
 
         def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-            windows = pd.concat(list(rows)).sort_values("window_start")
-            ewma, variance = self.state.get() if self.state.exists() else (None, 0.0)
+            windows = pd.concat(list(rows)).sort_values("window_start", ignore_index=True)
+            state = self.state.get() if self.state.exists() else None
             averages, scores = [], []
             for mean in windows["mean"]:
-                distance = None if ewma is None else mean - ewma
-                scores.append(
-                    None if distance is None else distance / max(math.sqrt(variance), min_std)
-                )
-                ewma = mean if ewma is None else alpha * mean + (1 - alpha) * ewma
-                variance = (1 - alpha) * (variance + alpha * (distance or 0.0) ** 2)
-                averages.append(ewma)
-            self.state.update((float(ewma), float(variance)))
-            yield pd.DataFrame(
-                {
-                    "device_id": key[0],
-                    "metric": key[1],
-                    "window_start": windows["window_start"].to_numpy(),
-                    "mean": windows["mean"].to_numpy(),
-                    "ewma": averages,
-                    "score": pd.Series(scores, dtype="float64"),
-                }
-            )
+                state, score = step(state, float(mean))
+                averages.append(state[0])
+                scores.append(score)
+            self.state.update(state)
+            yield windows.assign(ewma=averages, score=pd.Series(scores, dtype="float64"))
 
         def close(self) -> None:
             pass
@@ -61,10 +50,11 @@ def ewma_scores(means: DataFrame, alpha: float = 0.3, min_std: float = MIN_STD)
     within one.
     """
     scored = (
-        means.select("device_id", "metric", "window_start", "mean")
-        .groupBy("device_id", "metric")
+        means.select(*SERIES, "window_start", "mean")
+        .filter(F.col("mean").isNotNull())
+        .groupBy(*SERIES)
         .transformWithStateInPandas(
-            moving_average(alpha, min_std),
+            processor(alpha, min_std),
             outputStructType="device_id string, metric string, window_start timestamp, "
             "mean double, ewma double, score double",
             outputMode="Append",
