@@ -134,6 +134,7 @@ def test_fan_out(spark, tmp_path):
     assert spark.read.text(lines).count() == 100
     write(scored.limit(0), 6)
     assert len(calls) == 2
+    assert fan_out([])(scored, 6) is None
     with pytest.raises(RuntimeError):
         fan_out([Sink("needed", failing)])(scored, 7)
 

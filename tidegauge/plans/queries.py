@@ -347,7 +347,8 @@ def offline_stats_from_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     files.overwrite_days(
         offline.daily_stats(kept, "2024-01-18", "2024-01-25"), stats, only_given_days=True
     )
-    return fx.plain(spark.read.parquet(stats).select("dt", "device_id", "metric", "n", "mean", "stddev"))
+    kept = spark.read.parquet(stats)
+    return fx.plain(kept.select("dt", "device_id", "metric", "n", "mean", "stddev"))
 
 
 @query
@@ -476,8 +477,12 @@ def mqtt_wire_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def normalize_board(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = normalize.normalize_board(fx.board_requests(spark, sf_dir), keep=("event_id",))
-    switches = [F.col(f"device{i}.{part}").alias(f"device{i}_{part}") for i in (1, 2) for part in ("name", "state")]
-    return fx.plain(rows.select(*[c for c in rows.columns if c not in ("device1", "device2")], *switches))
+    switches = {
+        f"{device}_{part}": F.col(f"{device}.{part}")
+        for device in ("device1", "device2")
+        for part in ("name", "state")
+    }
+    return fx.plain(rows.withColumns(switches).drop("device1", "device2"))
 
 
 @query

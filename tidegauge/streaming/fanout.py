@@ -34,11 +34,11 @@ def fan_out(sinks: Iterable[Sink]) -> BatchWriter:
     active = [sink for sink in sinks if sink.enabled]
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if not active:
-            return
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            if batch.isEmpty():
+            # Counting runs every task of the batch once, which the state of a
+            # stream needs even when no sink is active or one takes only a part.
+            if batch.count() == 0:
                 return
             for sink in active:
                 _deliver(sink, batch, batch_id)
