@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge import schemas
-from tidegauge.functions.once import with_json
+from tidegauge.functions.once import with_computed, with_json
 from tidegauge.functions.times import parse_ts
 from tidegauge.functions.values import to_double
 
@@ -26,7 +26,8 @@ def parse_messages(
     if mode != "lenient":
         raise ValueError(f"mode must be 'strict' or 'lenient', not {mode!r}")
     parsed = with_json(raw, text, schemas.SENSOR_MESSAGE_TEXT, keep)
-    return parsed.withColumn("metrics", numeric_entries(F.col("metrics")))
+    numbers = {"metrics": numeric_entries(F.col("metrics"))}
+    return with_computed(parsed, numbers, parsed.columns[:-1])
 
 
 def numeric_entries(metrics: Column) -> Column:
