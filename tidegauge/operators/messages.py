@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidegauge import schemas
 from tidegauge.functions import lines
 from tidegauge.functions.times import iso_utc
+from tidegauge.functions.values import is_finite
 from tidegauge.operators.metrics import metric_points
 from tidegauge.settings import MEASUREMENT_ANOMALIES, MEASUREMENT_METRICS
 
@@ -41,15 +42,23 @@ def sensor_records(normalized: DataFrame) -> DataFrame:
     return normalized.select(F.col("device_id").alias("key"), body.alias("value"))
 
 
-def metric_lines(rows: DataFrame, measurement: str = MEASUREMENT_METRICS) -> DataFrame:
-    """Readings as line protocol, one line per (ts, tags), fields by metric name."""
-    entry = F.transform(
-        F.map_entries("metrics"), lambda e: lines.field_text(e["key"], e["value"])
-    )
+def message_lines(sent: DataFrame, measurement: str = MEASUREMENT_METRICS) -> DataFrame:
+    """Messages as line protocol, one line each, fields by metric name.
+
+    A message already holds the metrics of its point, so nothing is shuffled; a store
+    merges lines of equal tags and time. Null and non-finite values are left out, and
+    messages without time or without values.
+    """
+    usable = F.filter(F.map_entries("metrics"), lambda e: e["value"].isNotNull() & is_finite(e["value"]))
+    entry = F.transform(usable, lambda e: lines.field_text(e["key"], e["value"]))
     fields = F.array_join(F.array_sort(entry), ",")
-    points = metric_points(rows)
     text = lines.line(measurement, lines.tag_text(schemas.TAGS), fields, F.col("ts"))
-    return points.select(text.alias("value"))
+    return sent.filter(F.col("ts").isNotNull() & (fields != "")).select(text.alias("value"))
+
+
+def metric_lines(rows: DataFrame, measurement: str = MEASUREMENT_METRICS) -> DataFrame:
+    """Long rows as line protocol, one line per (ts, tags); regroups them by point first."""
+    return message_lines(metric_points(rows), measurement)
 
 
 def anomaly_lines(found: DataFrame, measurement: str = MEASUREMENT_ANOMALIES) -> DataFrame:

@@ -48,38 +48,48 @@ def read_rest_payloads(bodies: DataFrame, value: str = "value") -> DataFrame:
     """
     others = tuple(c for c in bodies.columns if c != value)
     parsed = with_json(bodies, F.col(value).cast("string"), schemas.REST_PAYLOAD, others)
-    metrics = F.col("metrics")
-    flat = {name: to_double(F.col(name)) for name in FLAT_METRICS}
-    numbers = numeric_entries(metrics)
+    kept = [*others, "device_id", "ts", "location", "model"]
+    # expressions of one generator are not shared, so the map is converted in one of its own
+    given = [F.col(name).isNotNull().alias(f"{name}_given") for name in FLAT_METRICS]
+    converted = with_computed(
+        parsed.select("*", F.size("metrics").alias("entries"), *given),
+        {"numbers": numeric_entries(F.col("metrics")), **{name: to_double(F.col(name)) for name in FLAT_METRICS}},
+        [*kept, "entries", *[f"{name}_given" for name in FLAT_METRICS]],
+    )
     # an entry that is no number is missing from the converted map
-    bad = F.coalesce(F.size(numbers) < F.size(metrics), F.lit(False))
-    for name, number in flat.items():
-        bad = bad | (F.col(name).isNotNull() & number.isNull())
-    columns = {
-        "metrics": numbers, **flat, "problem": F.when(bad, F.lit("invalid number"))
-    }
-    return with_computed(parsed, columns, [*others, "device_id", "ts", "location", "model"])
+    bad = F.coalesce(F.size("numbers") < F.col("entries"), F.lit(False))
+    for name in FLAT_METRICS:
+        bad = bad | (F.col(f"{name}_given") & F.col(name).isNull())
+    return converted.select(
+        *kept, F.col("numbers").alias("metrics"), *FLAT_METRICS, F.when(bad, F.lit("invalid number")).alias("problem")
+    )
 
 
-def _checked_rest(payloads: DataFrame) -> DataFrame:
+def checked_rest(payloads: DataFrame) -> DataFrame:
+    """Payload rows with their merged metrics and the reason to refuse them, if any."""
     flat = {name: F.col(name) for name in FLAT_METRICS}
     merged = with_flat_metrics(F.col("metrics"), flat)
     earlier = F.col("problem") if "problem" in payloads.columns else F.lit(None).cast("string")
     reason = F.coalesce(
         F.when(F.col("device_id").isNull(), F.lit("missing device_id")),
         earlier,
-        F.when(F.size(merged) == 0, F.lit("no metrics")),
+        F.when(F.size("merged") == 0, F.lit("no metrics")),
     )
-    return with_computed(payloads, {"reason": reason, "merged": merged}, payloads.columns)
+    return with_computed(payloads, {"merged": merged}, payloads.columns).withColumn("reason", reason)
 
 
 def normalize_rest(
     payloads: DataFrame, received: str = "received_at", keep: tuple[str, ...] = ()
 ) -> DataFrame:
     """REST payload rows to sensor messages; payloads that must be refused are left out."""
+    return accepted_rest(checked_rest(payloads), received, keep)
+
+
+def accepted_rest(
+    checked: DataFrame, received: str = "received_at", keep: tuple[str, ...] = ()
+) -> DataFrame:
     return (
-        _checked_rest(payloads)
-        .filter(F.col("reason").isNull())
+        checked.filter(F.col("reason").isNull())
         .select(
             *keep,
             text_or(F.col("ts"), iso_utc(F.col(received))).alias("ts"),
@@ -94,7 +104,11 @@ def normalize_rest(
 
 def rejected_rest(payloads: DataFrame) -> DataFrame:
     """The payload rows ``normalize_rest`` leaves out, with the reason."""
-    return _checked_rest(payloads).filter(F.col("reason").isNotNull()).drop("merged", "problem")
+    return refused_rest(checked_rest(payloads))
+
+
+def refused_rest(checked: DataFrame) -> DataFrame:
+    return checked.filter(F.col("reason").isNotNull()).drop("merged", "problem")
 
 
 def normalize_mqtt(

@@ -17,13 +17,15 @@ def lookup(rows: DataFrame, dimension: DataFrame, key: str, wanted: str) -> Data
 
 
 def first_per_key(rows: DataFrame, key: str, position: str) -> DataFrame:
-    """Per key the row with the smallest position.
+    """Per key the row with the smallest position, rows without one last.
 
     An aggregate rather than a ranked window: copies of one key are reduced in
     every task before the shuffle.
     """
     names = rows.columns
-    first = F.min_by(F.struct(*names), F.col(position)).alias("row")
+    # a struct is never null, so a key whose positions are all null keeps a row
+    order = F.struct(F.col(position).isNull(), F.col(position))
+    first = F.min_by(F.struct(*names), order).alias("row")
     return rows.groupBy(key).agg(first).select(*[F.col(f"row.{name}") for name in names])
 
 

@@ -152,7 +152,7 @@ def message_records(spark: SparkSession, sf_dir: str, streaming: bool = False) -
     )
 
 
-def rest_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+def rest_bodies(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
     """Request bodies, acceptable and not, one per event."""
     text = f"""case event_id % 8
         when 0 then concat('{{"device_id":"d', user_id, '","ts":"', {iso('ts')}, 'Z","metrics":{{"temperature":1,"x":', value, '}},"temperature":', value, '}}')
@@ -164,10 +164,10 @@ def rest_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
         when 6 then concat('{{"device_id":"d', user_id, '","metrics":{{"humidity":', value - 50, '}},"humidity":null}}')
         else concat('{{"device_id":"d', user_id, '","metrics":{{}},"temperature":null}}')
         end"""
-    return events(spark, sf_dir).selectExpr("event_id", "ts as received_at", f"{text} as value")
+    return events(spark, sf_dir, streaming).selectExpr("event_id", "ts as received_at", f"{text} as value")
 
 
-def mqtt_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+def mqtt_records(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
     """MQTT records with full, flat, partly numeric and plain-text payloads."""
     topic = """case user_id % 3 when 0 then 'iot'
         when 1 then concat('iot/node-', user_id, '/telemetry') else 'iot/gate' end"""
@@ -180,7 +180,7 @@ def mqtt_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         when 5 then concat('{{"device_id":"d', user_id, '","metrics":[1],"x":', value, '}}')
         else concat('{{"device_id":"d', user_id, '","metrics":{{"x":', value, '}}')
         end"""
-    return events(spark, sf_dir).selectExpr(
+    return events(spark, sf_dir, streaming).selectExpr(
         "event_id", "ts as received_at", f"{topic} as topic", f"cast({text} as binary) as payload"
     )
 
@@ -195,18 +195,23 @@ def board_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events(spark, sf_dir).selectExpr("event_id", "ts as received_at", f"{path} as path")
 
 
-def alert_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def alert_messages(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
     """Anomaly messages in all accepted shapes; the event value is the score."""
-    text = """case event_id % 7
-        when 0 then concat('{"ts":"t', event_id, '","device_id":"d', user_id, '","metric":"', event_type, '","score":', value / 20, ',"is_anomaly":1}')
-        when 1 then concat('{"event_ts":"t', event_id, '","deviceId":"d', user_id, '","metric":"","score":', value / 20, ',"is_anomaly":0}')
-        when 2 then concat('{"ts":"t', event_id, '","device_id":"d', user_id, '","score":-', value / 20, '}')
-        when 3 then concat('{"ts":"t', event_id, '","device_id":"d', user_id, '","is_anomaly":1}')
-        when 4 then concat('{"device_id":"d', user_id, '","anomaly":{"score":', value / 20, ',"is_anomaly":true,"metric":"', event_type, '"}}')
-        when 5 then concat('{"device_id":"d', user_id, '","score":"abc","is_anomaly":1}')
+    head = """'{"ts":"t', event_id, '","device_id":"d', user_id, '",'"""
+    text = f"""case event_id % 11
+        when 0 then concat({head}, '"metric":"', event_type, '","score":', value / 20, ',"is_anomaly":1}}')
+        when 1 then concat('{{"event_ts":"t', event_id, '","deviceId":"d', user_id, '","metric":"","score":', value / 20, ',"is_anomaly":0}}')
+        when 2 then concat({head}, '"score":-', value / 20, '}}')
+        when 3 then concat({head}, '"is_anomaly":1}}')
+        when 4 then concat('{{"device_id":"d', user_id, '","anomaly":{{"score":', value / 20, ',"is_anomaly":true,"metric":"', event_type, '"}}}}')
+        when 5 then concat({head}, '"score":"abc","is_anomaly":1}}')
+        when 7 then concat({head}, '"score":"', value / 20, '","is_anomaly":"true"}}')
+        when 8 then concat({head}, '"score":', value / 20, ',"is_anomaly":"1.0"}}')
+        when 9 then concat({head}, '"score":true}}')
+        when 10 then concat({head}, '"score":', value / 20, ',"is_anomaly":1.0}}')
         else concat('[', value, ']')
         end"""
-    return events(spark, sf_dir).selectExpr("event_id", f"{text} as value")
+    return events(spark, sf_dir, streaming).selectExpr("event_id", f"{text} as value")
 
 
 # Added before rounding, so that a mean lying exactly between two roundings does

@@ -11,10 +11,11 @@ import sys
 from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from tidegauge import settings
-from tidegauge.operators import alerts, anomaly, messages, metrics, offline, parsing
+from tidegauge.operators import alerts, anomaly, messages, metrics, normalize, offline, parsing
 from tidegauge.session import build_session
 from tidegauge.sinks import files, records, timeseries
 from tidegauge.sources import tables, topics
@@ -49,13 +50,13 @@ def speed(
 def live_metrics(
     raw: DataFrame, send: Callable[[str], None], checkpoint: str
 ) -> DataStreamWriter:
-    """Readings as line protocol at once, without waiting for a window to close."""
+    """Messages as line protocol at once, without waiting for a window to close."""
 
     def deliver(rows: DataFrame, _: int) -> None:
-        timeseries.deliver_lines(messages.metric_lines(rows), send)
+        timeseries.deliver_lines(rows, send)
 
     return (
-        sensor_rows(raw)
+        messages.message_lines(parsing.valid_messages(parsing.parse_messages(raw)))
         .writeStream.foreachBatch(deliver)
         .option("checkpointLocation", checkpoint)
     )
@@ -68,6 +69,38 @@ def offline_statistics(lake: DataFrame, path: str, since: str | None = None) ->
     )
 
 
+def export_thresholds(daily: DataFrame, path: str, k: float = 3.0) -> None:
+    """Thresholds of all series from the daily statistics, replacing the table at ``path``."""
+    offline.thresholds(daily, k).write.mode("overwrite").parquet(path)
+
+
+def speed_against_thresholds(
+    raw: DataFrame, limits: DataFrame, sinks: Iterable[Sink], checkpoint: str
+) -> DataStreamWriter:
+    """Readings scored at once against stored thresholds, handed to all sinks."""
+    scored = offline.score_against_thresholds(sensor_rows(raw), limits)
+    return scored.writeStream.foreachBatch(fan_out(sinks)).option("checkpointLocation", checkpoint)
+
+
+def ingest(
+    bodies: DataFrame,
+    accepted: Callable[[DataFrame, int], None],
+    refused: Callable[[DataFrame, int], None],
+    checkpoint: str,
+) -> DataStreamWriter:
+    """Request bodies to messages keyed by device; refused ones apart, with their reason.
+
+    ``bodies`` has value and received_at. Both go out of one micro-batch, which is
+    computed once.
+    """
+    checked = normalize.checked_rest(normalize.read_rest_payloads(bodies))
+    sinks = [
+        Sink("accepted", accepted, lambda rows: messages.sensor_records(normalize.accepted_rest(rows))),
+        Sink("refused", refused, normalize.refused_rest),
+    ]
+    return checked.writeStream.foreachBatch(fan_out(sinks)).option("checkpointLocation", checkpoint)
+
+
 def alert_rows(
     found: DataFrame, rules: settings.AlertSettings = settings.AlertSettings()
 ) -> DataFrame:
@@ -119,23 +152,42 @@ def speed_sinks(
 
 def run(job: str, spark: SparkSession, env: Mapping[str, str]) -> None:
     broker = settings.BrokerSettings.from_env(env)
-    lake = settings.LakeSettings.from_env(env)
-    if job == "offline":
-        offline_statistics(
-            tables.lake(spark, lake.raw_path), lake.offline_path, env.get("OFFLINE_SINCE")
-        )
+    if job in ("offline", "thresholds"):
+        lake = settings.LakeSettings.from_env(env)
+        if job == "offline":
+            path = settings.require(env, "OFFLINE_STATS_S3_PATH") if not lake.offline_path else lake.offline_path
+            offline_statistics(tables.lake(spark, lake.raw_path), path, env.get("OFFLINE_SINCE"))
+        else:
+            daily = offline.daily_stats(tables.lake(spark, lake.raw_path), env.get("OFFLINE_SINCE"))
+            export_thresholds(daily, settings.require(env, "THRESHOLDS_S3_PATH"))
         return
     if job == "inspect":
-        shown = int(env.get("MAX_MESSAGES", "5"))
-        held = topics.topic_records(spark, broker, broker.raw_topic)
-        messages.inspect_messages(held, shown).show(max(shown, 20), truncate=False)
+        held = topics.topic_records(
+            spark, broker, broker.raw_topic, env.get("STARTING_OFFSETS", "earliest"), env.get("ENDING_OFFSETS", "latest")
+        )
+        shown = messages.inspect_messages(held, int(env.get("MAX_MESSAGES", "5")))
+        files.print_lines(shown.select(F.to_json(F.struct("*"))))
         return
 
     checkpoint = settings.checkpoint_location(job, env)
     topic = broker.anomaly_topic if job == "alerts" else broker.raw_topic
     source = topics.topic_stream(spark, broker, topic)
     if job == "archive":
-        writer = archive(source, lake.raw_path, checkpoint)
+        writer = archive(source, settings.LakeSettings.from_env(env).raw_path, checkpoint)
+    elif job == "limits":
+        scoring = settings.ScoringSettings.from_env(env)
+        limits = spark.read.parquet(settings.require(env, "THRESHOLDS_S3_PATH"))
+        writer = speed_against_thresholds(source, limits, speed_sinks(env, scoring.z_threshold, broker), checkpoint)
+    elif job == "ingest":
+        bodies = topics.topic_stream(spark, broker, settings.require(env, "KAFKA_TOPIC_PAYLOADS")).select(
+            F.col("value").cast("string").alias("value"), F.col("timestamp").alias("received_at")
+        )
+        writer = ingest(
+            bodies,
+            lambda rows, _: records.publish(rows, broker, broker.raw_topic),
+            files.batch_writer(settings.require(env, "QUARANTINE_PATH")),
+            checkpoint,
+        )
     elif job == "speed":
         scoring = settings.ScoringSettings.from_env(env)
         sinks = speed_sinks(env, scoring.z_threshold, broker)
@@ -145,12 +197,17 @@ def run(job: str, spark: SparkSession, env: Mapping[str, str]) -> None:
         writer = live_metrics(source, send, checkpoint)
     else:
         lines = alert_rows(source, settings.AlertSettings.from_env(env))
-        writer = files.console_stream(lines, checkpoint)
+        if env.get("ALERT_PATH"):
+            writer = files.text_stream(lines, env["ALERT_PATH"], checkpoint)
+        elif env.get("KAFKA_TOPIC_ALERTS"):
+            writer = records.publish_stream(lines, broker, env["KAFKA_TOPIC_ALERTS"], checkpoint)
+        else:
+            writer = files.console_stream(lines, checkpoint)
     runner.start(writer)
     runner.wait_for_any(spark)
 
 
-JOBS = ("archive", "speed", "metrics", "offline", "alerts", "inspect")
+JOBS = ("ingest", "archive", "speed", "metrics", "offline", "thresholds", "limits", "alerts", "inspect")
 
 
 def main(arguments: list[str] | None = None) -> int:

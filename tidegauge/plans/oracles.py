@@ -96,11 +96,11 @@ VIEWS = {
                 else concat('zone', cast(user_id % 2 + 1 as varchar)) end as location,
             case when event_id % 8 in (5, 6, 7) then null else 'model-0' end as model,
             case when event_id % 8 = 0 then 2 when event_id % 8 in (6, 7) then 1 end as n_metrics,
-            case when event_id % 8 = 0 and event_type < 'level' then concat(event_type, ',level')
-                when event_id % 8 = 0 then concat('level,', event_type)
-                when event_id % 8 in (6, 7) then event_type end as names,
-            case when event_id % 8 = 0 then value + user_id % 10
-                when event_id % 8 in (6, 7) then value end as total,
+            case when event_id % 8 = 0 and event_type < 'level'
+                    then concat(event_type, '=', $value, ',level=', cast(user_id % 10 as varchar), '.0000')
+                when event_id % 8 = 0
+                    then concat('level=', cast(user_id % 10 as varchar), '.0000,', event_type, '=', $value)
+                when event_id % 8 in (6, 7) then concat(event_type, '=', $value) end as readings,
             ts as event_time, event_type, value, user_id
         from events""",
     "day_rows": """
@@ -109,7 +109,7 @@ VIEWS = {
         select device_id, metric, avg(value) as mean, stddev_samp(value) as stddev,
             avg(value) - 2 * stddev_samp(value) as lower,
             avg(value) + 2 * stddev_samp(value) as upper
-        from sensor_rows where metric <> 'error' group by all""",
+        from sensor_rows where ts < timestamp '2024-01-16' group by all""",
     "closing": "select max(ts) - interval '2 minutes' as mark from events",
     "features": """
         select bucket as window_start, bucket + interval '6 hours' as window_end,
@@ -137,6 +137,10 @@ BASE = {
 }
 
 PARTS = {
+    "value": "cast(cast(value as decimal(18, 4)) as varchar)",
+    "clamped": "cast(cast(least(greatest(value - 100, 0), 100) as decimal(18, 4)) as varchar)",
+    "halved": "cast(cast(least(greatest(value - 50, 0), 100) as decimal(18, 4)) as varchar)",
+    "capped": "cast(cast(least(value, 100) as decimal(18, 4)) as varchar)",
     "severity": "case when abs(zscore) >= 8 then 'critical' when abs(zscore) >= 5 then 'high' "
     "when abs(zscore) >= 3 then 'medium' else 'low' end",
     "iso": "strftime(ts, '%Y-%m-%dT%H:%M:%S.%f')",
@@ -205,11 +209,34 @@ EWMA = """, averaged as (
             round((mean - before) / greatest(0.05, sqrt(lag(variance) over (
                 partition by device_id, metric order by window_start))), 6) as score
         from spread"""
-PARSED = """ts, device_id, location, model, n_metrics, names, round(total, 6) as total"""
+PARSED = """ts, device_id, location, model, n_metrics, readings"""
 ANOMALY_TEXT = """from (select *, cast(ROUND(zscore, 4) as varchar) as s, $severity as severity
     from scored where abs(zscore) >= 2.0)"""
 
 
+MESSAGE = """concat('{"ts":"', rtrim(rtrim(strftime(ts, '%Y-%m-%d %H:%M:%S.%f'), '0'), '.'),
+    '","device_id":"', device_id, '","location":"', location, '","model":"', model, '","metric":"', metric,
+    '","value":', cast(value as varchar), ',"score":', s, ',"severity":"', severity,
+    '","is_anomaly":1}') as value"""
+MARK = """concat('sensor_anomalies,device_id=', device_id, ',location=', location,
+    ',model=', model, ',metric=', metric, ',severity=', severity, ' value=', cast(value as varchar),
+    ',score=', s, ' ', cast(epoch_us(ts) * 1000 as varchar)) as value"""
+POINT_LINE = """concat('sensor_metrics,device_id=', device_id, ',location=', location, ',model=', model, ' ',
+    fields, ' ', cast(epoch_us(ts) * 1000 as varchar)) as value"""
+POINTS = """(select ts, device_id, location, model,
+    string_agg(concat(metric, '=', cast(value as varchar)), ',' order by metric) as fields
+    from (select ts, device_id, location, coalesce(model, 'unknown') as model, metric, max(value) as value
+        from sensor_rows group by all) group by all)"""
+ALERTS = """from (select event_id, user_id, event_type, value,
+        case event_id % 11 when 2 then -value / 20 when 9 then 1.0 else value / 20 end as score,
+        case event_id % 11 when 0 then 1 when 1 then 0 when 4 then 1 when 10 then 1 end as flag,
+        case event_id % 11 when 4 then 'unknown-ts' else concat('t', cast(event_id as varchar)) end as t,
+        case when event_id % 11 in (0, 4) then event_type else 'unknown-metric' end as m
+    from events where event_id % 11 in (0, 1, 2, 4, 7, 8, 9, 10))"""
+ALERT_TEXT = """concat('[ANOMALY ALERT] ts=', t, ' device_id=d', cast(user_id as varchar), ' metric=', m,
+    ' score=', cast(score as varchar), ' flag=', coalesce(cast(flag as varchar), 'None')) as value"""
+
+
 ORACLES: dict[str, str] = {
     "zscore_anomalies": sql(ANOMALY, "scored"),
     "window_stats": sql(WINDOW_STATS, "sensor_rows"),
@@ -234,14 +261,14 @@ ORACLES: dict[str, str] = {
     "parse_messages_lenient": sql(
         """select "offset", ts, device_id, location, model,
             case when "offset" % 8 in (1, 2) then 1 else n_metrics end as n_metrics,
-            case when "offset" % 8 in (1, 2) then event_type else names end as names,
-            round(case when "offset" % 8 in (1, 2) then value else total end, 6) as total
+            case when "offset" % 8 in (1, 2) then concat(event_type, '=', $value) else readings end
+                as readings
         from parsed""",
         "parsed",
     ),
     "valid_messages": sql(
-        """select "offset", event_time as ts, device_id, location, model, n_metrics, names,
-            round(total, 6) as total from parsed
+        """select "offset", event_time as ts, device_id, location, model, n_metrics, readings
+        from parsed
         where "offset" % 8 = 0""",
         "parsed",
     ),
@@ -341,12 +368,15 @@ ORACLES: dict[str, str] = {
         from supplier left join nation on n_name = concat('NATION_', cast(s_nationkey as varchar))"""
     ),
     "registry_roundtrip": sql(
-        """select 'zones' as name, count(*) as n from nation
-        union all select 'devices', count(*) from supplier
-        union all select 'maintain_schedules', count(*) from supplier
-        union all select 'anomalies', 0
-        union all select 'anomalies before clearing', count(*) from fleet_anomalies""",
+        """select 'zones' as name, concat(cast(n_nationkey + 1 as varchar), '|', n_name, '|Zone ', n_name)
+            as row from nation
+        union all select 'devices', concat(device_id, '|', cast(zone_id as varchar), '|', model) from devices
+        union all select 'maintain_schedules', concat(cast(s_suppkey + 1 as varchar), '|', device_id, '|',
+            cast(date '2024-01-01' + cast(s_suppkey % 30 as integer) as varchar)) from devices
+        union all select 'anomalies before clearing', concat(device_id, '|', metric, '|', severity)
+            from fleet_anomalies""",
         "fleet_anomalies",
+        "devices",
     ),
     "series_range_filter": sql(
         """select ts, device_id, location, model, metric, value from sensor_rows
@@ -419,57 +449,43 @@ ORACLES: dict[str, str] = {
     ),
     "ewma_scores": sql(EWMA, "features"),
     "anomaly_messages": sql(
-        f"""select cast(null as varchar) as key, concat('{{"ts":"',
-            rtrim(rtrim(strftime(ts, '%Y-%m-%d %H:%M:%S.%f'), '0'), '.'), '","device_id":"', device_id,
-            '","location":"', location, '","model":"', model, '","metric":"', metric,
-            '","value":', cast(value as varchar), ',"score":', s, ',"severity":"', severity,
-            '","is_anomaly":1}}') as value {ANOMALY_TEXT}""",
+        f"select cast(null as varchar) as key, {MESSAGE} {ANOMALY_TEXT}",
         "scored",
     ),
     "metric_lines": sql(
         """select concat('sensor_metrics,device_id=', device_id, ',location=', location,
-            ',model=', model, ' discount=', cast(max(discount) as varchar),
-            ',price=', cast(max(price) as varchar), ',quantity=', cast(max(quantity) as varchar),
-            ',tax=', cast(max(tax) as varchar), ' ', cast(epoch_us(ts) * 1000 as varchar)) as value
-        from messages group by ts, device_id, location, model""",
+            ',model=', model, ' discount=', cast(discount as varchar),
+            ',price=', cast(price as varchar), ',quantity=', cast(quantity as varchar),
+            ',tax=', cast(tax as varchar), ' ', cast(epoch_us(ts) * 1000 as varchar)) as value
+        from messages""",
         "messages",
     ),
+    "metric_lines_long": sql(f"select {POINT_LINE} from {POINTS}", "sensor_rows"),
     "metric_points": sql(
         """select ts, device_id, location, coalesce(model, 'unknown') as model,
-            cast(count(*) as integer) as n_metrics, string_agg(metric, ',' order by metric) as names,
-            round(sum(value), 4) as total
+            cast(count(*) as integer) as n_metrics,
+            string_agg(concat(metric, '=', $value), ',' order by metric) as readings
         from (select ts, device_id, location, model, metric, max(value) as value
             from sensor_rows group by all)
         group by all""",
         "sensor_rows",
     ),
     "anomaly_lines": sql(
-        f"""select concat('sensor_anomalies,device_id=', device_id, ',location=', location,
-            ',model=', model, ',metric=', metric, ',severity=', severity,
-            ' value=', cast(value as varchar), ',score=', s, ' ',
-            cast(epoch_us(ts) * 1000 as varchar)) as value {ANOMALY_TEXT}""",
+        f"select {MARK} {ANOMALY_TEXT}",
         "scored",
     ),
     "alert_lines": sql(
-        """select concat('[ANOMALY ALERT] ts=', t, ' device_id=d', cast(user_id as varchar),
-            ' metric=', m, ' score=', cast(ROUND(score, 4) as varchar), ' flag=', f) as value
-        from (select event_id, user_id,
-                case event_id % 7 when 4 then 'unknown-ts'
-                    else concat('t', cast(event_id as varchar)) end as t,
-                case when event_id % 7 in (0, 4) then event_type else 'unknown-metric' end as m,
-                case when event_id % 7 in (0, 4) then '1' else 'None' end as f,
-                case event_id % 7 when 2 then -value / 20 else value / 20 end as score
-            from events)
-        where event_id % 7 in (0, 4) or (event_id % 7 = 2 and abs(ROUND(score, 4)) >= 3.0)"""
+        f"""select {ALERT_TEXT} from (select * replace (ROUND(score, 4) as score) {ALERTS})
+        where case when flag is not null then flag = 1 else abs(score) >= 3.0 end"""
+    ),
+    "stream_alerts": sql(
+        f"""select {ALERT_TEXT} {ALERTS}
+        where case when flag is not null then flag = 1 else abs(score) >= 3.0 end"""
     ),
     "alerts_by_threshold": sql(
-        """select round(case event_id % 7 when 2 then -value / 20 else value / 20 end, 4) as score,
-            case event_id % 7 when 0 then 1 when 1 then 0 when 4 then 1 end as flag,
-            case event_id % 7 when 4 then 'unknown-ts'
-                else concat('t', cast(event_id as varchar)) end as ts,
-            concat('d', cast(user_id as varchar)) as device_id,
-            case when event_id % 7 in (0, 4) then event_type else 'unknown-metric' end as metric
-        from events where event_id % 7 in (0, 1, 2, 4) and value / 20 >= 4.0"""
+        f"""select round(score, 4) as score, flag, t as ts,
+            concat('d', cast(user_id as varchar)) as device_id, m as metric {ALERTS}
+        where abs(score) >= 4.0"""
     ),
     "normalize_rest": sql(
         """select event_id,
@@ -479,12 +495,10 @@ ORACLES: dict[str, str] = {
             case event_id % 8 when 1 then 'M1' else 'ESP32' end as model,
             'ingress-rest-api' as source,
             case when event_id % 8 in (0, 5) then 2 else 1 end as n_metrics,
-            case event_id % 8 when 0 then 'temperature,x' when 1 then 'humidity'
-                when 5 then 'soil_moisture,x' else 'humidity' end as names,
-            round(case event_id % 8 when 0 then value + value
-                when 1 then least(value, 100)
-                when 5 then value + least(greatest(value - 100, 0), 100)
-                else least(greatest(value - 50, 0), 100) end, 4) as total
+            case event_id % 8 when 0 then concat('temperature=', $value, ',x=', $value)
+                when 1 then concat('humidity=', $capped)
+                when 5 then concat('soil_moisture=', $clamped, ',x=', $value)
+                else concat('humidity=', $halved) end as readings
         from events where event_id % 8 in (0, 1, 5, 6)"""
     ),
     "rejected_payloads": sql(
@@ -508,11 +522,9 @@ ORACLES: dict[str, str] = {
                 when 1 then concat('iot/node-', cast(user_id as varchar), '/telemetry')
                 else 'iot/gate' end as topic,
             case when event_id % 7 in (0, 1) then 2 else 0 end as n_metrics,
-            case event_id % 7 when 0 then 'temperature,x' when 1 then 'humidity,soil_moisture'
-                else '' end as names,
-            round(case event_id % 7 when 0 then value + value
-                when 1 then least(value, 100) + least(greatest(value - 100, 0), 100)
-                else 0.0 end, 4) as total,
+            case event_id % 7 when 0 then concat('temperature=', $value, ',x=', $value)
+                when 1 then concat('humidity=', $capped, ',soil_moisture=', $clamped)
+                else '' end as readings,
             case event_id % 7 when 2 then concat('hello ', cast(event_id as varchar))
                 when 3 then concat('[', cast(value as varchar), ']')
                 when 4 then concat('code ', cast(event_id as varchar))
@@ -521,18 +533,17 @@ ORACLES: dict[str, str] = {
         from events"""
     ),
     "mqtt_wire_messages": sql(
-        """select device_id as key, device_id, names, count(*) as n,
-            cast(sum(n_metrics) as bigint) as n_metrics
+        """select device_id as key, device_id, n_metrics, readings
         from (select
                 case when event_id % 7 in (0, 5) then concat('d', cast(user_id as varchar))
                     when user_id % 3 = 0 then 'mqtt-device'
                     when user_id % 3 = 1 then concat('node-', cast(user_id as varchar))
                     else 'gate' end as device_id,
-                case event_id % 7 when 0 then 'temperature,x'
-                    when 1 then 'humidity,soil_moisture' when 5 then '' end as names,
+                case event_id % 7 when 0 then concat('temperature=', $value, ',x=', $value)
+                    when 1 then concat('humidity=', $capped, ',soil_moisture=', $clamped)
+                    when 5 then '' end as readings,
                 case event_id % 7 when 0 then 2 when 1 then 2 when 5 then 0 end as n_metrics
-            from events)
-        group by 1, 2, 3"""
+            from events)"""
     ),
     "normalize_board": sql(
         """select event_id, 'iot_event' as type, value as temperature,
@@ -601,30 +612,35 @@ ORACLES: dict[str, str] = {
     ),
     "stream_threshold_scored": sql(LIMIT_SCORED, "sensor_rows", "limits"),
     "stream_two_queries": sql(
-        """select cast(event_ts as date) as dt, device_id, count(*) as n, 'archive' as branch
-        from wide_rows group by 1, 2
+        """select 'archive' as branch, cast(event_ts as date) as dt, event_ts as ts, device_id,
+            round(temperature, 6) as temperature, round(humidity, 6) as humidity,
+            cast(null as double) as score from wide_rows
         union all
-        select cast(ts as date), device_id, count(*), 'peaks' from peaks where ts <= $open
-        group by 1, 2""",
+        select 'peaks', cast(ts as date), ts, device_id, round(value, 6), cast(null as double),
+            round(score, 6) from peaks where ts <= $open""",
         "wide_rows",
         "peaks",
         "closing",
     ),
     "stream_fan_out": sql(
-        """, closed as (select * from scored where window_end <= $open),
-        found as (select count(*) as n from closed where abs(zscore) >= 2.0)
-        select 'registry' as sink, n from found
-        union all select 'records', n from found
-        union all select 'lines', n from found
-        union all select 'metrics', count(*) from (
-            select distinct ts, device_id, location, coalesce(model, 'unknown') from closed)""",
+        f""", closed as (select * from scored where window_end <= $open)
+        select 'registry' as sink, concat(device_id, '|', metric, '|', severity, '|',
+            cast(value as varchar)) as value {ANOMALY_TEXT.replace("from scored", "from closed")}
+        union all select 'records', {MESSAGE} {ANOMALY_TEXT.replace("from scored", "from closed")}
+        union all select 'lines', {MARK} {ANOMALY_TEXT.replace("from scored", "from closed")}
+        union all select 'metrics', {POINT_LINE} from {POINTS.replace("from sensor_rows", "from closed")}""",
         "scored",
         "closing",
     ),
 }
-# topic inspection without a limit: the same rows with the text length in its place
+# topic inspection without a limit
 ORACLES["inspect_all_messages"] = (
-    "select \"partition\", \"offset\", key, kafka_ts, length(value) as value from ("
-    + ORACLES["inspect_messages"].replace("order by 1, 2 limit 20", "")
-    + ")"
+    "select * from (" + ORACLES["inspect_messages"].replace("order by 1, 2 limit 20", "") + ")"
+)
+ORACLES["stream_normalize_rest"] = ORACLES["normalize_rest"]
+ORACLES["stream_normalize_mqtt"] = ORACLES["normalize_mqtt"]
+ORACLES["stream_rejected"] = ORACLES["rejected_payloads"]
+ORACLES["stream_ingest"] = (
+    f"select device_id as key, cast(null as varchar) as reason from ({ORACLES['normalize_rest']})"
+    f" union all select device_id, reason from ({ORACLES['rejected_payloads']})"
 )

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegauge.functions.scores import severity
@@ -23,6 +23,7 @@ from tidegauge.operators import (
     registry,
 )
 from tidegauge.plans import fixtures as fx
+from tidegauge.plans import jobs
 from tidegauge.session import scratch_dir, tune
 from tidegauge.sinks import files
 from tidegauge.sources import tables
@@ -39,6 +40,8 @@ AS_OF = "2024-01-30 00:00:00"
 DAY = "1 day"
 FLEET_WINDOW = "30 days"
 DELAY = "2 minutes"
+# Thresholds are learned from the days up to this one.
+LEARNED_UNTIL = "2024-01-15"
 
 
 def query(f: Query) -> Query:
@@ -128,40 +131,42 @@ def sliding_peak_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- parsing -----------------------------------------------------------------
 
 
-def _map_summary(df: DataFrame) -> DataFrame:
-    """The metrics map as comparable columns: entry count, names, sum of values."""
-    values = F.map_values("metrics")
+def _with_readings(df: DataFrame) -> DataFrame:
+    """The metrics map as comparable columns: entry count and sorted entries."""
+
+    def entry(e: Column) -> Column:
+        return F.concat(e["key"], F.lit("="), F.coalesce(e["value"].cast("decimal(18,4)").cast("string"), F.lit("null")))
+
     return df.select(
         *[c for c in df.columns if c != "metrics"],
         F.when(F.col("metrics").isNotNull(), F.size("metrics")).alias("n_metrics"),
-        F.array_join(F.array_sort(F.map_keys("metrics")), ",").alias("names"),
-        F.aggregate(values, F.lit(0.0), lambda a, v: a + v).alias("total"),
+        F.array_join(F.array_sort(F.transform(F.map_entries("metrics"), entry)), ",").alias("readings"),
     )
 
 
 @query
 def parse_messages_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = fx.message_records(spark, sf_dir)
-    return fx.plain(_map_summary(parsing.parse_messages(records, keep=("offset",))))
+    return fx.plain(_with_readings(parsing.parse_messages(records, keep=("offset",))))
 
 
 @query
 def parse_messages_lenient(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = fx.message_records(spark, sf_dir)
     parsed = parsing.parse_messages(records, mode="lenient", keep=("offset",))
-    return fx.plain(_map_summary(parsed))
+    return fx.plain(_with_readings(parsed))
 
 
 @query
 def valid_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = parsing.parse_messages(fx.message_records(spark, sf_dir), keep=("offset",))
-    return fx.plain(_map_summary(parsing.valid_messages(parsed)))
+    return fx.plain(_with_readings(parsing.valid_messages(parsed)))
 
 
 @query
 def archive_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = parsing.parse_messages(fx.message_records(spark, sf_dir), keep=("offset",))
-    return fx.plain(_map_summary(parsing.archive_rows(parsed)))
+    return fx.plain(_with_readings(parsing.archive_rows(parsed)))
 
 
 @query
@@ -281,20 +286,28 @@ def registry_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     files.append_table(fx.schedules(spark, sf_dir), "maintain_schedules", root)
     found = registry.anomaly_columns(_fleet_anomalies(spark, sf_dir))
     files.append_table(found, "anomalies", root)
-    filled = tables.registry_table(spark, "anomalies", root).groupBy().count().first()[0]
+    stored = tables.registry_table(spark, "anomalies", root)
+    kept = os.path.join(root, "before-clearing")
+    stored.write.parquet(kept)
     files.clear_table(spark, "anomalies", root)
-    counts = [
-        tables.registry_table(spark, name, root).groupBy().agg(
-            F.lit(name).alias("name"), F.count("*").alias("n")
+
+    def held(rows: DataFrame, name: str, *columns: str) -> DataFrame:
+        text = F.concat_ws("|", *[F.col(c).cast("string") for c in columns])
+        return rows.select(F.lit(name).alias("name"), text.alias("row"))
+
+    anomaly_key = ("device_id", "metric", "severity")
+    return (
+        held(tables.registry_table(spark, "zones", root), "zones", "zone_id", "zone_code", "zone_name")
+        .unionByName(held(tables.registry_table(spark, "devices", root), "devices", "device_id", "zone_id", "model"))
+        .unionByName(
+            held(
+                tables.registry_table(spark, "maintain_schedules", root),
+                "maintain_schedules", "schedule_id", "device_id", "last_maintained",
+            )
         )
-        for name in ("zones", "devices", "maintain_schedules", "anomalies")
-    ]
-    before = spark.range(1).select(
-        F.lit("anomalies before clearing").alias("name"), F.lit(filled).alias("n")
+        .unionByName(held(spark.read.parquet(kept), "anomalies before clearing", *anomaly_key))
+        .unionByName(held(tables.registry_table(spark, "anomalies", root), "anomalies", *anomaly_key))
     )
-    for one in counts:
-        before = before.unionByName(one)
-    return before
 
 
 @query
@@ -368,9 +381,9 @@ def thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def threshold_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Readings against the thresholds of their device and metric."""
-    limits = offline.thresholds(offline.daily_stats(_event_days(spark, sf_dir)), k=2.0)
-    limits = limits.filter("metric <> 'error'")
+    """Readings against the thresholds of their device and metric, learned from earlier days."""
+    daily = offline.daily_stats(_event_days(spark, sf_dir), until=LEARNED_UNTIL)
+    limits = offline.thresholds(daily, k=2.0)
     return fx.plain(offline.score_against_thresholds(fx.sensor_rows(spark, sf_dir), limits))
 
 
@@ -402,13 +415,19 @@ def anomaly_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def metric_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = metrics.explode_metrics(fx.sensor_messages(spark, sf_dir))
-    return messages.metric_lines(rows)
+    """Lines straight from messages."""
+    return messages.message_lines(fx.sensor_messages(spark, sf_dir))
+
+
+@query
+def metric_lines_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines from readings that have to be brought together by point first."""
+    return messages.metric_lines(fx.sensor_rows(spark, sf_dir))
 
 
 @query
 def metric_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fx.plain(_map_summary(metrics.metric_points(fx.sensor_rows(spark, sf_dir))), 4)
+    return fx.plain(_with_readings(metrics.metric_points(fx.sensor_rows(spark, sf_dir))), 4)
 
 
 @query
@@ -437,8 +456,7 @@ def inspect_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def inspect_all_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shown = messages.inspect_messages(fx.message_records(spark, sf_dir), 0)
-    return shown.withColumn("value", F.length("value").cast("bigint"))
+    return messages.inspect_messages(fx.message_records(spark, sf_dir), 0)
 
 
 # --- ingestion ---------------------------------------------------------------
@@ -447,7 +465,7 @@ def inspect_all_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def normalize_rest(spark: SparkSession, sf_dir: str) -> DataFrame:
     payloads = normalize.read_rest_payloads(fx.rest_bodies(spark, sf_dir))
-    return fx.plain(_map_summary(normalize.normalize_rest(payloads, keep=("event_id",))), 4)
+    return fx.plain(_with_readings(normalize.normalize_rest(payloads, keep=("event_id",))), 4)
 
 
 @query
@@ -459,7 +477,7 @@ def rejected_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def normalize_mqtt(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = normalize.normalize_mqtt(fx.mqtt_records(spark, sf_dir), keep=("event_id",))
-    return fx.plain(_map_summary(rows), 4)
+    return fx.plain(_with_readings(rows), 4)
 
 
 @query
@@ -467,11 +485,7 @@ def mqtt_wire_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys of the records published, and the metrics a strict reader gets from them."""
     rows = normalize.normalize_mqtt(fx.mqtt_records(spark, sf_dir))
     parsed = parsing.parse_messages(messages.sensor_records(rows), keep=("key",))
-    return (
-        _map_summary(parsed)
-        .groupBy("key", "device_id", "names")
-        .agg(F.count("*").alias("n"), F.sum("n_metrics").alias("n_metrics"))
-    )
+    return _with_readings(parsed).select("key", "device_id", "n_metrics", "readings")
 
 
 @query
@@ -507,6 +521,49 @@ def drop_nan_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.drop_nan_readings(rows)
 
 
+@query
+def stream_normalize_rest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    payloads = normalize.read_rest_payloads(fx.rest_bodies(spark, sf_dir, True))
+    rows = normalize.normalize_rest(payloads, keep=("event_id",))
+    return fx.plain(_with_readings(runner.drained(rows, "rest")), 4)
+
+
+@query
+def stream_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    payloads = normalize.read_rest_payloads(fx.rest_bodies(spark, sf_dir, True))
+    rows = normalize.rejected_rest(payloads).select("event_id", "device_id", "reason")
+    return runner.drained(rows, "rejected")
+
+
+@query
+def stream_normalize_mqtt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = normalize.normalize_mqtt(fx.mqtt_records(spark, sf_dir, True), keep=("event_id",))
+    return fx.plain(_with_readings(runner.drained(rows, "mqtt")), 4)
+
+
+@query
+def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ingest job on a stream of bodies: keyed records, and refused bodies with their reason."""
+    root = scratch_dir(spark, "ingest")
+    raw, refused = os.path.join(root, "raw"), os.path.join(root, "refused")
+    bodies = fx.rest_bodies(spark, sf_dir, True)
+    writers = files.batch_writer(raw), files.batch_writer(refused)
+    runner.drain(jobs.ingest(bodies, *writers, os.path.join(root, "checkpoint")))
+    accepted = spark.read.parquet(raw).select("key", F.lit(None).cast("string").alias("reason"))
+    left = spark.read.parquet(refused).select(F.col("device_id").alias("key"), "reason")
+    return accepted.unionByName(left)
+
+
+@query
+def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every alert line of a stream of anomaly messages, through the job's file sink."""
+    root = scratch_dir(spark, "alerts")
+    path = os.path.join(root, "lines")
+    lines = jobs.alert_rows(fx.alert_messages(spark, sf_dir, True))
+    runner.drain(files.text_stream(lines, path, os.path.join(root, "checkpoint")))
+    return spark.read.text(path)
+
+
 # --- streams: what a stream gives for the data present --------------------------
 
 
@@ -559,14 +616,15 @@ def stream_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = os.path.join(root, "raw")
     rows = parsing.archive_rows(parsed)
     runner.drain(files.archive_stream(rows, path, os.path.join(root, "checkpoint")))
-    return fx.plain(_map_summary(tables.lake(spark, path)))
+    return fx.plain(_with_readings(tables.lake(spark, path)))
 
 
 @query
 def stream_threshold_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A stream against static thresholds; nothing waits for a window to close."""
-    limits = offline.thresholds(offline.daily_stats(_event_days(spark, sf_dir)), k=2.0)
-    limits = limits.filter("metric <> 'error'")
+    """A stream against exported thresholds; nothing waits for a window to close."""
+    path = os.path.join(scratch_dir(spark, "thresholds"), "limits")
+    jobs.export_thresholds(offline.daily_stats(_event_days(spark, sf_dir), until=LEARNED_UNTIL), path, k=2.0)
+    limits = spark.read.parquet(path)
     rows = fx.sensor_rows(spark, sf_dir, True)
     scored = offline.score_against_thresholds(rows, limits)
     return fx.plain(runner.drained(scored, "limits"))
@@ -596,16 +654,18 @@ def stream_two_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_ts timestamp, device_id string, temperature double, humidity double, dt date"
     ).json(archive)
     raised = spark.read.schema(found.schema).parquet(peaks)
-    return (
-        kept.groupBy("dt", "device_id")
-        .agg(F.count("*").alias("n"))
-        .withColumn("branch", F.lit("archive"))
-        .unionByName(
-            raised.groupBy(F.to_date("ts").alias("dt"), "device_id")
-            .agg(F.count("*").alias("n"))
-            .withColumn("branch", F.lit("peaks"))
+    columns = ("branch", "dt", "ts", "device_id", "temperature", "humidity", "score")
+    none = F.lit(None).cast("double")
+    both = kept.select(
+        F.lit("archive").alias("branch"), "dt", F.col("event_ts").alias("ts"), "device_id", "temperature", "humidity",
+        none.alias("score"),
+    ).unionByName(
+        raised.select(
+            F.lit("peaks").alias("branch"), F.to_date("ts").alias("dt"), "ts", "device_id",
+            F.col("value").alias("temperature"), none.alias("humidity"), "score",
         )
     )
+    return fx.plain(both.select(*columns))
 
 
 @query
@@ -614,6 +674,9 @@ def stream_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "fanout")
     out = {name: os.path.join(root, name) for name in ("registry", "records", "metrics", "lines")}
 
+    def found(batch: DataFrame) -> DataFrame:
+        return anomaly.anomalies(batch).withColumn("score", F.round("score", 4))
+
     def failing(_: DataFrame, __: int) -> None:
         raise RuntimeError("unreachable broker")
 
@@ -624,13 +687,13 @@ def stream_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
         Sink(
             "records",
             files.batch_writer(out["records"]),
-            lambda batch: messages.anomaly_messages(anomaly.anomalies(batch)),
+            lambda batch: messages.anomaly_messages(found(batch)),
         ),
         Sink("metrics", files.batch_writer(out["metrics"], "text"), messages.metric_lines),
         Sink(
             "lines",
             files.batch_writer(out["lines"], "text"),
-            lambda batch: messages.anomaly_lines(anomaly.anomalies(batch)),
+            lambda batch: messages.anomaly_lines(found(batch)),
         ),
     ]
     scored = _daily_scores(spark, sf_dir, True)
@@ -639,12 +702,14 @@ def stream_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
             "checkpointLocation", os.path.join(root, "checkpoint")
         )
     )
-    counts = None
-    for name, path in out.items():
-        reader = spark.read.text if name in ("metrics", "lines") else spark.read.parquet
-        one = reader(path).groupBy().agg(F.lit(name).alias("sink"), F.count("*").alias("n"))
-        counts = one if counts is None else counts.unionByName(one)
-    return counts
+    stored = spark.read.parquet(out["registry"])
+    delivered = stored.select(
+        F.lit("registry").alias("sink"),
+        F.concat_ws("|", "device_id", "metric", "severity", F.col("value").cast("string")).alias("value"),
+    ).unionByName(spark.read.parquet(out["records"]).select(F.lit("records").alias("sink"), "value"))
+    for name in ("metrics", "lines"):
+        delivered = delivered.unionByName(spark.read.text(out[name]).select(F.lit(name).alias("sink"), "value"))
+    return delivered
 
 
 @query

@@ -8,7 +8,6 @@ change results (time zone) or let Spark choose plans by measured size.
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -59,16 +58,10 @@ def tune(spark: SparkSession) -> SparkSession:
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder every executor can reach.
 
-    The parent is the folder named by ``spark.checkpoint.dir``. Only where the
-    session names none and runs on this machine alone (tests), a local folder is
-    made and remembered in the session.
+    The parent is the folder named by ``spark.checkpoint.dir``; a session that names
+    none keeps scratch tables next to its other tables, in the warehouse.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = spark.conf.get("spark.tidegauge.scratch", None)
-    if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="tidegauge-")
-        spark.conf.set("spark.tidegauge.scratch", base)
+        base = os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "tidegauge-scratch")
     return os.path.join(base, f"{purpose}-{uuid.uuid4().hex}")

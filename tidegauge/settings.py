@@ -24,8 +24,6 @@ WATERMARK = "2 minutes"
 Z_THRESHOLD = 2.0
 MIN_STD = 0.05
 ALERT_THRESHOLD = 3.0
-MAX_OFFSETS = 1000
-
 
 class MissingSetting(RuntimeError):
     """A required setting is not in the environment."""
@@ -67,7 +65,10 @@ class BrokerSettings:
     raw_topic: str = TOPIC_RAW
     anomaly_topic: str = TOPIC_ANOMALY
     starting_offsets: str = "latest"
-    max_offsets_per_trigger: int = MAX_OFFSETS
+    #: Records per micro-batch; none by default, so that a job takes what its cluster can do.
+    max_offsets_per_trigger: int | None = None
+    #: Fail when the topic has lost records that were not read yet, rather than skip them.
+    fail_on_data_loss: bool = True
 
     @classmethod
     def from_env(cls, env: Mapping[str, str] | None = None) -> BrokerSettings:
@@ -77,23 +78,24 @@ class BrokerSettings:
             raw_topic=env.get("KAFKA_TOPIC_RAW") or env.get("KAFKA_TOPIC") or cls.raw_topic,
             anomaly_topic=env.get("KAFKA_TOPIC_ANOMALY", cls.anomaly_topic),
             starting_offsets=env.get("KAFKA_STARTING_OFFSETS", cls.starting_offsets),
-            max_offsets_per_trigger=int(env.get("MAX_OFFSETS_PER_TRIGGER", MAX_OFFSETS)),
+            max_offsets_per_trigger=int(env.get("MAX_OFFSETS_PER_TRIGGER", "0")) or None,
+            fail_on_data_loss=flag(env, "FAIL_ON_DATA_LOSS", True),
         )
 
 
 @dataclass(frozen=True)
 class LakeSettings:
-    raw_path: str = "s3a://iot-datalake/raw"
-    offline_path: str = "s3a://iot-datalake/offline_stats"
+    raw_path: str
+    offline_path: str | None = None
+    thresholds_path: str | None = None
 
     @classmethod
     def from_env(cls, env: Mapping[str, str] | None = None) -> LakeSettings:
         env = os.environ if env is None else env
         return cls(
-            raw_path=env.get("RAW_S3_PATH", cls.raw_path),
-            offline_path=env.get("OFFLINE_STATS_S3_PATH")
-            or env.get("OUT_S3_PATH")
-            or cls.offline_path,
+            raw_path=require(env, "RAW_S3_PATH"),
+            offline_path=env.get("OFFLINE_STATS_S3_PATH") or env.get("OUT_S3_PATH"),
+            thresholds_path=env.get("THRESHOLDS_S3_PATH"),
         )
 
 

@@ -12,6 +12,10 @@ from pyspark.sql.streaming import DataStreamWriter
 from tidegauge import schemas
 
 
+# Spark writes instants to JSON in milliseconds unless told otherwise.
+JSON_TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+
+
 def archive_stream(
     rows: DataFrame, path: str, checkpoint: str, file_format: str = "parquet"
 ) -> DataStreamWriter:
@@ -22,6 +26,7 @@ def archive_stream(
     """
     return (
         rows.writeStream.format(file_format)
+        .options(**JSON_TIMES if file_format == "json" else {})
         .partitionBy("dt")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
@@ -29,7 +34,7 @@ def archive_stream(
 
 
 def append_json(rows: DataFrame, path: str) -> None:
-    rows.write.mode("append").json(path)
+    rows.write.mode("append").options(**JSON_TIMES).json(path)
 
 
 def overwrite_days(rows: DataFrame, path: str, only_given_days: bool = False) -> None:
@@ -61,14 +66,29 @@ def batch_writer(path: str, file_format: str = "parquet") -> Callable[[DataFrame
     return write
 
 
-def console_stream(rows: DataFrame, checkpoint: str) -> DataStreamWriter:
+def text_stream(lines: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
+    """Append a stream of lines (one column) to text files, every line exactly once."""
     return (
-        rows.writeStream.format("console")
-        .option("truncate", "false")
+        lines.writeStream.format("text")
+        .option("path", path)
         .option("checkpointLocation", checkpoint)
     )
 
 
+def console_stream(lines: DataFrame, checkpoint: str) -> DataStreamWriter:
+    """Print every line of a stream (one column); for a person who watches.
+
+    Spark's console sink prints 20 rows of a micro-batch and drops the rest.
+    """
+    return lines.writeStream.foreachBatch(print_lines).option("checkpointLocation", checkpoint)
+
+
+def print_lines(lines: DataFrame, _: int = 0) -> None:
+    """Print all rows of one column, fetched partition by partition."""
+    for (line,) in lines.toLocalIterator():
+        print(line, flush=True)
+
+
 def append_table(rows: DataFrame, name: str, root: str) -> None:
     """Append rows to a registry table with its declared column order and types."""
     _declared(rows, name).write.mode("append").parquet(os.path.join(root, name))

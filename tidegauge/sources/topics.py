@@ -16,23 +16,27 @@ def topic_options(broker: BrokerSettings, topic: str) -> dict[str, str]:
         "kafka.bootstrap.servers": broker.bootstrap,
         "subscribe": topic,
         "startingOffsets": broker.starting_offsets,
-        "failOnDataLoss": "false",
+        "failOnDataLoss": str(broker.fail_on_data_loss).lower(),
     }
 
 
 def topic_stream(spark: SparkSession, broker: BrokerSettings, topic: str) -> DataFrame:
-    """Endless records of a topic, rate limited per trigger."""
-    return (
-        spark.readStream.format("kafka")
-        .options(**topic_options(broker, topic))
-        .option("maxOffsetsPerTrigger", str(broker.max_offsets_per_trigger))
-        .load()
-    )
-
-
-def topic_records(spark: SparkSession, broker: BrokerSettings, topic: str) -> DataFrame:
-    """The records a topic holds now, from its beginning."""
-    options = {**topic_options(broker, topic), "startingOffsets": "earliest"}
+    """Endless records of a topic, rate limited per trigger if the deployment says so."""
+    reader = spark.readStream.format("kafka").options(**topic_options(broker, topic))
+    if broker.max_offsets_per_trigger:
+        reader = reader.option("maxOffsetsPerTrigger", str(broker.max_offsets_per_trigger))
+    return reader.load()
+
+
+def topic_records(
+    spark: SparkSession, broker: BrokerSettings, topic: str, starting: str = "earliest", ending: str = "latest"
+) -> DataFrame:
+    """The records a topic holds now.
+
+    ``starting`` and ``ending`` are names or JSON offsets per partition; with the
+    latter an inspection reads no more than the records it shows.
+    """
+    options = {**topic_options(broker, topic), "startingOffsets": starting, "endingOffsets": ending}
     return spark.read.format("kafka").options(**options).load()
 
 
