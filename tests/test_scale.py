@@ -32,7 +32,7 @@ def test_hot_group_is_split_over_tasks(spark, conf):
     conf("spark.sql.shuffle.partitions", "16")
     scored = anomaly.score_rows(skewed_rows(spark), "1 hour")
     # a filter on the device would leave nothing for the hot key to stand out from
-    rows = scored.select("device_id", "mean", F.spark_partition_id().alias("task"))
+    rows = scored.select("device_id", "mean", "value", F.spark_partition_id().alias("task"))
     hot = [r for r in rows.collect() if r["device_id"] == "hot"]
     assert len(hot) == 100_000 and len({r["mean"] for r in hot}) == 1
     assert len({r["task"] for r in hot}) > 1
