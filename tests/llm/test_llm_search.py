@@ -1,0 +1,174 @@
+import hashlib
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidegauge.llm import decontamination, edit_fingerprints
+from tidegauge.llm.workers import portions
+
+WORDS = ["harbour", "tide", "moon", "gauge", "of", "the", "level", "rises", "and", "falls", "twice", "a", "day", "étale", "Flut"]
+
+
+def prose(seed, n=40):
+    r = random.Random(seed)
+    return " ".join(r.choice(WORDS) + r.choice(["", "", "s", "ly"]) for _ in range(n))
+
+
+def edited(text, edits, seed):
+    r, text = random.Random(seed), list(text)
+    for _ in range(edits):
+        i = r.randrange(len(text))
+        kind = r.randrange(3)
+        if kind == 0:
+            text[i] = "#"
+        elif kind == 1:
+            del text[i]
+        else:
+            text.insert(i, "#")
+    return "".join(text)
+
+
+def least_distance(pattern, text):
+    """Edit distance of a pattern to the best part of a text, cell by cell."""
+    above = [0] * (len(text) + 1)
+    for i, p in enumerate(pattern, 1):
+        row = [i]
+        for j, t in enumerate(text, 1):
+            row.append(min(above[j - 1] + (p != t), above[j] + 1, row[-1] + 1))
+        above = row
+    return min(above)
+
+
+def test_bit_parallel_distance():
+    r = random.Random(1)
+    for _ in range(300):
+        p = "".join(r.choice("abc") for _ in range(r.randrange(1, 12)))
+        t = "".join(r.choice("abc") for _ in range(r.randrange(0, 20)))
+        best, end = decontamination.best_end(decontamination.bit_masks(p), len(p), t)
+        assert best == least_distance(p, t)
+        assert least_distance(p, t[:end]) == best
+
+
+@pytest.fixture(scope="module")
+def cases():
+    items = [(i, prose(1000 + i)) for i in range(12)] + [(50, prose(1000)), (51, None), (52, ""), (None, prose(1003))]
+    docs = [(i, prose(i, 60)) for i in range(30)]
+    for i in range(12):
+        item = items[i][1]
+        budget = int(0.07 * len(item))
+        docs += [
+            (100 + i, prose(i, 20) + " " + item.upper() + " " + prose(i + 1, 20)),
+            (200 + i, prose(i, 20) + edited(item, budget, i) + prose(i + 1, 20)),
+            (300 + i, prose(i, 20) + edited(item, 4 * budget, i) + prose(i + 1, 20)),
+        ]
+    docs += [(400, None), (401, ""), (402, items[1][1] + items[2][1]), (None, items[3][1]), (403, items[4][1]), (403, items[4][1])]
+    return docs, items
+
+
+def wanted(docs, items, rate=0.07):
+    found = []
+    for doc_id, text in docs:
+        for item_id, item in items:
+            if text and item:
+                d = least_distance(item.lower(), text.lower())
+                if d <= int(rate * len(item)):
+                    found.append((doc_id, item_id, d))
+    return sorted(found, key=repr)
+
+
+def test_matches_equal_brute_force(spark, cases, monkeypatch):
+    docs, items = cases
+    table = spark.createDataFrame(docs, "doc_id long, text string").withColumn("item_id", F.lit("clash"))
+    benchmark = spark.createDataFrame(items, "item_id long, text string").withColumn("doc_id", F.lit(1))
+    found = decontamination.matches(table, benchmark)
+    texts = dict(docs)
+    rows = found.collect()
+    assert sorted(((r["doc_id"], r["item_id"], r["distance"]) for r in rows), key=repr) == wanted(docs, items)
+    for r in rows:
+        if r["distance"] == 0 and r["doc_id"] is not None and r["item_id"] is not None:
+            assert texts[r["doc_id"]][r["start"] : r["end"]].lower() == dict(items)[r["item_id"]].lower()
+    # a benchmark larger than a block takes several scans
+    monkeypatch.setattr(decontamination, "BLOCK_CHARS", 600)
+    again = decontamination.matches(table, benchmark)
+    assert sorted(map(tuple, again.collect()), key=repr) == sorted(map(tuple, rows), key=repr)
+
+
+def test_decontaminated_keeps_clean_rows(spark, cases):
+    docs, items = cases
+    table = spark.createDataFrame(docs, "doc_id long, text string").withColumn("lang", F.lit("en"))
+    kept = decontamination.decontaminated(table, spark.createDataFrame(items, "item_id long, text string"))
+    assert kept.columns == table.columns
+    dirty = {repr(d) for d, _, _ in wanted(docs, items)}
+    assert sorted(repr(r["doc_id"]) for r in kept.collect()) == sorted(repr(d) for d, _ in docs if repr(d) not in dirty)
+
+
+def test_empty_tables(spark, cases):
+    docs = spark.createDataFrame(cases[0], "doc_id long, text string")
+    none = spark.createDataFrame([], "item_id long, text string")
+    assert decontamination.matches(docs, none).count() == 0
+    assert decontamination.decontaminated(docs, none).count() == docs.count()
+    assert decontamination.matches(docs.limit(0), spark.createDataFrame(cases[1], "item_id long, text string")).count() == 0
+
+
+def test_walks_meet_again_after_edits():
+    text = prose(1, 2000)
+    for n in (1, 3):
+        for seed in range(5):
+            assert edit_fingerprints.likeness(*map(edit_fingerprints.fingerprint, (text, edited(text, n, seed)))) > 0.7
+    assert edit_fingerprints.likeness(*map(edit_fingerprints.fingerprint, (text, prose(2, 2000)))) < 0.4
+
+
+def test_levels_are_comparable():
+    text = prose(1, 700)
+    longer = text + prose(9, 60)
+    values = [edit_fingerprints.likeness(*map(edit_fingerprints.fingerprint, (text[:n], longer[: n + 40]))) for n in range(1000, 4000, 211)]
+    assert min(values) > 0.6
+
+
+def test_pieces_of_a_walk_do_not_matter(monkeypatch):
+    text = prose(4, 300)
+    whole = edit_fingerprints.fingerprint(text)
+    monkeypatch.setattr(edit_fingerprints, "PORTION", 17)
+    assert edit_fingerprints.fingerprint(text) == whole
+    assert edit_fingerprints.fingerprint(None) == edit_fingerprints.fingerprint("") == "00"
+
+
+def test_compared_with_next(spark):
+    docs = [(i * 3, prose(i, 5 + i % 30)) for i in range(80)] + [(7, None), (8, ""), (10, "ab"), (None, "none"), (12, prose(4, 9)), (12, prose(5, 9))]
+    df = spark.createDataFrame(docs, "doc_id long, text string").withColumn("key", F.lit(1)).repartition(5)
+    found = edit_fingerprints.compared_with_next(df).collect()
+    order = sorted(((-(2**63) if d is None else d, t or "") for d, t in docs), key=lambda r: (-r[0], r[1]))
+    want = []
+    for (doc_id, text), (_, following) in zip(order, order[1:] + order[:1], strict=True):
+        k = len(text) // 3
+        changed = text[: len(text) - k] + following[:k]
+        prints = [edit_fingerprints.fingerprint(x) for x in (text, changed, following)]
+        want.append((None if doc_id == -(2**63) else doc_id, len(text), hashlib.sha256(changed.encode()).hexdigest(), prints[0], prints[1],
+                     edit_fingerprints.likeness(prints[0], prints[1]), edit_fingerprints.likeness(prints[0], prints[2])))
+    assert sorted(map(tuple, found), key=repr) == sorted(want, key=repr)
+    assert edit_fingerprints.compared_with_next(df.limit(0)).count() == 0
+    one = edit_fingerprints.compared_with_next(spark.createDataFrame([(1, "abc")], "doc_id long, text string")).collect()
+    assert one[0]["near_next"] == 1.0
+
+
+def test_near_pairs_find_edited_texts(spark):
+    docs = [prose(i, 400) for i in range(15)]
+    docs += [edited(t, 4, i) for i, t in enumerate(docs)] + docs[:3]
+    prints = [edit_fingerprints.fingerprint(t) for t in docs]
+    df = spark.createDataFrame([(p,) for p in prints], "fingerprint string")
+    got = {(r["a"], r["b"]) for r in edit_fingerprints.near_pairs(df).collect()}
+    distinct = sorted(set(prints))
+    want = {(a, b) for a in distinct for b in distinct if a < b and edit_fingerprints.likeness(a, b) >= 0.8}
+    assert got <= want and len(got) >= 0.9 * len(want) > 5
+
+
+def test_portions_are_bounded_and_whole(monkeypatch):
+    import pyarrow as pa
+
+    from tidegauge.llm import workers
+
+    monkeypatch.setattr(workers, "PORTION", 10)
+    batch = pa.RecordBatch.from_pydict({"text": ["aaaa", None, "b" * 50, "", "cc", "dddddddddd"]})
+    parts = [p.column(0).to_pylist() for p in portions(batch, "text", 2)]
+    assert [x for p in parts for x in p] == batch.column(0).to_pylist() and max(map(len, parts)) <= 2

@@ -1,0 +1,100 @@
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidegauge.llm import surrogates
+
+SCHEMA = "doc_id long, text string"
+TEXTS = [
+    "write to Ann.Lee@mail.example.com or ann.lee@mail.example.com, not bob@x.org",
+    "call +1 (487) 555-7209 or +14875557209, card 4539578763621486 and 4539 5787 6362 1486",
+    "host 10.20.30.40, version 2.0, ratio 1.2.3, long 1.2.3.4.5 and date 2024-01-05",
+    'token = "04dbebab91ab85687d33eeaaf9ac699e1188f962" api_key: Zx81abcdEFGH4455',
+    "Mrs Ada Miller met Mr Miller and Frau Weber; Госпожа Иванова, Господин Петров",
+    "ssn 123-45-6789, iban DE89 3704 0044 0532 0130 00 and DE89370400440532013000",
+    "nothing here, von Mitte bis Ende. License version 3.",
+    None,
+    "",
+]
+
+
+@pytest.fixture(scope="module")
+def replaced(spark):
+    rows = list(enumerate(TEXTS)) + [(None, TEXTS[0]), (3, TEXTS[3]), (20, "x" * 60_000 + " " + TEXTS[0])]
+    df = spark.createDataFrame(rows, SCHEMA).withColumn("kinds", F.lit("clash")).withColumn("entities", F.lit("clash")).withColumn("id", F.lit(1))
+    return surrogates.replaced(df, "key")
+
+
+def by_id(df):
+    return {r["doc_id"]: r for r in df.collect()}
+
+
+def test_all_entities_go_and_the_rest_stays(replaced):
+    rows = by_id(replaced)
+    assert replaced.columns == ["doc_id", "text", "entities", "id", "n_replaced", "kinds"]
+    for i, text in enumerate(TEXTS):
+        assert rows[i]["n_replaced"] == len(rows[i]["kinds"])
+        if not rows[i]["n_replaced"]:
+            assert rows[i]["text"] == text
+    assert [rows[i]["n_replaced"] for i in range(9)] == [3, 4, 1, 2, 5, 3, 0, 0, 0]
+    kept = " ".join(r["text"] or "" for r in rows.values())
+    for secret in ("lee@", "bob@", "555-7209", "45395787", "10.20.30.40", "04dbebab", "Zx81", "Miller", "Weber", "Иванова", "123-45", "3704"):
+        assert secret.lower() not in kept.lower()
+    assert "version 2.0, ratio 1.2.3, long 1.2.3.4.5 and date 2024-01-05" in rows[2]["text"]
+    assert rows[0]["text"].startswith("write to ") and ", not " in rows[0]["text"]
+
+
+def test_coreference_and_distinctness(replaced):
+    rows = by_id(replaced)
+    a, b, c = re.findall(r"\S+@[\w.-]+\w", rows[0]["text"])
+    assert a == b != c and a.endswith(".com") and c.endswith(".org")
+    assert rows[20]["text"].endswith(rows[0]["text"]) and rows[None]["text"] == rows[0]["text"]
+    phones = re.findall(r"\+1[ (]*\d{3}[) ]*\d{3}-?\d{4}", rows[1]["text"])
+    cards = re.findall(r"\b\d{4} ?\d{4} ?\d{4} ?\d{4}\b", rows[1]["text"])
+    for found in (phones, cards):
+        assert len(found) == 2 and re.sub(r"\D", "", found[0]) == re.sub(r"\D", "", found[1])
+    ibans = re.findall(r"DE[\d ]{19,}\d", rows[5]["text"])
+    assert ibans[0].replace(" ", "") == ibans[1] and ibans[0].count(" ") == 5
+
+
+def luhn(digits):
+    total = 0
+    for i, c in enumerate(reversed(digits)):
+        d = int(c) * (1 + i % 2)
+        total += d - 9 if d > 9 else d
+    return total % 10
+
+
+def test_formats(spark, replaced):
+    rows = by_id(replaced)
+    card = re.search(r"\b4\d{15}\b", rows[1]["text"]).group()
+    assert luhn("4539578763621486") == luhn(card)
+    assert all(1 <= int(x) <= 254 for x in re.search(r"host (\S+),", rows[2]["text"]).group(1).split("."))
+    assert re.search(r'token = "[0-9a-f]{40}" api_key: [A-Z][a-z]\d{2}[a-z]{4}[A-Z]{4}\d{4}$', rows[3]["text"])
+    names = re.fullmatch(r"Mrs (\w+) (\w+na) met Mr (\w+rd) and Frau (\w+na); Госпожа ([а-яА-Я]+ова), Господин ([а-яА-Я]+ов)", rows[4]["text"])
+    assert names, rows[4]["text"]
+
+
+def test_surrogates_depend_on_the_key_alone(spark):
+    df = spark.createDataFrame([(1, TEXTS[0]), (2, TEXTS[1])], SCHEMA)
+    one, again, other = (by_id(surrogates.replaced(df, key)) for key in ("a", "a", "b"))
+    assert one[1]["text"] == again[1]["text"] != other[1]["text"]
+
+
+def test_crowded_forms_stay_distinct(spark):
+    # 60 of the 100 numbers of this form, drawn from the same 100
+    values = [("ssn", f"{i:02d}") for i in range(60)] + [("ip", f"10.0.0.{i}") for i in range(200)]
+    df = spark.createDataFrame(values, "kind string, value string")
+    found = surrogates.surrogates(df, "k", surrogates.Workspace(spark, "crowd")).collect()
+    assert len(found) == 260 and len({(r["kind"], r["surrogate"]) for r in found}) == 260
+    assert not {(r["kind"], r["surrogate"]) for r in found} & set(values)
+
+
+def test_main_path_runs_no_python(spark, replaced):
+    plan = replaced._jdf.queryExecution().executedPlan().toString()
+    assert not any(x in plan for x in ("Python", "Arrow", "Pandas", "Cartesian", "NestedLoop"))
+
+
+def test_empty_table(spark):
+    assert surrogates.replaced(spark.createDataFrame([], SCHEMA), "k").count() == 0

@@ -106,17 +106,18 @@ class Model:
         self.counts = counts
         self.start = len(counts) - 1
         self.words = int(counts[:-1].sum())
+        self.size = FREQUENT
         self.frequent: np.ndarray | None = None
 
     def is_frequent(self, ids: np.ndarray) -> np.ndarray:
         """Ids follow the frequency of words, so the frequent ones are the smallest."""
-        return (ids < FREQUENT - 1) | (ids == self.start)
+        return (ids < self.size - 1) | (ids == self.start)
 
     def dense(self, packed: np.ndarray) -> np.ndarray:
         """Place of a bigram of two frequent ids in the table, -1 for others."""
         a, b = packed >> BITS, packed & ((1 << BITS) - 1)
         both = self.is_frequent(a) & self.is_frequent(b)
-        return np.where(both, np.minimum(a, FREQUENT - 1) * FREQUENT + np.minimum(b, FREQUENT - 1), -1)
+        return np.where(both, np.minimum(a, self.size - 1) * self.size + np.minimum(b, self.size - 1), -1)
 
     def bigrams(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(row, packed bigram, times) of some texts, each pair once, by row."""
@@ -142,7 +143,7 @@ def _count_frequent(shared) -> Callable:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        table = np.zeros(FREQUENT * FREQUENT, np.int64)
+        table = np.zeros(model.size**2, np.int64)
         for batch in batches:
             for some in portions(batch, "text", TOGETHER):
                 _, packed, times = model.bigrams(some.column("text").to_pylist())

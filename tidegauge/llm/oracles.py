@@ -20,7 +20,7 @@ with split as (
   ) group by source
 ), kept as (
   select s.doc_id, s.source, s.text, s.lines,
-         case when b.drops is null then s.lines else list_filter(s.lines, x ->
+         case when b.drops is null then s.lines else list_filter(s.lines, lambda x:
            not list_contains(b.drops, trim(x, ' ' || chr(9) || chr(13) || chr(11) || chr(12)))) end as rest
   from split s left join boilerplate b on s.source = b.source
 )
