@@ -35,7 +35,9 @@ USUAL_PLAIN = re.compile(r"""'(?:[stmd]|re|ve|ll)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]
 #: A character on which the two might differ: anything but ASCII, Latin letters and their punctuation.
 NOT_PLAIN = re.compile(r"[^\t\n\r -~\u00a1-\u00ac\u00ae\u00af\u00b0\u00b4\u00b6-\u00b8\u00bb\u00bf-\u024f]")
 #: Pieces a worker remembers; beyond that it starts anew.
-REMEMBERED = 250_000
+REMEMBERED = 120_000
+#: Texts whose ids a worker holds at a time.
+TOGETHER = 512
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -95,7 +97,9 @@ def _encode_texts(vocabulary: Vocabulary) -> Callable[[Column], Column]:
         split = splitter(vocabulary.pattern)
         ids = vocabulary.pieces().__getitem__
         for texts in batches:
-            yield _id_lists([b"".join(map(ids, split(x))) if x else b"" for x in texts.to_pylist()])
+            for at in range(0, len(texts), TOGETHER):
+                some = texts.slice(at, TOGETHER).to_pylist()
+                yield _id_lists([b"".join(map(ids, split(x))) if x else b"" for x in some])
 
     return encode
 
@@ -238,13 +242,15 @@ def decode(ids: Column, vocabulary: Vocabulary) -> Column:
         token = vocabulary.tokens().__getitem__
         for lists in batches:
             ids = lists.values.to_numpy(zero_copy_only=False)
-            ends = lists.offsets.to_pylist()
-            yield pa.array(
-                [
-                    b"".join(map(token, ids[a:b].tolist())) if known.as_py() else None
-                    for a, b, known in zip(ends, ends[1:], lists.is_valid(), strict=False)
-                ],
-                pa.binary(),
-            )
+            ends, known = lists.offsets.to_pylist(), lists.is_valid().to_pylist()
+            for at in range(0, len(known), TOGETHER):
+                some = slice(at, at + TOGETHER)
+                yield pa.array(
+                    [
+                        b"".join(map(token, ids[a:b].tolist())) if valid else None
+                        for a, b, valid in zip(ends[some], ends[at + 1 :], known[some], strict=False)
+                    ],
+                    pa.binary(),
+                )
 
     return decoded(ids)
