@@ -141,8 +141,11 @@ def score(docs: DataFrame, weights: np.ndarray) -> Column:
     def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         w, hashes = shared.value, once_per_worker("quality hashes", 0, _Hashes)
         for texts in batches:
-            found = [features(x, hashes) for x in texts.to_pylist()]
-            yield pa.array([float(sigmoid(float(w[index] @ value))) for index, value in found], pa.float64())
+            dots = np.zeros(len(texts))
+            for i, text in enumerate(texts.to_pylist()):
+                index, value = features(text, hashes)
+                dots[i] = w[index] @ value
+            yield pa.array(sigmoid(dots))
 
     return scored(F.col("text"))
 
