@@ -29,11 +29,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.llm.tables import Workspace, fold, known_labels
-from tidegauge.llm.workers import once_per_worker, portions
+from tidegauge.llm.workers import once_per_worker, portions, slim
 
 #: Labelled documents everything is fitted on, at most about.
 SAMPLE = 10_000
-SHARD = 1_250
+SHARD = 800
 FEATURES = 1 << 20
 MASK = FEATURES - 1
 BEGINNINGS = (4, 5, 6)
@@ -46,8 +46,9 @@ SUPPORT, ODDS = 4, 3.0
 THRESHOLD = 0.5
 #: Marginals from which a token is reported as an offending span.
 SPAN = 0.5
-REMEMBERED = 300_000
-TOGETHER = 1_024
+#: Tokens a worker remembers the emission of, and the features of; beyond that it starts anew.
+REMEMBERED, REMEMBERED_FEATURES = 150_000, 50_000
+TOGETHER = 512
 
 #: Most tokens of a chain; a longer line is several chains.
 CHAIN = 256
@@ -67,7 +68,7 @@ def token_features(token: str) -> list[int]:
 
 class _Features(dict):
     def __missing__(self, token: str) -> list[int]:
-        if len(self) >= REMEMBERED:
+        if len(self) >= REMEMBERED_FEATURES:
             self.clear()
         found = self[token] = token_features(token)
         return found
@@ -164,18 +165,20 @@ def _fit_shards(shared) -> object:
     """For ``mapInArrow``: (index, value) of every shard's parameters; moves come after the features."""
 
     def fitted(rows: list, telling: np.ndarray) -> pa.RecordBatch:
-        known, lengths, index, owner, tags = _Features(), [], [], [], []
+        # packed, as lists of numbers would take many times the memory
+        known, lengths, index, sizes, tags = _Features(), array("i"), array("i"), array("b"), array("b")
         for text, label in rows:
             for tokens in chains(text):
                 lengths.append(len(tokens))
                 for token in tokens:
                     f = known[token]
-                    owner.extend([len(tags)] * len(f))
+                    sizes.append(len(f))
                     index.extend(f)
-                    tags.append(label and telling[f].any())
-        lengths, index, owner = (np.array(x, np.int64) for x in (lengths, index, owner))
-        tags = np.array(tags, float)
-        token_ends, feature_ends = np.cumsum(lengths), np.searchsorted(owner, np.arange(len(tags) + 1))
+                    tags.append(1 if label and telling[f].any() else 0)
+        lengths, index, sizes, tags = (np.array(x) for x in (lengths, index, sizes, tags))
+        owner = np.repeat(np.arange(len(tags), dtype=np.int32), sizes)
+        token_ends = np.cumsum(lengths, dtype=np.int64)
+        feature_ends = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))
         weights, moves = np.zeros(FEATURES), np.zeros((2, 2))
         squares, move_squares = np.full(FEATURES, 1e-2), np.full((2, 2), 1e-2)
         random = np.random.default_rng(7)
@@ -184,13 +187,14 @@ def _fit_shards(shared) -> object:
             some = lengths[at : at + STEP]
             a = token_ends[at] - lengths[at]
             b = a + some.sum()
-            tag = tags[a:b]
+            tag = tags[a:b].astype(float)
             inner = np.ones(b - a, bool)
             inner[np.cumsum(some) - some] = False
             j = np.flatnonzero(inner)
             real = np.bincount((2 * tag[j - 1] + tag[j]).astype(int), minlength=4).reshape(2, 2)
             which, back = np.unique(index[feature_ends[a] : feature_ends[b]], return_inverse=True)
-            steps.append((some, tag, real, owner[feature_ends[a] : feature_ends[b]] - a, which, back))
+            o = owner[feature_ends[a] : feature_ends[b]] - np.int32(a)
+            steps.append((some, tag, real, o, which, back.astype(np.int32)))
         for _ in range(EPOCHS):
             for at in random.permutation(len(steps)):
                 some, tag, real, o, which, back = steps[at]
@@ -213,7 +217,7 @@ def _fit_shards(shared) -> object:
         telling = np.zeros(FEATURES, bool)
         telling[shared.value] = True
         shard, rows = None, []
-        for batch in batches:
+        for batch in slim(batches):
             for number, text, label in zip(*(batch.column(c).to_pylist() for c in ("shard", "text", "label")), strict=True):
                 if number != shard and rows:
                     yield fitted(rows, telling)
@@ -281,7 +285,7 @@ def _tag(shared, keep: list[str]):
     def tag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tagger = shared.value
         kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("p", pa.float64())]))
-        for whole in batches:
+        for whole in slim(batches):
             for batch in portions(whole, "text", TOGETHER):
                 texts = batch.column("text").to_pylist()
                 evidence, per_doc = tagger.summaries(texts)
@@ -374,7 +378,7 @@ def without_toxic(docs: DataFrame, tagger: Tagger, threshold: float = THRESHOLD)
     @F.arrow_udf("double")
     def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tagger = shared.value
-        for texts in batches:
+        for texts in slim(batches):
             whole = pa.RecordBatch.from_arrays([texts], names=["text"])
             found = [
                 tagger.scores(tagger.summaries(some.column("text").to_pylist())[0])

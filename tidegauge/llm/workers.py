@@ -22,6 +22,15 @@ def once_per_worker(kind: str, key: Hashable, build: Callable[[], Any]) -> Any:
     return _kept[kind][1]
 
 
+def slim(batches: Iterator) -> Iterator:
+    """The batches; gives memory that is no longer used back when they end.
+
+    A worker stays for later tasks, of other stages as well, and would keep it.
+    """
+    yield from batches
+    pa.default_memory_pool().release_unused()
+
+
 def portions(batch: pa.RecordBatch, column: str, rows: int) -> Iterator[pa.RecordBatch]:
     """Slices of at most ``rows`` rows and about ``PORTION`` bytes of a text column."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
