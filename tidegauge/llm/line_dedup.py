@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidegauge.llm.tables import Workspace
+
 RATIO = 0.1
 MIN_PAGES = 5
 
@@ -74,7 +76,9 @@ def drop_boilerplate(
     """
     of = F.col(host) if isinstance(host, str) else host
     whole = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), of.alias("host"), F.col(text).alias("text"))
-    found = boilerplate(whole.select("host", "text"), ratio, min_pages)
+    # kept first, as its size then tells whether the texts have to be shuffled at all
+    space = Workspace(docs.sparkSession, "line-dedup")
+    found = space.keep(boilerplate(whole.select("host", "text"), ratio, min_pages), "boilerplate")
     lines = F.split("text", "\n")
     kept = F.filter(lines, lambda x: ~F.array_contains("lines", _line_key(x)))
     marked = (
