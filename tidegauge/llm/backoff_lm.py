@@ -3,8 +3,8 @@
 The vocabulary is the most frequent words of all documents, every other word is one
 unknown word. A bigram of vocabulary ids packs exactly into a long. Every document's
 bigrams are dealt to buckets by a hash; a bucket holds all occurrences of its bigrams,
-so its count table and the join with the documents' bigrams take one shuffle. Sums per
-document and bucket are added up by Spark. Bigrams of two very frequent words, the only
+so its count table and the join with the documents' bigrams take one shuffle. The sums
+go back packed, a portion of documents at a time, and are added up there. Bigrams of two very frequent words, the only
 ones that could fill a bucket, are counted ahead in a small table that is broadcast.
 
 The score of a word w after c is others(c w) / count(c), where ``others`` leaves out
@@ -25,6 +25,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -185,58 +186,98 @@ def _deal(shared, buckets: int) -> Callable:
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        kinds = (pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary(), pa.list_(pa.float64()))
+        # a repeated task reads the same rows and numbers its portions alike
+        portion = TaskContext.get().partitionId() << 32
+        kinds = (pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary(), pa.list_(pa.float64()))
         for batch in batches:
             for some in portions(batch, "text", TOGETHER):
-                dealt = list(rows(model, some.column(0).to_pylist(), some.column(1).to_pylist()))
+                found = rows(model, some.column(0).to_pylist(), some.column(1).to_pylist())
+                dealt = [(bucket, portion, *rest) for bucket, *rest in found]
+                portion += 1
                 if dealt:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(x, kind) for x, kind in zip(zip(*dealt, strict=True), kinds, strict=True)],
-                        names=["bucket", "docs", "sizes", "bigrams", "sums"],
+                        names=["bucket", "portion", "docs", "sizes", "bigrams", "sums"],
                     )
 
     return deal
 
 
-DEALT = "bucket int, docs array<long>, sizes array<int>, bigrams binary, sums array<double>"
+DEALT = "bucket int, portion long, docs array<long>, sizes array<int>, bigrams binary, sums array<double>"
+SCORED = "portion long, docs array<long>, times array<long>, sums array<double>"
 SUMS = "doc_id long, log_score double, n_words long"
 
 
 def _score(shared) -> Callable:
-    """For ``mapInArrow`` over dealt rows sorted by bucket: sums per document and bucket."""
+    """For ``mapInArrow`` over dealt rows sorted by bucket: sums per document, for each dealt row."""
 
-    def per_document(docs, logs, times) -> pa.RecordBatch:
-        which, at = np.unique(docs, return_inverse=True)
-        sums = np.bincount(at, logs, len(which)), np.bincount(at, times, len(which)).astype(np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(which), *map(pa.array, sums)], names=["doc_id", "log_score", "n_words"])
-
-    def scored(model: Model, held: list) -> Iterator[pa.RecordBatch]:
-        docs, entries = (np.concatenate(x) for x in zip(*held, strict=True))
+    def scored(model: Model, held: list) -> Iterator[tuple]:
+        entries = np.concatenate([e for *_, e in held])
         packed, times = entries & PAIR, entries >> 2 * BITS
         _, at = np.unique(packed, return_inverse=True)
         total = np.bincount(at, times)[at].astype(np.int64)
-        yield per_document(docs, times * model.log_scores(packed, total - times), times)
+        logs, begin = times * model.log_scores(packed, total - times), 0
+        for portion, docs, sizes, own in held:
+            # the bigrams of a document stand together
+            some = slice(begin, begin + len(own))
+            begin += len(own)
+            starts = np.cumsum(sizes, dtype=np.int64) - sizes
+            yield portion, docs, np.add.reduceat(times[some], starts), np.add.reduceat(logs[some], starts)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, bucket, held = shared.value, None, []
         for batch in batches:
             for row in range(batch.num_rows):
-                number, docs, sizes, bigrams, sums = (batch.column(c)[row] for c in range(5))
+                number, portion, docs, sizes, bigrams, sums = (batch.column(c)[row] for c in range(6))
                 docs, sizes = (x.values.to_numpy(zero_copy_only=False) for x in (docs, sizes))
                 if bigrams.as_py() is None:
-                    yield per_document(docs, sums.values.to_numpy(zero_copy_only=False), sizes)
+                    ready = sums.values.to_numpy(zero_copy_only=False)
+                    yield _rows([(portion.as_py(), docs, sizes, ready)])
                     continue
                 if number.as_py() != bucket and held:
-                    yield from scored(model, held)
+                    yield _rows(list(scored(model, held)))
                     held = []
                 bucket = number.as_py()
-                held.append((np.repeat(docs, sizes), np.frombuffer(bigrams.as_py(), np.int64)))
+                held.append((portion.as_py(), docs, sizes, np.frombuffer(bigrams.as_py(), np.int64)))
         if held:
-            yield from scored(model, held)
+            yield _rows(list(scored(model, held)))
 
     return score
 
 
+def _rows(scored: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.float64()))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(x, kind) for x, kind in zip(zip(*scored, strict=True), kinds, strict=True)],
+        names=["portion", "docs", "times", "sums"],
+    )
+
+
+def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For ``mapInArrow`` over scored rows sorted by portion: one row per document of a portion.
+
+    A portion gathers no more numbers than its documents have bigrams.
+    """
+    portion, held = None, []
+
+    def added():
+        docs, times, sums = (np.concatenate(x) for x in zip(*held, strict=True))
+        which, at = np.unique(docs, return_inverse=True)
+        found = np.bincount(at, sums, len(which)), np.bincount(at, times, len(which)).astype(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(which), *map(pa.array, found)], names=["doc_id", "log_score", "n_words"])
+
+    for batch in batches:
+        for row in range(batch.num_rows):
+            number = batch.column(0)[row].as_py()
+            if number != portion and held:
+                yield added()
+                held = []
+            portion = number
+            held.append(tuple(batch.column(c)[row].values.to_numpy(zero_copy_only=False) for c in (1, 2, 3)))
+    if held:
+        yield added()
+
+
 def scores(docs: DataFrame, vocabulary_size: int = VOCABULARY) -> DataFrame:
     """(doc_id, n_words, log_score, mean_log_score) of every document, by the counts of all of them."""
     spark = docs.sparkSession
@@ -269,7 +310,8 @@ def scores(docs: DataFrame, vocabulary_size: int = VOCABULARY) -> DataFrame:
     dealt = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(missing)).alias("doc_id"), "text").mapInArrow(
         _deal(shared, buckets), DEALT
     )
-    summed = dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_score(shared), SUMS)
+    scored = dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_score(shared), SCORED)
+    summed = scored.repartition("portion").sortWithinPartitions("portion").mapInArrow(_add, SUMS)
     per_document = summed.groupBy("doc_id").agg(F.sum("log_score").alias("log_score"), F.sum("n_words").alias("n_words"))
     return (
         docs.filter("doc_id is not null")
