@@ -211,12 +211,15 @@ def surrogates(entities: DataFrame, key: str, space: Workspace) -> DataFrame:
     """
     pending = space.keep(entities.select("kind", "value").distinct(), "entities")
     real = pending.select("kind", F.col("value").alias("surrogate"))
+    # entities are short and draws are long work: dealt by number of tasks, not by size
+    tasks = int(entities.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     settled = None
     for attempt in range(DRAWS + 1):
         draw = drawn(F.col("kind"), F.col("value"), key, F.lit(attempt))
         if attempt == DRAWS:  # more entities than surrogates of their form
             draw = F.concat(draw, F.lit("-"), F.substring(F.sha2(F.concat(F.lit(key), "value"), 256), F.lit(1), F.lit(16)))
-        candidates = space.keep(pending.select("kind", "value", draw.alias("surrogate")), f"drawn-{attempt}")
+        dealt = pending.repartition(tasks, "kind", "value")
+        candidates = space.keep(dealt.select("kind", "value", draw.alias("surrogate")), f"drawn-{attempt}")
         # the smallest of each, aggregated before the shuffle
         first = candidates.groupBy("kind", "surrogate").agg(F.min("value").alias("value"))
         free = first.join(real, ["kind", "surrogate"], "left_anti")
