@@ -72,6 +72,23 @@ def test_backoff_scores_equal_brute_force(spark, monkeypatch, size, bucket):
             assert got[doc_id][1] is None
 
 
+def test_rare_words_have_counts_of_their_own(spark):
+    # more words of one count than have ids: they must not become one unknown word
+    docs = [(i, " ".join(f"w{j}" for j in range(i * 1000, i * 1000 + 1100))) for i in range(70)]
+    docs += [(100, "the w5 w6 the w5 junk"), (101, "junk w3 the the w5"), (None, "w7 w8"), (100, "w7 w8 the")]
+    got = {r["doc_id"]: (r["n_words"], r["log_score"]) for r in backoff_lm.scores(spark.createDataFrame(docs, SCHEMA)).collect()}
+    assert got == {d: (n, pytest.approx(s)) for d, (n, s) in brute_scores(docs, 10**9).items()}
+
+
+@pytest.mark.parametrize("ids", [0, 5, 30])
+def test_words_without_id_change_nothing(spark, monkeypatch, ids):
+    monkeypatch.setattr(backoff_lm, "VOCABULARY", ids)
+    monkeypatch.setattr(backoff_lm, "BUCKET", 50)
+    docs = [(i, prose(i, 30)) for i in range(40)]
+    got = {r["doc_id"]: r["log_score"] for r in backoff_lm.scores(spark.createDataFrame(docs, SCHEMA)).collect()}
+    assert all(got[d] == pytest.approx(s) for d, (_, s) in brute_scores(docs, 10**9).items())
+
+
 def test_few_frequent_bigrams_change_nothing(spark, monkeypatch):
     monkeypatch.setattr(backoff_lm, "FREQUENT", 4)
     docs = [(i, prose(i, 30)) for i in range(40)]

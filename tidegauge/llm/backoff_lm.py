@@ -1,11 +1,14 @@
 """Stupid-backoff scores of documents, computed from count tables.
 
-The vocabulary is the most frequent words of all documents, every other word is one
-unknown word. A bigram of vocabulary ids packs exactly into a long. Every document's
-bigrams are dealt to buckets by a hash; a bucket holds all occurrences of its bigrams,
-so its count table and the join with the documents' bigrams take one shuffle. The sums
-go back packed, a portion of documents at a time, and are added up there. Bigrams of two very frequent words, the only
-ones that could fill a bucket, are counted ahead in a small table that is broadcast.
+Every word has a count of its own. The most frequent words have ids, whose counts are
+broadcast; any other word is known by a 64-bit hash, and its count stays in a table that
+grows with the corpus. Every document's bigrams are dealt to buckets by a hash; a bucket
+holds all occurrences of its bigrams, so its count table and the join with the documents'
+bigrams take one shuffle. The sums go back packed, a portion of documents at a time, and
+are added up there; where a score needs the count of a word without id, the document's
+(word, times) is joined to the table of counts. Bigrams of two very frequent words, the
+only ones that could fill a bucket, are counted ahead in a small table that is broadcast.
+With a ``vocabulary_size`` the model is closed: words without id are one unknown word.
 
 The score of a word w after c is others(c w) / count(c), where ``others`` leaves out
 the document's own occurrences, so that a text is judged by all the others; where no
@@ -19,9 +22,11 @@ its own occurrences; rows without doc_id are counted and not scored.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Callable, Iterator
+from itertools import chain, count, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +38,7 @@ from tidegauge.llm.tables import Workspace
 from tidegauge.llm.workers import portions
 
 BACKOFF = 0.4
-#: Words with a count of their own; with their counts this is about a megabyte.
+#: Words with an id, whose counts are broadcast; with their counts this is about a megabyte.
 VOCABULARY = 65_535
 #: The most frequent ids, whose bigrams are counted ahead: any other bigram makes up less than 1 in 512.
 FREQUENT = 512
@@ -41,13 +46,11 @@ FREQUENT = 512
 BUCKET = 2_000_000
 #: Distinct words a task counts before it hands them on.
 COUNTED = 500_000
-#: Bits of a word id; two ids and how often a document has them fit into a long.
-BITS = 17
-PAIR = (1 << 2 * BITS) - 1
 #: Documents whose bigrams travel together.
 TOGETHER = 2_048
 #: What stands for the number of documents among the word counts; no word is empty.
 DOCUMENTS = ""
+MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 def words(text: str | None) -> list[str]:
@@ -97,12 +100,26 @@ def vocabulary(counts: DataFrame, size: int) -> dict[str, tuple[int, int]]:
 
 
 
+def hashed(word: str) -> int:
+    """What stands for a word without id: 63 bits of a hash, and always negative."""
+    return int.from_bytes(hashlib.blake2b(word.encode(), digest_size=8).digest(), "little") % 2**63 - 2**63
+
+
+def _hash_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For ``mapInArrow``: (word, n) with the word's hash in its place."""
+    for batch in batches:
+        found = pa.array([hashed(w) for w in batch.column(0).to_pylist()], pa.int64())
+        yield pa.RecordBatch.from_arrays([found, batch.column(1)], names=["word", "n"])
+
+
 class Model:
     """What all tasks share of the counts: the vocabulary and the frequent bigrams."""
 
-    def __init__(self, ids: dict[str, int], counts: np.ndarray):
+    def __init__(self, ids: dict[str, int], counts: np.ndarray, closed: bool):
         self.key = uuid.uuid4().hex
         self.ids = ids
+        #: whether words without id are one unknown word
+        self.closed = closed
         #: count of each id; 0 is the unknown word, the last one begins documents
         self.counts = counts
         self.start = len(counts) - 1
@@ -110,33 +127,72 @@ class Model:
         self.size = FREQUENT
         self.frequent: np.ndarray | None = None
 
-    def is_frequent(self, ids: np.ndarray) -> np.ndarray:
-        """Ids follow the frequency of words, so the frequent ones are the smallest."""
-        return (ids < self.size - 1) | (ids == self.start)
+    def is_frequent(self, numbers: np.ndarray) -> np.ndarray:
+        """Ids follow the frequency of words, so the frequent ones are the smallest; hashes are negative."""
+        return ((numbers >= 0) & (numbers < self.size - 1)) | (numbers == self.start)
 
-    def dense(self, packed: np.ndarray) -> np.ndarray:
+    def dense(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
         """Place of a bigram of two frequent ids in the table, -1 for others."""
-        a, b = packed >> BITS, packed & ((1 << BITS) - 1)
-        both = self.is_frequent(a) & self.is_frequent(b)
-        return np.where(both, np.minimum(a, self.size - 1) * self.size + np.minimum(b, self.size - 1), -1)
+        both = self.is_frequent(first) & self.is_frequent(second)
+        return np.where(both, np.minimum(first, self.size - 1) * self.size + np.minimum(second, self.size - 1), -1)
 
-    def bigrams(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(row, packed bigram, times) of some texts, each pair once, by row."""
+    def number(self, word: str) -> int:
+        found = self.ids.get(word)
+        return found if found is not None else 0 if self.closed else hashed(word)
+
+    def bigrams(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(row, first, second, times) of some texts, each bigram of a row once, by row."""
         found = [words(x) for x in texts]
         lengths = np.fromiter(map(len, found), np.int64, len(found))
-        get = self.ids.get
-        ids = np.fromiter((get(w, 0) for x in found for w in x), np.int64, int(lengths.sum()))
+        # words are told apart by their place among those of these texts, 0 begins a document
+        places: dict[str, int] = defaultdict(count(1).__next__)
+        ids = np.fromiter(map(places.__getitem__, chain.from_iterable(found)), np.int64, int(lengths.sum()))
+        numbers = np.fromiter((self.start, *map(self.number, places)), np.int64, len(places) + 1)
         row = np.repeat(np.arange(len(found)), lengths)
-        before = np.concatenate(([self.start], ids[:-1])) if len(ids) else ids
-        before[np.flatnonzero(np.diff(row, prepend=-1))] = self.start
-        both, times = np.unique(row << 2 * BITS | before << BITS | ids, return_counts=True)
-        return both >> 2 * BITS, both & PAIR, times
-
-    def log_scores(self, packed: np.ndarray, others: np.ndarray) -> np.ndarray:
-        context = self.counts[packed >> BITS]
-        alone = self.counts[packed & ((1 << BITS) - 1)]
+        before = np.concatenate(([0], ids[:-1])) if len(ids) else ids
+        before[np.flatnonzero(np.diff(row, prepend=-1))] = 0
+        if self.closed:  # several words may be the unknown one
+            merged, at = np.unique(numbers, return_inverse=True)
+            numbers, ids, before = merged, at[ids], at[before]
+        # a single long text may have many words, so row and both places must not be packed blindly
+        bits = len(numbers).bit_length()
+        if len(found).bit_length() + 2 * bits < 64:
+            both, times = np.unique(row << 2 * bits | before << bits | ids, return_counts=True)
+            which = (1 << bits) - 1
+            return both >> 2 * bits, numbers[both >> bits & which], numbers[both & which], times
+        both, times = np.unique(np.stack((row, before, ids)), axis=1, return_counts=True)
+        return both[0], numbers[both[1]], numbers[both[2]], times
+
+    def frequent_bigrams(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """(first, second) of every bigram in turn; words without id are the unknown word or -1."""
+        found = [words(x) for x in texts]
+        lengths = np.fromiter(map(len, found), np.int64, len(found))
+        ids = map(self.ids.get, chain.from_iterable(found), repeat(0 if self.closed else -1))
+        second = np.fromiter(ids, np.int64, int(lengths.sum()))
+        first = np.concatenate(([self.start], second[:-1])) if len(second) else second
+        first[(np.cumsum(lengths) - lengths)[lengths > 0]] = self.start
+        return first, second
+
+    def log_scores(self, first: np.ndarray, second: np.ndarray, others: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Logarithms of the scores, the word whose count they need and the sign of its logarithm.
+
+        They lack the logarithm of that count if the word is a hash.
+        """
         seen = others > 0
-        return np.log(np.where(seen, others / context, BACKOFF * alone / self.words))
+        needed, sign = np.where(seen, first, second), np.where(seen, -1, 1)
+        counts = np.where(needed >= 0, self.counts[np.maximum(needed, 0)], 1)
+        return np.log(np.where(seen, others, BACKOFF / self.words)) + sign * np.log(counts), needed, sign
+
+
+def packed(numbers: np.ndarray) -> bytes:
+    """Compressed: the first bytes of all numbers, then their second ones, and so on, as most numbers are small."""
+    turned = np.ascontiguousarray(numbers.astype(np.int64).view(np.uint8).reshape(-1, 8).T)
+    return pa.compress(turned.tobytes(), codec="zstd", asbytes=True)
+
+
+def unpacked(data: bytes, n: int) -> np.ndarray:
+    turned = np.frombuffer(pa.decompress(data, 8 * n, codec="zstd"), np.uint8).reshape(8, n)
+    return np.ascontiguousarray(turned.T).view(np.int64).ravel()
 
 
 def _count_frequent(shared) -> Callable:
@@ -147,9 +203,8 @@ def _count_frequent(shared) -> Callable:
         table = np.zeros(model.size**2, np.int64)
         for batch in batches:
             for some in portions(batch, "text", TOGETHER):
-                _, packed, times = model.bigrams(some.column("text").to_pylist())
-                place = model.dense(packed)
-                table += np.bincount(place[place >= 0], times[place >= 0], len(table)).astype(np.int64)
+                place = model.dense(*model.frequent_bigrams(some.column("text").to_pylist()))
+                table += np.bincount(place[place >= 0], minlength=len(table))
         pair = np.flatnonzero(table)
         yield pa.RecordBatch.from_arrays([pa.array(pair), pa.array(table[pair])], names=["pair", "n"])
 
@@ -159,36 +214,37 @@ def _count_frequent(shared) -> Callable:
 def _deal(shared, buckets: int) -> Callable:
     """For ``mapInArrow``: (doc_id, text) to rows of many documents' bigrams of one bucket.
 
-    Such a row has the documents, the number of bigrams of each, and the bigrams with
-    their number of times in the upper bits. Frequent bigrams are scored at once; their
-    sums travel in rows of their own.
+    Such a row has the documents, the number of bigrams of each, and the two words of the
+    bigrams and their number of times. Frequent bigrams are scored at once; their sums
+    travel in rows of their own.
     """
 
     def rows(model: Model, docs: list, texts: list) -> Iterator[tuple]:
         ids = np.array(docs, np.int64)
-        row, packed, times = model.bigrams(texts)
-        place = model.dense(packed)
+        row, first, second, times = model.bigrams(texts)
+        place = model.dense(first, second)
         ready = place >= 0
         if ready.any():
-            logs = times[ready] * model.log_scores(packed[ready], model.frequent[place[ready]] - times[ready])
-            sums, n = (np.bincount(row[ready], x, len(docs)) for x in (logs, times[ready]))
+            own = times[ready]
+            logs = own * model.log_scores(first[ready], second[ready], model.frequent[place[ready]] - own)[0]
+            sums, n = (np.bincount(row[ready], x, len(docs)) for x in (logs, own))
             some = np.flatnonzero(n)
-            yield int(ids[some[0]] % buckets), ids[some], n[some].astype(np.int32), None, sums[some]
-        row, packed, times = row[~ready], packed[~ready], times[~ready]
-        mixed = (packed.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
+            yield int(ids[some[0]] % buckets), ids[some], n[some].astype(np.int32), None, None, None, sums[some]
+        row, first, second, times = (x[~ready] for x in (row, first, second, times))
+        mixed = (first.astype(np.uint64) * MIX ^ second.astype(np.uint64)) * MIX >> np.uint64(33)
         bucket = (mixed % np.uint64(buckets)).astype(np.int32)
         by = np.argsort(bucket, kind="stable")
         cuts = np.flatnonzero(np.diff(bucket[by])) + 1
         for part in np.split(by, cuts) if len(by) else []:
             which, sizes = np.unique(row[part], return_counts=True)
-            entries = times[part] << 2 * BITS | packed[part]
-            yield int(bucket[part[0]]), ids[which], sizes.astype(np.int32), entries.tobytes(), None
+            entries = packed(first[part]), packed(second[part]), packed(times[part])
+            yield int(bucket[part[0]]), ids[which], sizes.astype(np.int32), *entries, None
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         # a repeated task reads the same rows and numbers its portions alike
         portion = TaskContext.get().partitionId() << 32
-        kinds = (pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary(), pa.list_(pa.float64()))
+        kinds = (pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), *[pa.binary()] * 3, pa.list_(pa.float64()))
         for batch in batches:
             for some in portions(batch, "text", TOGETHER):
                 found = rows(model, some.column(0).to_pylist(), some.column(1).to_pylist())
@@ -197,14 +253,18 @@ def _deal(shared, buckets: int) -> Callable:
                 if dealt:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(x, kind) for x, kind in zip(zip(*dealt, strict=True), kinds, strict=True)],
-                        names=["bucket", "portion", "docs", "sizes", "bigrams", "sums"],
+                        names=["bucket", "portion", "docs", "sizes", "first", "second", "times", "sums"],
                     )
 
     return deal
 
 
-DEALT = "bucket int, portion long, docs array<long>, sizes array<int>, bigrams binary, sums array<double>"
-SCORED = "portion long, docs array<long>, times array<long>, sums array<double>"
+DEALT = "bucket int, portion long, docs array<long>, sizes array<int>, first binary, second binary, times binary, sums array<double>"
+#: ``of`` has the documents that need the logarithm of the count of ``word`` so many ``signed`` times.
+SCORED = (
+    "portion long, docs array<long>, times array<long>, sums array<double>, "
+    "of array<long>, word array<long>, signed array<long>"
+)
 SUMS = "doc_id long, log_score double, n_words long"
 
 
@@ -212,33 +272,45 @@ def _score(shared) -> Callable:
     """For ``mapInArrow`` over dealt rows sorted by bucket: sums per document, for each dealt row."""
 
     def scored(model: Model, held: list) -> Iterator[tuple]:
-        entries = np.concatenate([e for *_, e in held])
-        packed, times = entries & PAIR, entries >> 2 * BITS
-        _, at = np.unique(packed, return_inverse=True)
-        total = np.bincount(at, times)[at].astype(np.int64)
-        logs, begin = times * model.log_scores(packed, total - times), 0
-        for portion, docs, sizes, own in held:
+        lengths = [int(sizes.sum()) for _, _, sizes, _ in held]
+        first, second, times = (
+            np.concatenate([unpacked(entries[i], n) for (*_, entries), n in zip(held, lengths, strict=True)]) for i in range(3)
+        )
+        order = np.lexsort((second, first))
+        new = np.ones(len(order), bool)
+        new[1:] = np.diff(first[order]) != 0
+        new[1:] |= np.diff(second[order]) != 0
+        others = np.empty(len(order), np.int64)
+        others[order] = np.add.reduceat(times[order], np.flatnonzero(new))[np.cumsum(new) - 1]
+        del order, new
+        others -= times
+        begin = 0
+        for (portion, docs, sizes, _), n in zip(held, lengths, strict=True):
             # the bigrams of a document stand together
-            some = slice(begin, begin + len(own))
-            begin += len(own)
+            some = slice(begin, begin + n)
+            begin += n
+            own = times[some]
+            logs, needed, sign = model.log_scores(first[some], second[some], others[some])
             starts = np.cumsum(sizes, dtype=np.int64) - sizes
-            yield portion, docs, np.add.reduceat(times[some], starts), np.add.reduceat(logs[some], starts)
+            lacks = needed < 0
+            lacking = np.repeat(docs, sizes)[lacks], needed[lacks], (sign * own)[lacks]
+            yield portion, docs, np.add.reduceat(own, starts), np.add.reduceat(own * logs, starts), *lacking
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, bucket, held = shared.value, None, []
         for batch in batches:
             for row in range(batch.num_rows):
-                number, portion, docs, sizes, bigrams, sums = (batch.column(c)[row] for c in range(6))
+                number, portion, docs, sizes, *entries, sums = (batch.column(c)[row] for c in range(8))
                 docs, sizes = (x.values.to_numpy(zero_copy_only=False) for x in (docs, sizes))
-                if bigrams.as_py() is None:
+                if entries[0].as_py() is None:
                     ready = sums.values.to_numpy(zero_copy_only=False)
-                    yield _rows([(portion.as_py(), docs, sizes, ready)])
+                    yield _rows([(portion.as_py(), docs, sizes, ready, [], [], [])])
                     continue
                 if number.as_py() != bucket and held:
                     yield _rows(list(scored(model, held)))
                     held = []
                 bucket = number.as_py()
-                held.append((portion.as_py(), docs, sizes, np.frombuffer(bigrams.as_py(), np.int64)))
+                held.append((portion.as_py(), docs, sizes, [x.as_py() for x in entries]))
         if held:
             yield _rows(list(scored(model, held)))
 
@@ -246,10 +318,10 @@ def _score(shared) -> Callable:
 
 
 def _rows(scored: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.float64()))
+    kinds = (pa.int64(), *[pa.list_(pa.int64())] * 2, pa.list_(pa.float64()), *[pa.list_(pa.int64())] * 3)
     return pa.RecordBatch.from_arrays(
         [pa.array(x, kind) for x, kind in zip(zip(*scored, strict=True), kinds, strict=True)],
-        names=["portion", "docs", "times", "sums"],
+        names=["portion", "docs", "times", "sums", "of", "word", "signed"],
     )
 
 
@@ -278,15 +350,18 @@ def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield added()
 
 
-def scores(docs: DataFrame, vocabulary_size: int = VOCABULARY) -> DataFrame:
-    """(doc_id, n_words, log_score, mean_log_score) of every document, by the counts of all of them."""
+def scores(docs: DataFrame, vocabulary_size: int | None = None) -> DataFrame:
+    """(doc_id, n_words, log_score, mean_log_score) of every document, by the counts of all of them.
+
+    Every word counts for itself, unless a ``vocabulary_size`` closes the vocabulary.
+    """
     spark = docs.sparkSession
     space = Workspace(spark, "backoff-lm")
     texts = docs.select("text")
     counts = space.keep(
         texts.mapInArrow(_count_words, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")), "words"
     )
-    known = vocabulary(counts, vocabulary_size)
+    known = vocabulary(counts, VOCABULARY if vocabulary_size is None else vocabulary_size)
     sums = counts.groupBy((F.col("word") == DOCUMENTS).alias("is_documents")).agg(F.sum("n").alias("n")).collect()
     total = {r.is_documents: r.n for r in sums}
     table = np.zeros(len(known) + 2, np.int64)
@@ -294,7 +369,7 @@ def scores(docs: DataFrame, vocabulary_size: int = VOCABULARY) -> DataFrame:
         table[number] = n
     table[0] = total.get(False, 0) - table.sum()
     table[-1] = total.get(True, 0)
-    model = Model({word: number for word, (number, _) in known.items()}, table)
+    model = Model({word: number for word, (number, _) in known.items()}, table, vocabulary_size is not None)
 
     frequent = texts.mapInArrow(
         _count_frequent(spark.sparkContext.broadcast(model)), "pair long, n long"
@@ -310,9 +385,18 @@ def scores(docs: DataFrame, vocabulary_size: int = VOCABULARY) -> DataFrame:
     dealt = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(missing)).alias("doc_id"), "text").mapInArrow(
         _deal(shared, buckets), DEALT
     )
-    scored = dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_score(shared), SCORED)
-    summed = scored.repartition("portion").sortWithinPartitions("portion").mapInArrow(_add, SUMS)
-    per_document = summed.groupBy("doc_id").agg(F.sum("log_score").alias("log_score"), F.sum("n_words").alias("n_words"))
+    scored = space.keep(
+        dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_score(shared), SCORED), "scored"
+    )
+    sums = scored.select("portion", "docs", "times", "sums")
+    summed = sums.repartition("portion").sortWithinPartitions("portion").mapInArrow(_add, SUMS)
+    # scores that lack the logarithm of a count, and the counts of all words
+    lacking = scored.select(F.explode(F.arrays_zip("of", "word", "signed")).alias("x")).select("x.*")
+    others = counts.filter(F.col("word") != DOCUMENTS).mapInArrow(_hash_words, "word long, n long")
+    added = lacking.join(others, "word").select(
+        F.col("of").alias("doc_id"), (F.col("signed") * F.log("n")).alias("log_score"), F.lit(0).cast("long").alias("n_words")
+    )
+    per_document = summed.unionByName(added).groupBy("doc_id").agg(F.sum("log_score").alias("log_score"), F.sum("n_words").alias("n_words"))
     return (
         docs.filter("doc_id is not null")
         .select(F.col("doc_id").cast("long"))
