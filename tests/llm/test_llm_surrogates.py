@@ -76,6 +76,20 @@ def test_formats(spark, replaced):
     assert names, rows[4]["text"]
 
 
+def test_secrets_in_any_case(spark):
+    secret = "9233A8ECF7C5B09FE5949719B6B82BC439E9329B"
+    texts = [
+        f'TOKEN = "{secret}"', f"see {secret} there", "Password: correcthorsebattery", "API_KEY=Zx81abcdEFGHab",
+        "AWS_SECRET_ACCESS_KEY=wJalrXUtnFEMIabc", f"see {secret[:20]}{secret[20:].lower()} there", f"see {secret.lower()} there",
+    ]
+    rows = by_id(surrogates.replaced(spark.createDataFrame(list(enumerate(texts)), SCHEMA), "key"))
+    assert [rows[i]["kinds"] for i in range(7)] == [["secret"]] * 7
+    assert not any(re.search("(?i)9233A8ECF7C5B09F|correcthorse|Zx81abcd|wJalrXUt", r["text"]) for r in rows.values())
+    assert re.fullmatch('TOKEN = "[0-9A-F]{40}"', rows[0]["text"]) and rows[1]["text"][4:44] == rows[0]["text"][9:49]
+    assert re.fullmatch("AWS_SECRET_ACCESS_KEY=[A-Za-z]{16}", rows[4]["text"])
+    assert re.fullmatch("see [0-9A-Fa-f]{40} there", rows[5]["text"]) and re.fullmatch("see [0-9a-f]{40} there", rows[6]["text"])
+
+
 def test_surrogates_depend_on_the_key_alone(spark):
     df = spark.createDataFrame([(1, TEXTS[0]), (2, TEXTS[1])], SCHEMA)
     one, again, other = (by_id(surrogates.replaced(df, key)) for key in ("a", "a", "b"))

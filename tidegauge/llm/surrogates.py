@@ -22,7 +22,7 @@ from tidegauge.llm.tables import Workspace
 
 #: Entity patterns, tried in this order at each place of a text.
 PATTERNS = {
-    "secret": r"""(?:token|secret|password|passwd|api[_-]?key|access[_-]?key)["']?\s*[:=]\s*["']?[A-Za-z0-9_\-/+]{12,}|(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,}|(?=[a-f]*[0-9])[0-9a-f]{40})\b""",
+    "secret": r"""(?i:token|secret|password|passwd|api[_-]?key|access[_-]?key)["']?\s*[:=]\s*["']?[A-Za-z0-9_\-/+]{12,}|(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,}|(?=[A-Fa-f]*[0-9])[0-9A-Fa-f]{40})\b""",
     "email": r"[A-Za-z0-9_%+\-]+(?:\.[A-Za-z0-9_%+\-]+)*@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)*\.[A-Za-z]{2,}",
     "iban": r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b",
     "ip": r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])",
@@ -45,10 +45,10 @@ DRAWS = 6
 #: An entity begins where no letter or digit stands before, and with one of few characters.
 BEGIN = r"(?<![\p{L}0-9])(?=[A-Za-z0-9_%+(\-ГС])"
 ANY = BEGIN + "(?:" + "|".join(f"(?:{p})" for p in PATTERNS.values()) + ")"
-#: What a text with an entity has, apart from digits and @; cheap to look for.
+#: What a text with an entity has, apart from digits and @; cheap to look for. Keywords stand in any case.
+KEYWORDS = ["token", "secret", "passw", "api_key", "api-key", "apikey", "access_key", "access-key", "accesskey"]
 WORDS = [
-    "token", "secret", "passw", "api_key", "api-key", "apikey", "access_key", "access-key", "accesskey", "AKIA", "ghp_",
-    "gho_", "ghu_", "ghs_", "ghr_", "sk-", "Mr", "Ms", "Miss", "Madam", "Monsieur", "Sir", "Herr", "Frau", "Señor", "Госпо",
+    "AKIA", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "sk-", "Mr", "Ms", "Miss", "Madam", "Monsieur", "Sir", "Herr", "Frau", "Señor", "Госпо",
 ]
 _LOWER, _UPPER, _DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 _TITLE = r"^(\p{L}+\.? )"
@@ -59,6 +59,8 @@ def may_have_entities(text: Column) -> Column:
     may = text.rlike("[0-9@]")
     for word in WORDS:
         may = may | text.contains(word)
+    for word in KEYWORDS:
+        may = may | F.lower(text).contains(word)
     return may
 
 
@@ -177,15 +179,20 @@ def drawn(kind: Column, value: Column, key: str, attempt: Column) -> Column:
     octets = F.array_join(
         F.transform(F.sequence(F.lit(1), F.lit(4)), lambda i: (F.pmod(F.element_at(numbers, i), F.lit(254)) + 1).cast("string")), "."
     )
-    hexed = F.array_join(
-        F.transform(F.slice(numbers, 1, length), lambda n: F.substring(F.lit("0123456789abcdef"), F.pmod(n, F.lit(16)) + 1, F.lit(1))), ""
-    )
+
+    def hexed(alphabet: str) -> Column:
+        return F.array_join(
+            F.transform(F.slice(numbers, 1, length), lambda n: F.substring(F.lit(alphabet), F.pmod(n, F.lit(len(alphabet))) + 1, F.lit(1))), ""
+        )
+
     return (
         F.when(kind == "email", F.concat(_same_shape(F.substring(value, F.lit(1), length - F.char_length(tail)), numbers), tail))
         .when(kind == "card", _card(value, numbers))
         .when(kind == "phone", _phone(value, numbers))
         .when(kind == "ip", octets)
-        .when((kind == "secret") & value.rlike("^[0-9a-f]+$"), hexed)
+        .when((kind == "secret") & value.rlike("^[0-9a-f]+$"), hexed("0123456789abcdef"))
+        .when((kind == "secret") & value.rlike("^[0-9A-F]+$"), hexed("0123456789ABCDEF"))
+        .when((kind == "secret") & value.rlike("^[0-9A-Fa-f]+$"), hexed("0123456789ABCDEFabcdef"))
         .when(kind == "iban", F.concat(F.substring(value, F.lit(1), F.lit(2)), _same_shape(F.substring(value, F.lit(3), length), numbers)))
         .when(kind == "name", _name(value, numbers))
         .otherwise(_same_shape(value, numbers))
