@@ -90,6 +90,27 @@ def test_secrets_in_any_case(spark):
     assert re.fullmatch("see [0-9A-Fa-f]{40} there", rows[5]["text"]) and re.fullmatch("see [0-9a-f]{40} there", rows[6]["text"])
 
 
+def test_a_person_keeps_their_names(spark):
+    texts = [
+        "Miller came. Mr John Miller and Mr. Miller left; Dr Miller, John Miller and John's dog too, not Millers",
+        "Mrs Ada Miller met Mr Miller. Ada slept, Ann.Ada@x.org, Frau Miller",
+        "Miller and Ada have no title here",
+        "Госпожа Анна Иванова. Анна пришла, Госпожа Иванова",
+    ]
+    rows = by_id(surrogates.replaced(spark.createDataFrame(list(enumerate(texts)), SCHEMA), "key"))
+    first = re.fullmatch(r"(\w+rd) came. Mr (\w+rd) (\w+) and Mr\. (\w+) left; Dr (\w+), (\w+) (\w+) and (\w+)'s dog too, not Millers", rows[0]["text"])
+    assert first, rows[0]["text"]
+    miller, john = first[1], first[2]
+    assert first.groups() == (miller, john, miller, miller, miller, john, miller, john) and miller != john
+    second = re.fullmatch(r"Mrs (\w+na) (\w+na) met Mr (\w+rd)\. (\w+) slept, (\S+)@\S+, Frau (\w+)", rows[1]["text"])
+    assert second, rows[1]["text"]
+    assert second[1] == second[4] and second[2] == second[6] and second[3] == miller
+    assert rows[1]["kinds"] == ["name", "name", "name", "email", "name"]
+    assert rows[2]["text"] == texts[2]
+    last = re.fullmatch(r"Госпожа (\w+ова) (\w+ова)\. (\w+) пришла, Госпожа (\w+)", rows[3]["text"])
+    assert last and last[1] == last[3] and last[2] == last[4]
+
+
 def test_surrogates_depend_on_the_key_alone(spark):
     df = spark.createDataFrame([(1, TEXTS[0]), (2, TEXTS[1])], SCHEMA)
     one, again, other = (by_id(surrogates.replaced(df, key)) for key in ("a", "a", "b"))

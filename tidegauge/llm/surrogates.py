@@ -5,7 +5,9 @@ keyed hash of its type and canonical form: digits become digits and letters lett
 the same case, hex tokens stay hex, a card keeps its issuer digit and its check digit
 stays right or wrong, an address keeps four octets, a mail address its top-level domain,
 a name its title, its script and an ending of the title's gender. Equal entities get equal surrogates in all
-documents. Surrogates that meet, or meet a real entity, are drawn again, so that
+documents. A name's parts get surrogates of their own, so that a person keeps them behind
+another title or without given name; mentions without title of a name that has one in the
+same document are replaced as well. Surrogates that meet, or meet a real entity, are drawn again, so that
 distinct entities stay distinct.
 
 Defined results: null and empty texts stay as they are; repeated rows get equal texts;
@@ -52,6 +54,8 @@ WORDS = [
 ]
 _LOWER, _UPPER, _DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 _TITLE = r"^(\p{L}+\.? )"
+#: Syllables of a name's part; with sixteen of them there are 16 million parts.
+N_SYLLABLES = 6
 
 
 def may_have_entities(text: Column) -> Column:
@@ -65,8 +69,8 @@ def may_have_entities(text: Column) -> Column:
 
 
 def kind_of(entity: Column) -> Column:
-    """The type of a found entity: the first pattern that matches all of it."""
-    kind = F.lit(None).cast("string")
+    """The type of a found entity: the first pattern that matches all of it, or a name without title."""
+    kind = F.lit("name")
     for name, pattern in reversed(PATTERNS.items()):
         kind = F.when(entity.rlike(f"^(?:{pattern})$"), F.lit(name)).otherwise(kind)
     return kind
@@ -150,25 +154,54 @@ def _phone(value: Column, numbers: Column) -> Column:
     return F.concat(F.regexp_replace(code, r"\+", ""), drawn, F.substring(_same_shape(rest, numbers), F.lit(2), F.char_length(rest)))
 
 
-def _name(entity: Column, numbers: Column) -> Column:
-    title = F.regexp_extract(entity, _TITLE, 1)
-    female = F.regexp_replace(title, r"[. ]", "").isin(FEMALE)
-    rest = F.substring(entity, F.char_length(title) + 1, F.char_length(entity))
-    cyrillic = rest.rlike(r"\p{IsCyrillic}")
-    parts = F.size(F.split(rest, " "))
+def _title(entity: Column) -> Column:
+    """The title of a name with its full stop and space, empty if it has none."""
+    return F.when(entity.rlike(f"^(?:{PATTERNS['name']})$"), F.regexp_extract(entity, _TITLE, 1)).otherwise("")
+
+
+def _parts(entity: Column) -> Column:
+    """The given and family name of a name."""
+    return F.split(F.substring(entity, F.char_length(_title(entity)) + 1, F.char_length(entity)), " ")
+
+
+def values(kind: Column, entity: Column, titled: Column) -> Column:
+    """What an entity has surrogates for: its canonical form, or a name's parts behind F or M.
+
+    A part is of the gender of the first name in ``titled`` that has it; a title decides itself.
+    """
+
+    def part(p: Column) -> Column:
+        title = _title(entity)
+        by = F.when(title != "", title).otherwise(_title(F.get(F.filter(titled, lambda t: F.array_contains(_parts(t), p)), F.lit(0))))
+        female = F.regexp_replace(by, "[. ]", "").isin(FEMALE)
+        return F.concat(F.when(female, "F ").otherwise("M "), p)
+
+    return F.when(kind == "name", F.transform(_parts(entity), part)).otherwise(F.array(canonical(kind, entity)))
+
+
+def pattern_of(titled: Column) -> Column:
+    """The pattern of a text's entities: ``ANY``, and the parts of its names with title wherever they stand."""
+    parts = F.array_distinct(F.flatten(F.transform(titled, _parts)))
+    word = F.concat(F.lit("(?:"), F.array_join(parts, "|"), F.lit(")"))
+    later = F.concat(F.lit(ANY + r"|(?<![\p{L}0-9])"), word, F.lit("(?: "), word, F.lit(r")?(?![\p{L}0-9])"))
+    return F.when(F.size(parts) > 0, later).otherwise(F.lit(ANY))
+
+
+def _name(value: Column, numbers: Column) -> Column:
+    """A name's part behind its gender."""
+    female = value.startswith("F ")
+    cyrillic = value.rlike(r"\p{IsCyrillic}")
 
     def made(script: str) -> Column:
         syllable = F.array(*[F.lit(x) for x in SYLLABLES[script]])
-        stems = F.transform(
-            F.sequence(F.lit(0), parts - 1),
-            lambda i: F.initcap(
-                F.array_join(F.transform(F.sequence(F.lit(1), F.lit(4)), lambda j: F.element_at(syllable, F.pmod(F.element_at(numbers, i * 4 + j), F.lit(16)) + 1)), "")
-            ),
+        stem = F.transform(
+            F.sequence(F.lit(1), F.lit(N_SYLLABLES)),
+            lambda j: F.element_at(syllable, F.pmod(F.element_at(numbers, j), F.lit(16)) + 1),
         )
         ending = F.when(female, F.lit(ENDINGS[script, True])).otherwise(F.lit(ENDINGS[script, False]))
-        return F.concat(F.array_join(stems, " "), ending)
+        return F.concat(F.initcap(F.array_join(stem, "")), ending)
 
-    return F.concat(title, F.when(cyrillic, made("cyrillic")).otherwise(made("latin")))
+    return F.concat(F.substring(value, F.lit(1), F.lit(2)), F.when(cyrillic, made("cyrillic")).otherwise(made("latin")))
 
 
 def drawn(kind: Column, value: Column, key: str, attempt: Column) -> Column:
@@ -206,6 +239,7 @@ def spelled(kind: Column, entity: Column, value: Column, surrogate: Column) -> C
         F.when(kind.isin("phone", "card", "ssn"), _in_format(F.regexp_replace(surrogate, "[^0-9]", ""), entity))
         .when((kind == "iban") & entity.contains(" "), grouped)
         .when(kind == "secret", F.concat(F.substring(entity, F.lit(1), F.char_length(entity) - F.char_length(value)), surrogate))
+        .when(kind == "name", F.substring(surrogate, F.lit(3), F.char_length(surrogate)))
         .otherwise(surrogate)
     )
 
@@ -217,7 +251,10 @@ def surrogates(entities: DataFrame, key: str, space: Workspace) -> DataFrame:
     again; so do those that draw a real entity.
     """
     pending = space.keep(entities.select("kind", "value").distinct(), "entities")
-    real = pending.select("kind", F.col("value").alias("surrogate"))
+    # a name's part is real for both genders
+    bare = F.substring("value", F.lit(3), F.char_length("value"))
+    forms = F.when(F.col("kind") == "name", F.array(F.concat(F.lit("F "), bare), F.concat(F.lit("M "), bare)))
+    real = pending.select("kind", F.explode(forms.otherwise(F.array("value"))).alias("surrogate"))
     # entities are short and draws are long work: dealt by number of tasks, not by size
     tasks = int(entities.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     settled = None
@@ -251,23 +288,36 @@ def replaced(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     rows = docs.select(F.struct(*[docs[c] for c in columns]).alias("row"), F.col(text).alias("text"))
     has = F.coalesce(may_have_entities(F.col("text")) & F.col("text").rlike(ANY), F.lit(False))
     clean = rows.filter(~has).select("row.*", F.lit(0).alias("n_replaced"), F.array().cast("array<string>").alias("kinds"))
-    listed = F.regexp_extract_all("text", F.lit(f"({ANY})"), F.lit(1))
+
+    def listed(pattern: Column) -> Column:
+        return F.regexp_extract_all("text", F.concat(F.lit("("), pattern, F.lit(")")), F.lit(1))
+
+    titled = F.filter(listed(F.lit(ANY)), lambda e: kind_of(e) == "name")
     marked = space.keep(
-        rows.filter(has).withColumn("entities", listed).withColumn("id", F.sha2(F.col("text").cast("binary"), 256)), "marked"
+        rows.filter(has)
+        .withColumn("titled", titled)
+        .withColumn("pattern", pattern_of(F.col("titled")))
+        .withColumn("entities", listed(F.col("pattern")))
+        .withColumn("id", F.sha2(F.col("text").cast("binary"), 256)),
+        "marked",
     )
     places = space.keep(
-        marked.select("id", "entities")
+        marked.select("id", "entities", "titled")
         .dropDuplicates(["id"])
-        .select("id", F.explode(F.array_distinct("entities")).alias("entity"))
+        .select("id", "titled", F.explode(F.array_distinct("entities")).alias("entity"))
         .withColumn("kind", kind_of(F.col("entity")))
-        .withColumn("value", canonical(F.col("kind"), F.col("entity"))),
+        .select("id", "entity", "kind", F.posexplode(values(F.col("kind"), F.col("entity"), F.col("titled"))).alias("at", "value")),
         "places",
     )
     drawn_ = space.keep(surrogates(places, key, space), "surrogates")
     new = spelled(F.col("kind"), F.col("entity"), F.col("value"), F.col("surrogate"))
     maps = (
         places.join(drawn_, ["kind", "value"])
-        .select("id", F.struct("entity", new.alias("new"), "kind").alias("e"))
+        .groupBy("id", "entity", "kind")
+        .agg(F.array_sort(F.collect_list(F.struct("at", new.alias("new")))).alias("parts"))
+        .withColumn("new", F.array_join("parts.new", " "))
+        .withColumn("new", F.when(F.col("kind") == "name", F.concat(_title(F.col("entity")), "new")).otherwise(F.col("new")))
+        .select("id", F.struct("entity", "new", "kind").alias("e"))
         .groupBy("id")
         .agg(F.collect_list("e").alias("e"))
         .select(
@@ -277,7 +327,7 @@ def replaced(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
         )
     )
     # the text between entities, and the surrogates, in turn
-    between = F.split("text", ANY, -1)
+    between = F.split("text", F.col("pattern"), -1)
     rewritten = F.concat(
         F.array_join(
             F.zip_with(F.slice(between, 1, F.size("entities")), F.col("entities"), lambda x, e: F.concat(x, F.col("new")[e])), ""
