@@ -126,6 +126,15 @@ def test_crowded_forms_stay_distinct(spark):
     assert not {(r["kind"], r["surrogate"]) for r in found} & set(values)
 
 
+def test_more_phones_than_forms_stay_distinct_in_texts(spark):
+    # all numbers of this form are real: a surrogate is none of them
+    numbers = [f"+1 0{i // 100} {i % 100:02d}" for i in range(1000)]
+    rows = by_id(surrogates.replaced(spark.createDataFrame([(i, f"call {n} now") for i, n in enumerate(numbers)], SCHEMA), "k"))
+    new = [r["text"].removeprefix("call ").removesuffix(" now") for r in rows.values()]
+    assert len(set(new)) == 1000 and not set(new) & set(numbers)
+    assert all(r["kinds"] == ["phone"] for r in rows.values())
+
+
 def test_main_path_runs_no_python(spark, replaced):
     plan = replaced._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Arrow", "Pandas", "Cartesian", "NestedLoop"))

@@ -235,8 +235,11 @@ def drawn(kind: Column, value: Column, key: str, attempt: Column) -> Column:
 def spelled(kind: Column, entity: Column, value: Column, surrogate: Column) -> Column:
     """A canonical surrogate in the format in which the entity stands in a text."""
     grouped = F.array_join(F.regexp_extract_all(surrogate, F.lit(".{1,4}"), F.lit(0)), " ")
+    # what tells a surrogate of a crowded form apart
+    apart = F.regexp_extract(surrogate, "-[0-9a-f]{16}$", 0)
+    digits = F.regexp_replace(F.regexp_replace(surrogate, "-[0-9a-f]{16}$", ""), "[^0-9]", "")
     return (
-        F.when(kind.isin("phone", "card", "ssn"), _in_format(F.regexp_replace(surrogate, "[^0-9]", ""), entity))
+        F.when(kind.isin("phone", "card", "ssn"), F.concat(_in_format(digits, entity), apart))
         .when((kind == "iban") & entity.contains(" "), grouped)
         .when(kind == "secret", F.concat(F.substring(entity, F.lit(1), F.char_length(entity) - F.char_length(value)), surrogate))
         .when(kind == "name", F.substring(surrogate, F.lit(3), F.char_length(surrogate)))
@@ -251,9 +254,10 @@ def surrogates(entities: DataFrame, key: str, space: Workspace) -> DataFrame:
     again; so do those that draw a real entity.
     """
     pending = space.keep(entities.select("kind", "value").distinct(), "entities")
-    # a name's part is real for both genders
+    # a name's part is real for both genders; drawn phones have no plus sign
     bare = F.substring("value", F.lit(3), F.char_length("value"))
     forms = F.when(F.col("kind") == "name", F.array(F.concat(F.lit("F "), bare), F.concat(F.lit("M "), bare)))
+    forms = forms.when(F.col("kind") == "phone", F.array(F.replace("value", F.lit("+"), F.lit(""))))
     real = pending.select("kind", F.explode(forms.otherwise(F.array("value"))).alias("surrogate"))
     # entities are short and draws are long work: dealt by number of tasks, not by size
     tasks = int(entities.sparkSession.conf.get("spark.sql.shuffle.partitions"))
