@@ -163,6 +163,23 @@ def test_near_pairs_find_edited_texts(spark):
     assert got <= want and len(got) >= 0.9 * len(want) > 5
 
 
+def test_near_pairs_find_longer_and_shorter_texts(spark):
+    # sentences put in or taken out change the number of samples, and some texts' level
+    docs = [prose(i, 200 + 5 * i) for i in range(120)]
+    for i in range(120):
+        words = docs[i].split()
+        at, n = len(words) * (i % 7) // 7, 1 + i % 4
+        docs.append(" ".join(words[:at] + (prose(900 + i, n).split() if i % 2 else []) + words[at + (0 if i % 2 else n) :]))
+    longer = [prose(300 + i, 60 + 9 * i) for i in range(80)]
+    docs += [x for t in longer for x in (t, " ".join(t.split()[: len(t.split()) * 10 // 11]))]
+    prints = sorted({edit_fingerprints.fingerprint(t) for t in docs})
+    got = {(r["a"], r["b"]) for r in edit_fingerprints.near_pairs(spark.createDataFrame([(p,) for p in prints], "fingerprint string")).collect()}
+    want = {(a, b) for i, a in enumerate(prints) for b in prints[i + 1 :] if edit_fingerprints.likeness(a, b) >= 0.8}
+    unequal = {(a, b) for a, b in want if len(a) != len(b)}
+    assert len(unequal) > 30 and sum(a[:2] != b[:2] for a, b in want) > 3
+    assert got <= want and len(got) >= 0.95 * len(want) and len(got & unequal) >= 0.95 * len(unequal)
+
+
 def test_portions_are_bounded_and_whole(monkeypatch):
     import pyarrow as pa
 

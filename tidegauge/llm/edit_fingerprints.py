@@ -143,25 +143,28 @@ def likenesses(a: Column, b: Column) -> Column:
     return liked(a, b)
 
 
+@lru_cache(maxsize=64)
+def _orders(level: int) -> np.ndarray:
+    """For each band an order of the places that samples of a level may have, the same for all texts."""
+    places = 2 * SAMPLES
+    return np.argsort(_hash(np.arange(BANDS * places) + 1000003 * level).reshape(BANDS, places), axis=1)
+
+
 def bands(print_: str) -> list[int]:
     """Keys of the bands of a fingerprint, on its own level and the next one.
 
-    Neighbouring levels share one, so texts whose lengths differ by less than half
-    have comparable bands.
+    A band has the first places of its order that a text has samples for, so texts of
+    different numbers of samples mostly choose the same ones, also where one's own level
+    is the next one of the other.
     """
     level, digits = int(print_[:2], 16), print_[2:].encode()
     keys = []
     for up in (level, level + 1):
         if not digits:
             break
-        picks = _hash(np.arange(BANDS * BAND) + 1009 * up).astype(np.uint64) % np.uint64(len(digits))
-        if up == level:
-            # positions must not depend on the exact number of samples
-            picks %= np.uint64(1 << (len(digits).bit_length() - 1))
-        else:
-            picks %= np.uint64(SAMPLES // 2 if len(digits) >= SAMPLES // 2 else 1 << (len(digits).bit_length() - 1))
-        values = np.frombuffer(digits, np.uint8)[picks.astype(np.int64)].reshape(BANDS, BAND)
-        for n, band in enumerate(values):
+        values = np.frombuffer(digits, np.uint8)
+        for n, order in enumerate(_orders(up)):
+            band = values[order[order < len(values)][:BAND]]
             key = hashlib.blake2b(bytes((up, n)) + band.tobytes(), digest_size=8).digest()
             keys.append(int.from_bytes(key, "little", signed=True))
         digits = _coarser(up, digits)
