@@ -184,8 +184,9 @@ class Counts:
             "block", F.pmod(F.xxhash64("term"), F.col("blocks"))
         )
         self.sizes = in_block.groupBy("lang", "block").agg(F.count("*").alias("size"))
+        # hashed and not sorted: a vocabulary has one row a key, so no partition of it is hot
         self.entries = space.keep(
-            partial.join(in_block.drop("blocks"), ["lang", "term"])
+            partial.join(in_block.drop("blocks").hint("shuffle_hash"), ["lang", "term"])
             .groupBy("lang", "source", "id", "term", "block", "lang_n")
             .agg(F.sum("n").alias("n")),
             "entries",
