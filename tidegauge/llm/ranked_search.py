@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidegauge.llm.tables import Workspace
-from tidegauge.llm.terms import WORDS, pattern, splitter
+from tidegauge.llm.terms import WORDS, splitter
 from tidegauge.llm.workers import portions, slim
 
 #: Postings of a block.
@@ -81,6 +81,17 @@ def unpack(data: bytes) -> np.ndarray:
     return np.add.reduceat((found & 127).astype(np.int64) << 7 * place, begins)
 
 
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row a task: its documents with terms, and their terms."""
+    n_docs = n_terms = 0
+    for batch in batches:
+        for part in portions(batch, "text", batch.num_rows):
+            lengths = [len(terms(t)) for t in part.column("text").to_pylist()]
+            n_docs += sum(n > 0 for n in lengths)
+            n_terms += sum(lengths)
+    yield pa.RecordBatch.from_arrays([pa.array([n_docs], pa.int64()), pa.array([n_terms], pa.int64())], names=["n_docs", "n_terms"])
+
+
 def _shard(part: pa.RecordBatch, name: str, n_docs: int, n_terms: int) -> pa.RecordBatch:
     numbers: dict[bytes, int] = defaultdict()
     numbers.default_factory = numbers.__len__
@@ -138,15 +149,10 @@ class Index:
     """An index over all documents: ``lists``, a written table, and the corpus numbers."""
 
     def __init__(self, docs: DataFrame):
-        with_terms = F.regexp_count("text", F.lit(pattern(WORDS)))
-        row = (
-            docs.select(with_terms.alias("n"))
-            .filter("n > 0")
-            .agg(F.count("*").alias("n_docs"), F.sum("n").alias("n_terms"))
-            .first()
-        )
-        self.n_docs, self.n_terms = row.n_docs, row.n_terms or 0
-        n_docs, n_terms = self.n_docs, self.n_terms
+        texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
+        counted = texts.select("text").mapInArrow(_count, "n_docs long, n_terms long")
+        row = counted.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counted.columns)).first()
+        n_docs, n_terms = self.n_docs, self.n_terms = row.n_docs, row.n_terms
 
         def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             from pyspark import TaskContext
@@ -158,7 +164,6 @@ class Index:
                     number += 1
 
         space = Workspace(docs.sparkSession, "ranked-search")
-        texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
         self.lists = space.keep(texts.mapInArrow(lambda b: slim(build(b)), LISTS), "lists")
         self.space = space
 
