@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+UNITS = {"microsecond": 1, "millisecond": 1_000, "second": 10**6, "minute": 60 * 10**6, "hour": 3600 * 10**6}
+UNITS |= {"day": 24 * UNITS["hour"], "week": 7 * 24 * UNITS["hour"]}
+
 
 def parse_ts(text: Column) -> Column:
     """ISO-8601 text to timestamp, null where it cannot be read.
@@ -34,3 +39,11 @@ def before(as_of: str | Column, span: str) -> Column:
 
 def instant(as_of: str | Column) -> Column:
     return F.lit(as_of).cast("timestamp") if isinstance(as_of, str) else as_of
+
+
+def micros(span: str) -> int:
+    """Microseconds of a span such as ``'90 seconds'`` or ``'1 day 6 hours'``."""
+    parts = re.findall(r"(\d+)\s*([a-z]+?)s?\b", span.lower())
+    if not parts or any(unit not in UNITS for _, unit in parts):
+        raise ValueError(f"not a span of fixed length: {span!r}")
+    return sum(int(n) * UNITS[unit] for n, unit in parts)

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge import schemas
+from tidegauge.functions.moments import gathered, merged, moments
 from tidegauge.functions.scores import severity, zscore
+from tidegauge.functions.times import micros
 from tidegauge.operators.metrics import drop_non_finite
 from tidegauge.settings import MIN_STD, WINDOW, Z_THRESHOLD
 
@@ -151,10 +155,34 @@ def sliding_peak_anomalies(
 
     Score is (max - mean) / sample std; windows without spread are skipped. The
     row carries the window end as its time.
+
+    Readings are aggregated once, into panes as wide as what window and slide have in
+    common; a window merges the states of its panes. Only panes are copied per window
+    they belong to, and a window gathers no more than window / pane of them.
     """
     source = df.withWatermark(ts, watermark) if watermark else df
-    windows = source.groupBy(F.window(ts, window, slide).alias("w"), "device_id").agg(
-        F.avg(value).alias("mean"), F.stddev(value).alias("std"), F.max(value).alias("peak")
+    width = math.gcd(micros(window), micros(slide))
+    panes = (
+        source.groupBy(F.window(ts, f"{width} microseconds").alias("pane"), "device_id")
+        .agg(*(c.alias(name) for name, c in moments(value).items()), F.max(value).alias("peak"))
+        .filter("n > 0")
+    )
+    # a pane lies in a window as its last instant does
+    at = F.window_time("pane") if df.isStreaming else F.col("pane.start")
+    place = F.expr(f"(unix_micros(pane.start) - unix_micros(w.start)) div {width}")
+    state = merged(gathered("place", micros(window) // width))
+    windows = (
+        panes.withColumn("w", F.window(at, window, slide))
+        .select("w", "device_id", place.alias("place"), "n", "mean", "squares", "peak")
+        .groupBy("w", "device_id")
+        .agg(state.alias("all"), F.max("peak").alias("peak"))
+        .select(
+            "w",
+            "device_id",
+            F.col("all.mean").alias("mean"),
+            F.when(F.col("all.n") > 1, F.sqrt(F.col("all.squares") / (F.col("all.n") - 1))).alias("std"),
+            "peak",
+        )
     )
     score: Column = (F.col("peak") - F.col("mean")) / F.col("std")
     return (

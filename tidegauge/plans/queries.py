@@ -400,7 +400,7 @@ def downsample(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def ewma_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     means = metrics.window_features(fx.sensor_rows(spark, sf_dir), "6 hours")
-    return fx.plain(ewma.ewma_scores(means))
+    return fx.plain(ewma.ewma_scores(means, block="5 days"))
 
 
 # --- outgoing messages -------------------------------------------------------
