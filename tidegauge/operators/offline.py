@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidegauge.functions.scores import zscore
+from tidegauge.operators.asof import as_of
 from tidegauge.operators.metrics import explode_metrics
 from tidegauge.settings import MIN_STD
 
@@ -83,10 +84,23 @@ def score_against_thresholds(
     broadcast; Spark does that when its measured size allows.
     """
     known = limits.select(*SERIES, "mean", "stddev", "lower", "upper")
+    return _against_limits(rows.join(known, list(SERIES), "left"), min_std)
+
+
+def score_as_of(rows: DataFrame, versions: DataFrame, min_std: float = MIN_STD, block: str = "1 day") -> DataFrame:
+    """Readings scored against the version of the thresholds in force at their time.
+
+    Static input, such as a micro-batch; ``valid_from`` tells the version. A series with
+    many readings is worked out block by block of time.
+    """
+    known = versions.select(*SERIES, "valid_from", "mean", "stddev", "lower", "upper")
+    return _against_limits(as_of(rows, known, SERIES, block=block), min_std)
+
+
+def _against_limits(rows: DataFrame, min_std: float) -> DataFrame:
     value = F.col("value")
     return (
-        rows.join(known, list(SERIES), "left")
-        .withColumn("zscore", zscore(value, F.col("mean"), F.col("stddev"), min_std))
+        rows.withColumn("zscore", zscore(value, F.col("mean"), F.col("stddev"), min_std))
         .withColumn("abs_z", F.abs("zscore"))
         .withColumn("out_of_range", (value < F.col("lower")) | (value > F.col("upper")))
     )

@@ -6,6 +6,8 @@ same views in SQL.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -230,3 +232,23 @@ def plain(df: DataFrame, digits: int = 6) -> DataFrame:
             c = F.round(c + TIE_SHIFT, digits)
         columns.append(c.alias(f.name))
     return df.select(*columns)
+
+
+def arrivals(rows: DataFrame, folder: str, *parts: str) -> Iterator[str]:
+    """Add rows to a folder of Parquet files part by part; what comes after a part runs before the next."""
+    for condition in parts:
+        rows.filter(condition).write.mode("append").parquet(folder)
+        yield condition
+
+
+def numbered_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The readings of ``sensor_rows`` with the number of their event."""
+    return events(spark, sf_dir).selectExpr(
+        "event_id",
+        "ts",
+        "concat('dev-', user_id % 2) as device_id",
+        "concat('zone', user_id % 2 + 1) as location",
+        "case when user_id % 4 <> 3 then concat('model-', user_id % 2) end as model",
+        "event_type as metric",
+        "value",
+    )

@@ -7,25 +7,32 @@ test stream alike. ``main`` wires them to the environment.
 from __future__ import annotations
 
 import os
+import re
 import sys
 from collections.abc import Callable, Iterable, Mapping
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from tidegauge import settings
+from tidegauge import schemas, settings
 from tidegauge.operators import alerts, anomaly, messages, metrics, normalize, offline, parsing
 from tidegauge.session import build_session
 from tidegauge.sinks import files, records, timeseries
 from tidegauge.sources import tables, topics
-from tidegauge.streaming import runner
-from tidegauge.streaming.fanout import Sink, fan_out
+from tidegauge.streaming import closing, runner
+from tidegauge.streaming.fanout import Ledger, Sink, after, fan_out
+
+
+def parsed_messages(raw: DataFrame, mode: str = "strict") -> DataFrame:
+    """Topic records to the messages that can be used."""
+    return parsing.valid_messages(parsing.parse_messages(raw, mode=mode))
 
 
 def sensor_rows(raw: DataFrame, mode: str = "strict") -> DataFrame:
     """Topic records to readings."""
-    return metrics.explode_metrics(parsing.valid_messages(parsing.parse_messages(raw, mode=mode)))
+    return metrics.explode_metrics(parsed_messages(raw, mode))
 
 
 def archive(raw: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
@@ -40,11 +47,17 @@ def speed(
     checkpoint: str,
     scoring: settings.ScoringSettings = settings.ScoringSettings(),
 ) -> DataStreamWriter:
-    """Readings scored when their window closes, handed to all sinks."""
-    scored = anomaly.score_rows(
-        sensor_rows(raw), scoring.window, watermark=scoring.watermark, min_std=scoring.min_std
-    )
-    return scored.writeStream.foreachBatch(fan_out(sinks)).option("checkpointLocation", checkpoint)
+    """Readings scored when their window closes, handed to all sinks.
+
+    Readings that no window takes any more come out unscored, with the reason.
+    """
+    closed = closing.closed_windows(sensor_rows(raw), scoring.window, scoring.watermark, scoring.salts)
+
+    def score(batch: DataFrame) -> DataFrame:
+        return closing.score_closed(batch, scoring.window, scoring.min_std)
+
+    ledger = Ledger(raw.sparkSession, os.path.join(checkpoint, "delivered"))
+    return closed.writeStream.foreachBatch(after(score, fan_out(sinks, ledger))).option("checkpointLocation", checkpoint)
 
 
 def live_metrics(
@@ -74,12 +87,40 @@ def export_thresholds(daily: DataFrame, path: str, k: float = 3.0) -> None:
     offline.thresholds(daily, k).write.mode("overwrite").parquet(path)
 
 
+def publish_thresholds(daily: DataFrame, path: str, valid_from: str, k: float = 3.0) -> None:
+    """Add a version of the thresholds that holds from an instant on; earlier versions stay.
+
+    The version has a folder of its own, so a repeated run replaces it.
+    """
+    version = offline.thresholds(daily, k).withColumn("valid_from", F.lit(valid_from).cast("timestamp"))
+    name = re.sub(r"\W", "-", valid_from)
+    version.write.mode("overwrite").parquet(os.path.join(path, f"version={name}"))
+
+
+def threshold_versions(spark: SparkSession, path: str) -> DataFrame:
+    """All versions published so far; a folder that is still being written has no complete file."""
+    return spark.read.schema(schemas.THRESHOLDS).parquet(path)
+
+
 def speed_against_thresholds(
-    raw: DataFrame, limits: DataFrame, sinks: Iterable[Sink], checkpoint: str
+    raw: DataFrame, path: str, sinks: Iterable[Sink], checkpoint: str, min_std: float = settings.MIN_STD
 ) -> DataStreamWriter:
-    """Readings scored at once against stored thresholds, handed to all sinks."""
-    scored = offline.score_against_thresholds(sensor_rows(raw), limits)
-    return scored.writeStream.foreachBatch(fan_out(sinks)).option("checkpointLocation", checkpoint)
+    """Readings scored at once against the thresholds in force at their time, handed to all sinks.
+
+    The versions are read anew for every micro-batch, so a version published while the
+    stream runs holds for the readings from its instant on.
+    """
+
+    def score(batch: DataFrame) -> DataFrame:
+        versions = threshold_versions(batch.sparkSession, path)
+        return offline.score_as_of(batch, versions, min_std)
+
+    ledger = Ledger(raw.sparkSession, os.path.join(checkpoint, "delivered"))
+    return (
+        sensor_rows(raw)
+        .writeStream.foreachBatch(after(score, fan_out(sinks, ledger)))
+        .option("checkpointLocation", checkpoint)
+    )
 
 
 def ingest(
@@ -159,7 +200,8 @@ def run(job: str, spark: SparkSession, env: Mapping[str, str]) -> None:
             offline_statistics(tables.lake(spark, lake.raw_path), path, env.get("OFFLINE_SINCE"))
         else:
             daily = offline.daily_stats(tables.lake(spark, lake.raw_path), env.get("OFFLINE_SINCE"))
-            export_thresholds(daily, settings.require(env, "THRESHOLDS_S3_PATH"))
+            now = datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
+            publish_thresholds(daily, settings.require(env, "THRESHOLDS_S3_PATH"), env.get("VALID_FROM", now))
         return
     if job == "inspect":
         held = topics.topic_records(
@@ -176,8 +218,9 @@ def run(job: str, spark: SparkSession, env: Mapping[str, str]) -> None:
         writer = archive(source, settings.LakeSettings.from_env(env).raw_path, checkpoint)
     elif job == "limits":
         scoring = settings.ScoringSettings.from_env(env)
-        limits = spark.read.parquet(settings.require(env, "THRESHOLDS_S3_PATH"))
-        writer = speed_against_thresholds(source, limits, speed_sinks(env, scoring.z_threshold, broker), checkpoint)
+        path = settings.require(env, "THRESHOLDS_S3_PATH")
+        sinks = speed_sinks(env, scoring.z_threshold, broker)
+        writer = speed_against_thresholds(source, path, sinks, checkpoint, scoring.min_std)
     elif job == "ingest":
         bodies = topics.topic_stream(spark, broker, settings.require(env, "KAFKA_TOPIC_PAYLOADS")).select(
             F.col("value").cast("string").alias("value"), F.col("timestamp").alias("received_at")

@@ -16,6 +16,14 @@ VIEWS = {
                 else concat('model-', cast(user_id % 2 as varchar)) end as model,
             event_type as metric, value
         from events""",
+    "numbered": """
+        select event_id, ts,
+            concat('dev-', cast(user_id % 2 as varchar)) as device_id,
+            concat('zone', cast(user_id % 2 + 1 as varchar)) as location,
+            case when user_id % 4 = 3 then null
+                else concat('model-', cast(user_id % 2 as varchar)) end as model,
+            event_type as metric, value
+        from events""",
     "scored": """
         select r.*, r.bucket + interval '1 day' as window_end, s.mean, s.std,
             (r.value - s.mean) / greatest(s.std, 0.05) + 0.0 as zscore
@@ -644,3 +652,70 @@ ORACLES["stream_ingest"] = (
     f"select device_id as key, cast(null as varchar) as reason from ({ORACLES['normalize_rest']})"
     f" union all select device_id, reason from ({ORACLES['rejected_payloads']})"
 )
+
+ORACLES["stream_closed_windows"] = sql(
+    """, parts as (
+        select *, case when event_id % 50 = 0 then 2 when ts < timestamp '2024-01-16' then 0 else 1 end as part
+        from numbered
+    ), marks as (
+        select max(ts) filter (part < 2) - interval '2 minutes' as before, max(ts) - interval '2 minutes' as after
+        from parts
+    ), judged as (
+        select p.*, date_trunc('day', ts) + interval '1 day' as ends, before, after,
+            case when model is null then 'no time or incomplete key'
+                when part = 2 and date_trunc('day', ts) + interval '1 day' <= before then 'window has closed' end as reason
+        from parts p, marks
+    ), stats as (
+        select ends, device_id, metric, location, model, avg(value) as mean, stddev_pop(value) as std
+        from judged where reason is null group by all
+    )
+    select case when reason is null then j.ends end as window_end, ts, j.device_id, j.location, j.model, j.metric, value,
+        $stats, round((value - mean) / greatest(std, 0.05) + 0.0, 6) as zscore,
+        round(abs((value - mean) / greatest(std, 0.05)), 6) as abs_z, reason
+    from judged j left join stats s on reason is null and j.ends = s.ends and j.device_id = s.device_id
+        and j.metric = s.metric and j.location = s.location and j.model = s.model
+    where reason is not null or j.ends <= after""",
+    "numbered",
+)
+ORACLES["thresholds_as_of"] = ORACLES["stream_thresholds_as_of"] = sql(
+    """, versions as (
+        select v.valid_from, device_id, metric, avg(value) as mean, stddev_samp(value) as stddev,
+            avg(value) - 2 * stddev_samp(value) as lower, avg(value) + 2 * stddev_samp(value) as upper
+        from sensor_rows, (select unnest([timestamp '2024-01-08', timestamp '2024-01-15', timestamp '2024-01-22']) as valid_from) v
+        where ts < v.valid_from group by all
+    )
+    select r.*, v.valid_from, round(v.mean, 6) as mean, round(v.stddev, 6) as stddev, round(v.lower, 6) as lower,
+        round(v.upper, 6) as upper,
+        round(case when mean is not null then (r.value - mean) / greatest(coalesce(stddev, 0.05), 0.05) end, 6) + 0.0 as zscore,
+        round(case when mean is not null then abs(r.value - mean) / greatest(coalesce(stddev, 0.05), 0.05) end, 6) as abs_z,
+        r.value < lower or r.value > upper as out_of_range
+    from sensor_rows r asof left join versions v
+        on r.device_id = v.device_id and r.metric = v.metric and r.ts >= v.valid_from""",
+    "sensor_rows",
+)
+ORACLES["stream_delivery_ledger"] = sql(
+    f"""select unnest(['appended', 'flaky', 'published']) as sink,
+        concat(device_id, '|', metric, '|', severity, '|', cast(value as varchar)) as value
+    {ANOMALY_TEXT.replace("from scored where", "from scored where window_end <= $open and")}""",
+    "scored",
+    "closing",
+)
+ORACLES["incremental_thresholds"] = sql(
+    """select device_id, metric, count(*) as n, round(avg(value), 4) as mean,
+        round(stddev_samp(value), 4) as stddev,
+        round(avg(value) - 2 * stddev_samp(value), 4) as lower,
+        round(avg(value) + 2 * stddev_samp(value), 4) as upper
+    from sensor_rows group by 1, 2""",
+    "sensor_rows",
+)
+ORACLES["stream_compacted_archive"] = ORACLES["stream_archive"]
+ORACLES["series_range_from_lake"] = ORACLES["series_range_filter"]
+ORACLES["stream_upserted_windows"] = ORACLES["window_stats"]
+ORACLES["stream_spooled_lines"] = sql(
+    """select concat('sensor_metrics,device_id=', device_id, ',location=', location, ',model=model-0 ',
+        case when event_type < 'level' then concat(event_type, '=', cast(value as varchar), ',level=', level)
+            else concat('level=', level, ',', event_type, '=', cast(value as varchar)) end,
+        ' ', cast(epoch_us(event_time) * 1000 as varchar)) as value
+    from (select *, cast(cast(user_id % 10 as double) as varchar) as level from parsed where "offset" % 8 = 0)""",
+    "parsed",
+)

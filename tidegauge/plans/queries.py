@@ -23,13 +23,15 @@ from tidegauge.operators import (
     registry,
 )
 from tidegauge.plans import fixtures as fx
+from tidegauge import schemas
 from tidegauge.plans import jobs
 from tidegauge.session import scratch_dir, tune
-from tidegauge.sinks import files
-from tidegauge.sources import tables
+from tidegauge.sinks import files, increments, layout, upserts
+from tidegauge.sinks.compaction import CompactedLake
+from tidegauge.sources import spool, tables, topics
+from tidegauge.streaming import closing, runner
 from tidegauge.streaming import ewma as stateful_ewma
-from tidegauge.streaming import runner
-from tidegauge.streaming.fanout import Sink, fan_out
+from tidegauge.streaming.fanout import Ledger, Sink, after, fan_out
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -717,3 +719,188 @@ def stream_ewma(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fx.sensor_rows(spark, sf_dir, True)
     means = metrics.window_features(rows, "6 hours", watermark=DELAY)
     return fx.plain(runner.drained(stateful_ewma.ewma_scores(means), "ewma"))
+
+
+# --- streams whose input arrives in parts ------------------------------------------
+
+ARCHIVE_PARTS = ("offset % 3 = 0", "offset % 3 = 1", "offset % 3 = 2")
+#: The second half of the month follows the first, and some rows of either come last.
+LATE_PARTS = (
+    "event_id % 50 <> 0 and ts < timestamp'2024-01-16'",
+    "event_id % 50 <> 0 and ts >= timestamp'2024-01-16'",
+    "event_id % 50 = 0",
+)
+#: Instants new thresholds hold from; each is learned from all days before it.
+VERSIONS = ("2024-01-08", "2024-01-15", "2024-01-22")
+
+
+def _streamed(spark: SparkSession, rows: DataFrame, folder: str) -> DataFrame:
+    return spark.readStream.schema(rows.schema).parquet(folder)
+
+
+@query
+def stream_closed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings scored by one stateful operator; those that come too late, with the reason."""
+    root = scratch_dir(spark, "closing")
+    folder, out = os.path.join(root, "in"), os.path.join(root, "out")
+    rows = fx.numbered_rows(spark, sf_dir)
+    write = after(lambda batch: closing.score_closed(batch, DAY), files.batch_writer(out))
+    for _ in fx.arrivals(rows, folder, *LATE_PARTS):
+        closed = closing.closed_windows(_streamed(spark, rows, folder), DAY, DELAY, salts=4)
+        writer = closed.writeStream.foreachBatch(write)
+        runner.drain(writer.option("checkpointLocation", os.path.join(root, "checkpoint")))
+    return _flat_scores(spark.read.parquet(out).drop("batch_id"))
+
+
+def _version(spark: SparkSession, sf_dir: str, path: str, valid_from: str) -> None:
+    before = F.col("dt") < F.lit(valid_from).cast("date")
+    jobs.publish_thresholds(offline.daily_stats(_event_days(spark, sf_dir).filter(before)), path, valid_from, k=2.0)
+
+
+@query
+def thresholds_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings against the version of the thresholds that was in force at their time."""
+    path = os.path.join(scratch_dir(spark, "versions"), "limits")
+    for valid_from in VERSIONS:
+        _version(spark, sf_dir, path, valid_from)
+    return fx.plain(offline.score_as_of(fx.sensor_rows(spark, sf_dir), jobs.threshold_versions(spark, path)))
+
+
+@query
+def stream_thresholds_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream against thresholds of which new versions are published while it runs."""
+    root = scratch_dir(spark, "versions")
+    path, folder, out = (os.path.join(root, name) for name in ("limits", "in", "out"))
+    rows = fx.numbered_rows(spark, sf_dir)
+    first, second = (f"ts < timestamp'{v}'" for v in VERSIONS[1:])
+    parts = (first, f"not ({first}) and {second}", f"not ({second})")
+
+    def score(batch: DataFrame) -> DataFrame:
+        return offline.score_as_of(batch, jobs.threshold_versions(spark, path))
+
+    for valid_from, part in zip(VERSIONS, parts, strict=True):
+        _version(spark, sf_dir, path, valid_from)
+        rows.filter(part).write.mode("append").parquet(folder)
+        readings = _streamed(spark, rows, folder).drop("event_id")
+        writer = readings.writeStream.foreachBatch(after(score, files.batch_writer(out)))
+        runner.drain(writer.option("checkpointLocation", os.path.join(root, "checkpoint")))
+    return fx.plain(spark.read.parquet(out).drop("batch_id"))
+
+
+@query
+def stream_delivery_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row once in every sink, though one sink fails at first and others only append."""
+    root = scratch_dir(spark, "ledger")
+    out = {name: os.path.join(root, name) for name in ("appended", "flaky", "published")}
+    ledger = Ledger(spark, os.path.join(root, "checkpoint", "delivered"))
+    failed: list[int] = []
+
+    def appending(name: str) -> Callable[[DataFrame, int], None]:
+        return lambda rows, _: rows.write.mode("append").parquet(out[name])
+
+    def flaky(rows: DataFrame, batch_id: int) -> None:
+        if not failed:
+            failed.append(batch_id)
+            raise RuntimeError("the sink is away")
+        appending("flaky")(rows, batch_id)
+
+    def found(batch: DataFrame) -> DataFrame:
+        return anomaly.anomalies(batch)
+
+    sinks = [
+        Sink("appended", appending("appended"), found),
+        Sink("flaky", flaky, found),
+        Sink("published", files.batch_writer(out["published"]), found),
+    ]
+    scored = _daily_scores(spark, sf_dir, True)
+    writer = scored.writeStream.foreachBatch(fan_out(sinks, ledger))
+    writer = writer.option("checkpointLocation", os.path.join(root, "checkpoint"))
+    try:
+        runner.drain(writer)
+    except Exception as error:
+        if "the sink is away" not in str(error):
+            raise
+    runner.drain(writer)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in found(_daily_scores(spark, sf_dir)).schema)
+    rows = {name: spark.read.schema(schema).parquet(out[name]) for name in ("appended", "flaky")}
+    rows["published"] = ledger.published("published", out["published"], schema)
+    value = F.concat_ws("|", "device_id", "metric", "severity", F.col("value").cast("string")).alias("value")
+    parts = [df.select(F.lit(name).alias("sink"), value) for name, df in rows.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query
+def incremental_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Thresholds from daily states that are brought up to date as days and late rows arrive."""
+    root = scratch_dir(spark, "increments")
+    raw, stats = os.path.join(root, "raw"), os.path.join(root, "stats")
+    rows = fx.numbered_rows(spark, sf_dir).select(
+        "event_id", "ts", F.to_date("ts").alias("dt"), "device_id", F.create_map("metric", "value").alias("metrics")
+    )
+    for part in LATE_PARTS:
+        rows.filter(part).drop("event_id", "ts").write.mode("append").partitionBy("dt").parquet(raw)
+        increments.refresh(tables.lake(spark, raw), raw, stats)
+    return fx.plain(offline.thresholds(increments.daily(spark, stats), k=2.0), 4)
+
+
+@query
+def stream_compacted_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The archive of several micro-batches after its small files were put together, and more came."""
+    root = scratch_dir(spark, "compaction")
+    folder, path = os.path.join(root, "in"), os.path.join(root, "raw")
+    records = fx.message_records(spark, sf_dir)
+    compacted = CompactedLake(spark, path, os.path.join(root, "compacted"))
+    for part in ARCHIVE_PARTS:
+        records.filter(part).write.mode("append").parquet(folder)
+        rows = parsing.archive_rows(parsing.parse_messages(_streamed(spark, records, folder)))
+        runner.drain(files.archive_stream(rows, path, os.path.join(root, "checkpoint")))
+        if part != ARCHIVE_PARTS[-1]:
+            compacted.compact()
+    return fx.plain(_with_readings(compacted.read()))
+
+
+@query
+def series_range_from_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stretch of one series out of a lake that is laid out by device and time."""
+    path = os.path.join(scratch_dir(spark, "layout"), "lake")
+    layout.write_clustered(fx.sensor_rows(spark, sf_dir), path)
+    until = F.lit(AS_OF).cast("timestamp")
+    lake = layout.of_device(layout.between(spark.read.parquet(path), until - F.expr("interval 6 hours"), until), "dev-1")
+    found = metrics.series_range(lake, AS_OF, "6 hours", metric="click", device_id="dev-1")
+    return fx.plain(found.drop("dt", "device_bucket"))
+
+
+@query
+def stream_upserted_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows in update mode over several micro-batches, newest version of each."""
+    root = scratch_dir(spark, "upserts")
+    folder = os.path.join(root, "in")
+    rows = fx.numbered_rows(spark, sf_dir)
+    keys = ("window_start", "window_end", "device_id", "metric", "location", "model")
+    schema = ", ".join(f"{k} {'timestamp' if k.startswith('window') else 'string'}" for k in keys)
+    table = upserts.KeyedTable(spark, os.path.join(root, "table"), f"{schema}, mean double, std double", keys)
+    for number, _ in enumerate(fx.arrivals(rows, folder, "event_id % 3 = 0", "event_id % 3 = 1", "event_id % 3 = 2")):
+        # everything stays in time for its window
+        stats = anomaly.window_stats(_streamed(spark, rows, folder), DAY, watermark="60 days")
+        flat = stats.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *keys[2:], "mean", "std")
+        writer = flat.writeStream.foreachBatch(table.writer())
+        runner.drain(writer.option("checkpointLocation", os.path.join(root, "checkpoint")), "update")
+        if number == 1:
+            table.fold(up_to=number)
+    return fx.plain(table.read())
+
+
+@query
+def stream_spooled_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages out of a spool at a limited rate, restarted once, and their lines into another one."""
+    root = scratch_dir(spark, "spool")
+    inbox, out, checkpoint = (os.path.join(root, name) for name in ("inbox", "out", "checkpoint"))
+    fx.message_records(spark, sf_dir).select(F.col("value").cast("string")).repartition(6).write.text(inbox)
+    for _ in range(2):
+        lines = messages.message_lines(jobs.parsed_messages(spool.spooled_lines(spark, inbox, files_per_batch=2).select("value")))
+        running = runner.start(spool.deliver_stream(lines, out, checkpoint), every="0 seconds")
+        try:
+            running.processAllAvailable()
+        finally:
+            running.stop()
+    return spark.read.text(os.path.join(out, "batch=*"))

@@ -18,6 +18,12 @@ METRIC_ROW = (
 
 DAILY_STATS = "device_id string, metric string, n bigint, mean double, stddev double, dt date"
 
+# Bounds of a series from an instant on, until the next version.
+THRESHOLDS = (
+    "device_id string, metric string, n bigint, mean double, stddev double, lower double, upper double, "
+    "valid_from timestamp"
+)
+
 # Anomaly message as published, plus the alternative spellings alert readers accept.
 ALERT_EVENT = (
     "ts string, event_ts string, device_id string, deviceId string, metric string, "

@@ -105,6 +105,8 @@ class ScoringSettings:
     watermark: str = WATERMARK
     z_threshold: float = Z_THRESHOLD
     min_std: float = MIN_STD
+    #: State keys the readings of one window and series are spread over.
+    salts: int = 16
 
     @classmethod
     def from_env(cls, env: Mapping[str, str] | None = None) -> ScoringSettings:
@@ -114,6 +116,7 @@ class ScoringSettings:
             watermark=env.get("WATERMARK_DELAY", WATERMARK),
             z_threshold=float(env.get("Z_THRESHOLD", Z_THRESHOLD)),
             min_std=float(env.get("MIN_STD", MIN_STD)),
+            salts=int(env.get("SCORING_SALTS", "16")),
         )
 
 
