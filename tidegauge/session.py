@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -55,6 +57,19 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def with_settings(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """SQL settings for a while; what the session had comes back."""
+    before = {key: spark.conf.get(key, None) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder every executor can reach.
 

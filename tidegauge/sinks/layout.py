@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidegauge.session import with_settings
+
 #: Devices fall into 2^BITS buckets, and a day into as many stretches.
 BITS = 12
 ROW_GROUP = 32 * 2**20
@@ -42,17 +44,17 @@ def write_clustered(
     stretch = F.expr(f"pmod(unix_micros({ts}), {DAY}) * {1 << BITS} div {DAY}")
     placed = rows.withColumns({"dt": F.to_date(ts), "device_bucket": device_bucket(F.col(device))})
     placed = placed.withColumn("key", interleaved(F.col("device_bucket"), stretch))
-    (
-        placed.repartitionByRange("dt", "key", ts)
-        .sortWithinPartitions("dt", "key", ts)
-        .drop("key")
-        .write.mode(mode)
-        .option("parquet.block.size", row_group)
-        .option("parquet.page.size", min(row_group // 8, 2**20))
-        .option(f"parquet.bloom.filter.enabled#{device}", "true")
-        .partitionBy("dt")
-        .parquet(path)
-    )
+    ordered = placed.repartitionByRange("dt", "key", ts).sortWithinPartitions("dt", "key", ts).drop("key")
+    # the older 96-bit form of an instant has no least and largest value in a footer
+    with with_settings(rows.sparkSession, {"spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS"}):
+        (
+            ordered.write.mode(mode)
+            .option("parquet.block.size", row_group)
+            .option("parquet.page.size", min(row_group // 8, 2**20))
+            .option(f"parquet.bloom.filter.enabled#{device}", "true")
+            .partitionBy("dt")
+            .parquet(path)
+        )
 
 
 def of_device(lake: DataFrame, device_id: str, device: str = "device_id") -> DataFrame:
