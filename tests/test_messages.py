@@ -1,4 +1,5 @@
 import json
+import re
 
 from helpers import at, column, reading, readings, texts
 from tidegauge.operators import alerts, messages
@@ -114,3 +115,15 @@ def test_far_future_timestamps_do_not_fail(spark):
     )
     (line,) = column(messages.metric_lines(df), "value")
     assert line.endswith(" t=1.0 253402214400000000000")
+
+
+def test_odd_json_is_still_read(spark):
+    bodies = [
+        '{"ts":"nan","score":NaN,"is_anomaly":1}', '{"ts":"inf","score": -Infinity}', '{"ts":"twice","score":1,"score":9}',
+        "{'ts':'single','score':9}", '{"ts":"null","score":null,"anomaly":{"score":9}}', '{"ts":"cut","score":9',
+    ]
+    alerted = column(alerts.alerting(alerts.read_events(texts(spark, bodies))), "ts")
+    assert alerted == ["nan", "inf", "twice", "null"]
+    plan = alerts.read_events(texts(spark, bodies))._jdf.queryExecution().executedPlan().toString()
+    # once as it is, and once more only where that fails
+    assert "from_json" not in plan and len(re.findall("(?i)parsejson", plan)) == 2

@@ -103,3 +103,15 @@ def test_ewma_matches_the_plain_recurrence(spark):
     assert [r["score"] for r in got[1:200]] == pytest.approx([s for _, s in expected[1:]])
     assert got[200]["score"] is None
     assert [r["score"] for r in got[201:]] == pytest.approx([0.0, 0.0], abs=1e-9)
+
+
+def test_change_takes_the_smallest_first_and_the_largest_last(spark):
+    values = {
+        "ties": [(0, 5.0), (0, 3.0), (0.5, 9.0), (0.5, 11.0), (0.5, -2.0)],
+        "large": [(0, 1e17), (0, -1e17), (0.5, 1e15), (0.5, 1.0000001e15)],
+        "tiny": [(0, 1e-9), (0, -1e-9), (0.5, 2e-9)],
+        "endless": [(0, float("-inf")), (0, 1.0), (0.5, 2.0), (0.5, float("inf"))],
+    }
+    rows = [reading(m, v, device=d) for d, of in values.items() for m, v in of]
+    got = {r["device_id"]: r["delta"] for r in metrics.window_features(readings(spark, rows)).collect()}
+    assert got == {"ties": 8.0, "large": 1.0000001e15 + 1e17, "tiny": pytest.approx(3e-9), "endless": float("inf")}

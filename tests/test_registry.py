@@ -1,5 +1,7 @@
 from datetime import date
 
+import pytest
+
 from helpers import at, column
 from tidegauge import schemas
 from tidegauge.operators import registry
@@ -101,3 +103,22 @@ def test_registry_tables(spark, tmp_path):
     devices = spark.createDataFrame([("d1", "zone2"), ("d2", "zone9")], "device_id string, zone_code string")
     looked = registry.lookup(devices, tables.registry_table(spark, "zones", root), "zone_code", "zone_id")
     assert {r["device_id"]: r["zone_id"] for r in looked.collect()} == {"d1": 2, "d2": None}
+
+
+def test_first_rows_by_time_and_of_equal_rows_one(spark):
+    rows = spark.createDataFrame(
+        [("a", at(2), "x"), ("a", at(1), "y"), ("a", at(1), "y"), ("b", None, "z"), ("b", None, "z"), ("c", at(-9e6), "old"), ("c", at(0), "new")],
+        "device_id string, ts timestamp, model string",
+    )
+    got = registry.first_per_key(rows, "device_id", "ts")
+    assert got.columns == rows.columns
+    assert sorted((r["device_id"], r["model"]) for r in got.collect()) == [("a", "y"), ("b", "z"), ("c", "old")]
+    with pytest.raises(TypeError):
+        registry.first_per_key(rows, "device_id", "model")
+
+
+def test_rows_of_one_position_give_one_row_whatever_their_order(spark):
+    rows = [("a", f"m{i}", -5) for i in range(20)]
+    frames = [spark.createDataFrame(r, "k string, m string, p long") for r in (rows, rows[::-1])]
+    first, second = (registry.first_per_key(df, "k", "p").collect() for df in frames)
+    assert first == second and len(first) == 1

@@ -105,7 +105,13 @@ def test_first_per_key_reduces_before_the_shuffle(spark):
     rows = skewed_rows(spark, 1000).withColumn("position", F.monotonically_increasing_id())
     plan = registry.first_per_key(rows, "device_id", "position")._jdf.queryExecution()
     text = plan.executedPlan().toString()
-    assert text.index("partial_min_by") > text.index("Exchange")
+    assert text.index("partial_min") > text.index("Exchange")
+    assert not re.search("SortAggregate|ObjectHashAggregate", text)
+
+
+def test_features_are_aggregated_by_hashing(spark):
+    text = metrics.window_features(skewed_rows(spark, 1000))._jdf.queryExecution().executedPlan().toString()
+    assert "partial_min_by" in text and not re.search("SortAggregate|ObjectHashAggregate|Sort ", text)
 
 
 def test_copies_of_a_point_collapse_before_points_are_built(spark):

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge import schemas
-from tidegauge.functions.once import with_computed, with_json
+from tidegauge.functions.once import with_computed
 from tidegauge.functions.values import number_text, text_or, to_double
 from tidegauge.settings import ALERT_THRESHOLD
 
@@ -21,25 +20,39 @@ def read_events(messages: DataFrame, value: str = "value") -> DataFrame:
     """
     text = F.col(value).cast("string")
     objects = messages.filter(text.rlike(r"^\s*\{")).select(text.alias("text"))
-    typed = {
-        kind: F.from_json("text", f"score {kind}, is_anomaly {kind}, anomaly struct<score: {kind}, is_anomaly: {kind}>")
-        for kind in ("boolean", "double")
+    # numbers JSON has no form for are put in quotes, where a text holds such and cannot be read otherwise
+    quoted = F.regexp_replace("text", r"(?<=[:\s])(NaN|-?Infinity)(?=[\s,}])", '"$1"')
+    body = F.coalesce(F.try_parse_json("text"), F.when(quoted != F.col("text"), F.try_parse_json(quoted)))
+    parsed = with_computed(objects, {"body": body}, [])
+
+    def at(path: str, kind: str = "string") -> Column:
+        return F.try_variant_get("body", f"$.{path}", kind)
+
+    shown = {name: at(name) for name in ("ts", "event_ts", "device_id", "deviceId", "metric")}
+    # a JSON null is no score either
+    top = at("score", "variant")
+    nested = top.isNull() | F.is_variant_null(top)
+    fields = {
+        name: F.when(nested, at(f"anomaly.{name}", "variant")).otherwise(at(name, "variant"))
+        for name in ("score", "is_anomaly")
     }
-    events = with_json(with_computed(objects, typed, ["text"]), F.col("text"), schemas.ALERT_EVENT, ("boolean", "double"))
-    nested = F.col("score").isNull() & F.col("anomaly").isNotNull()
+    events = with_computed(parsed, {**shown, **fields, "nested_metric": at("anomaly.metric")}, [])
 
-    def of(name: str, kind: str | None = None) -> Column:
-        """A field at its place, as text or as the JSON type ``kind``."""
-        at = f"{kind}." if kind else ""
-        return F.when(nested, F.col(f"{at}anomaly.{name}")).otherwise(F.col(f"{at}{name}"))
+    def of(name: str, kind: str) -> Column:
+        """A field as text, or as what it is if it has the JSON type ``kind``."""
+        of_kind = F.schema_of_variant(F.col(name))
+        got = F.try_variant_get(name, "$", kind)
+        if kind == "string":
+            return got
+        return F.when(of_kind == "BOOLEAN" if kind == "boolean" else ~of_kind.isin("BOOLEAN", "STRING", "VOID"), got)
 
-    score = F.coalesce(of("score", "boolean").cast("double"), to_double(of("score")))
-    whole = F.regexp_extract(of("is_anomaly"), r"^\s*([+-]?[0-9]+)\s*$", 1)
+    score = F.coalesce(of("score", "boolean").cast("double"), to_double(of("score", "string")))
+    whole = F.regexp_extract(of("is_anomaly", "string"), r"^\s*([+-]?[0-9]+)\s*$", 1)
     flag = F.coalesce(
         of("is_anomaly", "boolean").cast("int"), of("is_anomaly", "double").try_cast("int"), whole.try_cast("int")
     )
     device = text_or(F.col("device_id"), text_or(F.col("deviceId"), "unknown-device"))
-    metric = text_or(F.col("metric"), text_or(F.col("anomaly.metric"), "unknown-metric"))
+    metric = text_or(F.col("metric"), text_or(F.col("nested_metric"), "unknown-metric"))
     return events.select(
         score.alias("score"),
         flag.alias("flag"),

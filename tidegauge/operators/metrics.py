@@ -56,6 +56,17 @@ def metric_points(rows: DataFrame) -> DataFrame:
     )
 
 
+def _in_order(ts: Column, value: Column) -> Column:
+    """A number that orders readings by time, and simultaneous ones by value.
+
+    The whole part is the time in microseconds; the fraction grows with the value, as its
+    logarithm does.
+    """
+    grown = F.lit(0.5) + F.signum(value) * F.log1p(F.abs(value)) / 1500
+    fraction = F.when(is_finite(value), grown).otherwise(F.when(value < 0, 0.0).otherwise(1.0))
+    return F.unix_micros(ts).cast("decimal(19,0)") + fraction.cast("decimal(19,18)")
+
+
 def window_features(
     rows: DataFrame,
     window: str = "1 minute",
@@ -65,23 +76,26 @@ def window_features(
     """Count, mean, population std, min, max, change and rate of change per window.
 
     Change is last minus first reading by time (of simultaneous readings: the
-    smallest first, the largest last); rate is per second and null when all
-    readings share one instant.
+    smallest first, the largest last, as far as their first 13 digits tell); rate is
+    per second and null when all readings share one instant. All buffers are of
+    fixed width, so the aggregate hashes on the map side and never sorts readings.
     """
     source = rows.filter(F.col("value").isNotNull())
     source = source.withWatermark("ts", watermark) if watermark else source
-    at = F.struct("ts", "value")
+    at = _in_order(F.col("ts"), F.col("value"))
     grouped = source.groupBy(F.window("ts", window).alias("w"), *keys).agg(
         F.count("*").alias("n"),
         F.avg("value").alias("mean"),
         F.stddev_pop("value").alias("std"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
-        F.min(at).alias("first"),
-        F.max(at).alias("last"),
+        F.min_by("value", at).alias("first"),
+        F.max_by("value", at).alias("last"),
+        F.min("ts").alias("first_ts"),
+        F.max("ts").alias("last_ts"),
     )
-    delta = F.col("last.value") - F.col("first.value")
-    seconds = (F.unix_micros(F.col("last.ts")) - F.unix_micros(F.col("first.ts"))) / 1e6
+    delta = F.col("last") - F.col("first")
+    seconds = (F.unix_micros("last_ts") - F.unix_micros("first_ts")) / 1e6
     return grouped.select(
         F.col("w.start").alias("window_start"),
         F.col("w.end").alias("window_end"),

@@ -4,9 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tidegauge.functions.times import before, instant
 
+#: A position as a whole number.
+PLACES = {kind: "cast({} as decimal(19,0))" for kind in ("byte", "short", "integer", "long")}
+PLACES |= {"date": "cast(unix_date({}) as decimal(19,0))", "timestamp": "cast(unix_micros({}) as decimal(19,0))"}
+#: Behind every position: 2^62, which keeps the codes within 38 digits.
+LAST = 2**62
+CODE = "__code"
+
 
 def lookup(rows: DataFrame, dimension: DataFrame, key: str, wanted: str) -> DataFrame:
     """Add ``wanted`` of the dimension row with the same ``key`` (null if none).
@@ -19,14 +27,26 @@ def lookup(rows: DataFrame, dimension: DataFrame, key: str, wanted: str) -> Data
 def first_per_key(rows: DataFrame, key: str, position: str) -> DataFrame:
     """Per key the row with the smallest position, rows without one last.
 
-    An aggregate rather than a ranked window: copies of one key are reduced in
-    every task before the shuffle.
+    ``position`` is a whole number, a date or an instant. Position and a hash of the row
+    make one number of fixed width, whose least value a hash aggregate finds in every task
+    before the shuffle; the row it belongs to is joined back. Of rows of one position the
+    one with the smallest hash counts, of equal rows one.
     """
-    names = rows.columns
-    # a struct is never null, so a key whose positions are all null keeps a row
-    order = F.struct(F.col(position).isNull(), F.col(position))
-    first = F.min_by(F.struct(*names), order).alias("row")
-    return rows.groupBy(key).agg(first).select(*[F.col(f"row.{name}") for name in names])
+    kind = rows.schema[position].dataType.typeName()
+    if kind not in PLACES:
+        raise TypeError(f"a position is one of {', '.join(PLACES)}, not {kind}")
+    place = F.coalesce(F.expr(PLACES[kind].format(f"`{position}`")), F.lit(LAST).cast("decimal(19,0)"))
+    # 2^64 numbers for each position, which may reach from -2^62 to 2^62
+    code = place * F.lit(str(2**64)).cast("decimal(20,0)") + F.xxhash64(*rows.columns).cast("decimal(19,0)")
+    coded = rows.withColumn(CODE, code.cast("decimal(38,0)"))
+    least = coded.groupBy(key).agg(F.min(CODE).alias(CODE))
+    once = Window.partitionBy(key).orderBy(CODE)
+    return (
+        coded.join(least, [key, CODE])
+        .withColumn("__n", F.row_number().over(once))
+        .filter("__n = 1")
+        .select(*rows.columns)
+    )
 
 
 def insert_if_absent(

@@ -29,6 +29,8 @@ SQL_SETTINGS = {
     # sorting the readings when every statistics partition is measured below
     # this size, and stay with the spilling sort-merge join when one is not
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
+    # of a key that a JSON object repeats the last value counts, as other readers have it
+    "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
