@@ -131,3 +131,9 @@ def test_topic_options_follow_the_deployment():
     assert topics.topic_options(BrokerSettings.from_env({"FAIL_ON_DATA_LOSS": "false"}), "t")["failOnDataLoss"] == "false"
     assert BrokerSettings.from_env({}).max_offsets_per_trigger is None
     assert BrokerSettings.from_env({"MAX_OFFSETS_PER_TRIGGER": "5"}).max_offsets_per_trigger == 5
+
+
+def test_alerts_need_a_destination(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(jobs.topics, "topic_stream", lambda *_: topics.file_stream(spark, str(tmp_path), "value string", "text"))
+    with pytest.raises(MissingSetting, match="ALERT_PATH"):
+        jobs.run("alerts", spark, {"CHECKPOINT_DIR": str(tmp_path / "checkpoint")})

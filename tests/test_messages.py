@@ -106,6 +106,8 @@ def test_inspection(spark):
     assert got[1]["value"] == "��ab"
     assert got[0]["kafka_ts"] == "2026-01-13T00:00:00.000000+00:00"
     assert messages.inspect_messages(df, 0).count() == 3
+    newest = messages.inspect_messages(df, 2, newest=True).collect()
+    assert [(r["partition"], r["offset"]) for r in newest] == [(1, 7), (0, 9)]
 
 
 def test_far_future_timestamps_do_not_fail(spark):

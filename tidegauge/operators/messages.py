@@ -73,10 +73,11 @@ def anomaly_lines(found: DataFrame, measurement: str = MEASUREMENT_ANOMALIES) ->
     return found.filter(F.col("ts").isNotNull() & (fields != "")).select(text.alias("value"))
 
 
-def inspect_messages(records: DataFrame, n: int = 5) -> DataFrame:
+def inspect_messages(records: DataFrame, n: int = 5, newest: bool = False) -> DataFrame:
     """The first ``n`` records of a topic in readable form; all of them if ``n <= 0``.
 
-    Bytes that are no UTF-8 show as replacement characters.
+    With ``newest`` the last ``n`` by time, whatever their partitions and offsets; every
+    task hands on no more than ``n``. Bytes that are no UTF-8 show as replacement characters.
     """
     readable = records.select(
         "partition",
@@ -85,4 +86,5 @@ def inspect_messages(records: DataFrame, n: int = 5) -> DataFrame:
         iso_utc(F.col("timestamp")).alias("kafka_ts"),
         F.make_valid_utf8(F.col("value").cast("string")).alias("value"),
     )
-    return readable.orderBy("partition", "offset").limit(n) if n > 0 else readable
+    order = (F.desc("kafka_ts"), "partition", F.desc("offset")) if newest else ("partition", "offset")
+    return readable.orderBy(*order).limit(n) if n > 0 else readable

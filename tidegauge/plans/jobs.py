@@ -207,7 +207,9 @@ def run(job: str, spark: SparkSession, env: Mapping[str, str]) -> None:
         held = topics.topic_records(
             spark, broker, broker.raw_topic, env.get("STARTING_OFFSETS", "earliest"), env.get("ENDING_OFFSETS", "latest")
         )
-        shown = messages.inspect_messages(held, int(env.get("MAX_MESSAGES", "5")))
+        shown = messages.inspect_messages(
+            held, int(env.get("MAX_MESSAGES", "5")), newest=settings.flag(env, "NEWEST", False)
+        )
         files.print_lines(shown.select(F.to_json(F.struct("*"))))
         return
 
@@ -244,8 +246,11 @@ def run(job: str, spark: SparkSession, env: Mapping[str, str]) -> None:
             writer = files.text_stream(lines, env["ALERT_PATH"], checkpoint)
         elif env.get("KAFKA_TOPIC_ALERTS"):
             writer = records.publish_stream(lines, broker, env["KAFKA_TOPIC_ALERTS"], checkpoint)
-        else:
+        elif settings.flag(env, "ALERT_CONSOLE", False):
+            # every line passes the driver: for a person who watches, not for a deployment
             writer = files.console_stream(lines, checkpoint)
+        else:
+            raise settings.MissingSetting("set ALERT_PATH, KAFKA_TOPIC_ALERTS or, to watch, ALERT_CONSOLE=true")
     runner.start(writer)
     runner.wait_for_any(spark)
 

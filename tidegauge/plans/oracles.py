@@ -649,10 +649,14 @@ ORACLES["stream_normalize_rest"] = ORACLES["normalize_rest"]
 ORACLES["stream_normalize_mqtt"] = ORACLES["normalize_mqtt"]
 ORACLES["stream_rejected"] = ORACLES["rejected_payloads"]
 ORACLES["stream_ingest"] = (
-    f"select device_id as key, cast(null as varchar) as reason from ({ORACLES['normalize_rest']})"
-    f" union all select device_id, reason from ({ORACLES['rejected_payloads']})"
+    "select device_id as key, ts, device_id, location, model, n_metrics, readings, cast(null as varchar) as reason"
+    f" from ({ORACLES['normalize_rest']})"
+    " union all by name"
+    f" select device_id as key, reason from ({ORACLES['rejected_payloads']})"
+)
+ORACLES["inspect_newest_messages"] = (
+    ORACLES["inspect_messages"].replace("order by 1, 2 limit 20", 'order by kafka_ts desc, "partition", "offset" desc limit 20')
 )
-
 ORACLES["stream_closed_windows"] = sql(
     """, parts as (
         select *, case when event_id % 50 = 0 then 2 when ts < timestamp '2024-01-16' then 0 else 1 end as part

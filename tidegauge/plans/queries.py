@@ -456,6 +456,11 @@ def inspect_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return messages.inspect_messages(fx.message_records(spark, sf_dir), 20)
 
 
+@query
+def inspect_newest_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return messages.inspect_messages(fx.message_records(spark, sf_dir), 20, newest=True)
+
+
 @query
 def inspect_all_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return messages.inspect_messages(fx.message_records(spark, sf_dir), 0)
@@ -545,15 +550,16 @@ def stream_normalize_mqtt(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ingest job on a stream of bodies: keyed records, and refused bodies with their reason."""
+    """The ingest job on a stream of bodies: keyed records as a reader gets them, and refused bodies with their reason."""
     root = scratch_dir(spark, "ingest")
     raw, refused = os.path.join(root, "raw"), os.path.join(root, "refused")
     bodies = fx.rest_bodies(spark, sf_dir, True)
     writers = files.batch_writer(raw), files.batch_writer(refused)
     runner.drain(jobs.ingest(bodies, *writers, os.path.join(root, "checkpoint")))
-    accepted = spark.read.parquet(raw).select("key", F.lit(None).cast("string").alias("reason"))
+    parsed = parsing.parse_messages(spark.read.parquet(raw), keep=("key",))
+    accepted = _with_readings(parsed).withColumn("reason", F.lit(None).cast("string"))
     left = spark.read.parquet(refused).select(F.col("device_id").alias("key"), "reason")
-    return accepted.unionByName(left)
+    return fx.plain(accepted.unionByName(left, allowMissingColumns=True), 4)
 
 
 @query

@@ -75,10 +75,13 @@ def with_settings(spark: SparkSession, settings: dict[str, str]) -> Iterator[Non
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder every executor can reach.
 
-    The parent is the folder named by ``spark.checkpoint.dir``; a session that names
-    none keeps scratch tables next to its other tables, in the warehouse.
+    The parent is the folder named by ``spark.checkpoint.dir``. A local session that names
+    none keeps scratch tables in its warehouse; on a cluster, where that may be a folder of
+    the driver's machine, it has to be named.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.conf.get("spark.master", "local").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         base = os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "tidegauge-scratch")
     return os.path.join(base, f"{purpose}-{uuid.uuid4().hex}")
