@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -103,6 +104,65 @@ def test_decontaminated_keeps_clean_rows(spark, cases):
     assert sorted(repr(r["doc_id"]) for r in kept.collect()) == sorted(repr(d) for d, _ in docs if repr(d) not in dirty)
 
 
+def template_items(n, seed=5):
+    r = random.Random(seed)
+    return [(i, f"Question: which of the following {prose(seed * 7919 + i, 12)}? Answer: {r.choice('ABCD')}") for i in range(n)]
+
+
+def near_template(r, n=60):
+    return " ".join(f"Question: which of the following {prose(r.randrange(10**9), 12)}? Answer: B" for _ in range(n // 15))
+
+
+def test_items_of_one_template_equal_brute_force(monkeypatch):
+    items = template_items(60)
+    r = random.Random(2)
+    docs = [(i, near_template(r)) for i in range(6)]
+    docs += [(100 + i, near_template(r) + edited(items[i][1], int(0.07 * len(items[i][1])), i) + prose(i, 9)) for i in range(8)]
+    docs += [(200, "Question: which of the following "), (201, "which of the following " * 30)]
+    same = [(1000 + i, "Question: which of the following is the level of gauge number %d?" % i) for i in range(40)]
+    docs += [(300, "so: " + same[7][1].replace("gauge", "gage") + " yes")]
+    matcher = decontamination.Matcher(items + same, 0.07)
+    found = sorted((d, i, distance) for d, text in docs for i, distance, _, _ in matcher.matches(text))
+    assert found == sorted(wanted(docs, items + same))
+    assert sum(d == 300 for d, _, _ in found) > 10
+    # whatever pieces are taken for shared
+    monkeypatch.setattr(decontamination, "MANY", 2)
+    monkeypatch.setattr(decontamination, "COMMON", 1)
+    other = decontamination.Matcher(items + same, 0.07)
+    assert sorted((d, i, distance) for d, text in docs for i, distance, _, _ in other.matches(text)) == found
+
+
+def test_a_template_of_many_items_is_passed_quickly():
+    matcher = decontamination.Matcher(template_items(3000), 0.07)
+    text = "Question: which of the following " + prose(1, 400)
+    text = text[:1000] + " Question: which of the following " + text[1000:]
+    list(matcher.matches(text[:100]))
+    began = time.perf_counter()
+    assert list(matcher.matches(text)) == []
+    assert time.perf_counter() - began < 0.1
+
+
+def test_pieces_are_separate_and_enough():
+    items = [text for _, text in template_items(50)]
+    common = decontamination.Commonness(items)
+    for item in [*items, "short", "a", "", "Question: which of the following "]:
+        found = decontamination.pieces(item, 0.07, common.shared(item))
+        assert len(found) == int(0.07 * len(item)) + 1
+        for offset, piece in found:
+            assert item[offset : offset + len(piece)] == piece and (piece or not item)
+        assert all(a + len(x) <= b for (a, x), (b, _) in zip(found, found[1:]))
+
+
+def test_several_blocks_are_taken_out_in_turn(spark, cases, monkeypatch):
+    docs, items = cases
+    table = spark.createDataFrame(docs, "doc_id long, text string").withColumn("a.b", F.lit(1))
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    whole = decontamination.decontaminated(table, benchmark).collect()
+    monkeypatch.setattr(decontamination, "BLOCK_CHARS", 600)
+    again = decontamination.decontaminated(table, benchmark)
+    assert again.columns == table.columns and sorted(again.collect(), key=repr) == sorted(whole, key=repr)
+
+
 def test_empty_tables(spark, cases):
     docs = spark.createDataFrame(cases[0], "doc_id long, text string")
     none = spark.createDataFrame([], "item_id long, text string")
