@@ -135,7 +135,9 @@ def components(edges: DataFrame, space: Workspace) -> DataFrame:
     Alternates two steps until nothing changes: every node hands its larger
     neighbours, then its smaller ones, to its smallest neighbour. Minima are
     aggregated before the shuffle and no neighbourhood is gathered anywhere; the
-    rounds grow with the logarithm of the longest path.
+    rounds grow with the logarithm of the longest path. Minima are written before they
+    are joined: a join with an aggregate is never split, and the root of a large class is
+    one key of it.
     """
     current = space.keep(
         edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(),
@@ -145,14 +147,17 @@ def components(edges: DataFrame, space: Workspace) -> DataFrame:
     while before[0]:
         both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        least = space.keep(least, f"least-{number}")
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = space.keep(large, f"large-{number}")
+        least = space.keep(large.groupBy("u").agg(F.min("v").alias("m")), f"next-{number}")
         small = large.join(least, "u").filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         following = small.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
         number += 1
         following = space.keep(following, f"edges-{number}")
         after = _state(following)
-        space.drop(f"edges-{number - 1}")
+        for name in ("edges", "least", "large", "next"):
+            space.drop(f"{name}-{number - 1}")
         current = following
         if after == before:
             break

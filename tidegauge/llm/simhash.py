@@ -8,7 +8,9 @@ meeting is verified on the whole 64 bits.
 Defined results: a null or blank text has fingerprint zero and is linked like any
 other; rows of one doc_id count as one document; a row without doc_id keeps its
 fingerprint and gets the smallest id it is linked to, or null. Texts of any length
-are hashed block by block.
+are hashed block by block. Bits set in exactly half of the shingles are zero; of the rows of
+one id that stays any one does. Other columns are kept whatever their names. An empty table
+gives no rows.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.llm import linking
-from tidegauge.llm.tables import Workspace
+from tidegauge.llm.tables import Workspace, named
 
 WORDS = 4
 DISTANCE = 4
@@ -155,7 +157,10 @@ def classes(docs: DataFrame, words: int = WORDS, distance: int = DISTANCE) -> Da
     roots = space.keep(
         linking.components(links(nodes.select("node"), distance, space).unionByName(same), space), "roots"
     )
-    least = roots.join(nodes, "node").groupBy("root").agg(F.min("least").alias("component_id"))
+    # written, so that the join with the one root of a large class can be split
+    least = space.keep(
+        roots.join(nodes, "node").groupBy("root").agg(F.min("least").alias("component_id")), "least"
+    )
     joined = roots.join(least, "root").select("node", "component_id")
     named = space.keep(
         nodes.join(joined, "node", "left").select("node", F.coalesce("component_id", "least").alias("component_id")),
@@ -173,7 +178,7 @@ def one_per_class(docs: DataFrame, words: int = WORDS, distance: int = DISTANCE)
     space = Workspace(docs.sparkSession, "simhash-kept")
     found = space.keep(classes(docs.select("doc_id", "text"), words, distance), "classes")
     surplus = found.filter("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(surplus, "doc_id", "left_anti").select(docs.columns)
+    kept = docs.join(surplus, "doc_id", "left_anti").select(*named(docs.columns))
     repeated = space.keep(
         found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "repeated"
     )
