@@ -8,7 +8,9 @@ text whose chunks do not agree within some overlap (a run longer than it) is enc
 as one chunk. Decoding concatenates the bytes of the ids.
 
 Defined results: a null or empty text has no ids; equal texts have equal ids; special
-tokens are ordinary text; ids outside the vocabulary cannot be decoded and raise.
+tokens are ordinary text; ids outside the vocabulary cannot be decoded and raise; repeated
+rows each get their ids. Other columns are kept, ``ids`` is replaced. An empty table gives
+no rows.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ import tiktoken
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidegauge.llm.tables import Workspace, named
 from tidegauge.llm.workers import once_per_worker
 
 #: Code points of a chunk, and of what it shares with the next one.
@@ -221,13 +224,15 @@ def encode(
 ) -> DataFrame:
     """``docs`` with the ids of ``text`` in a column ``ids``."""
     whole = _encode_texts(vocabulary)
-    columns = [docs[c] for c in docs.columns if c != "ids"]
+    columns = named([c for c in docs.columns if c != "ids"])
     is_long = F.coalesce(F.char_length("text") > size, F.lit(False))
     short = docs.filter(~is_long).select(*columns, whole(F.col("text")).alias("ids"))
     long = docs.filter(is_long).select(
         F.struct(*columns).alias("row"), "text", F.sha2(F.col("text").cast("binary"), 256).alias("key")
     )
-    stitched = _long_texts(long.select("key", "text"), vocabulary, size, overlap)
+    # written, so that the join with the one key of a text that has many copies can be split
+    space = Workspace(docs.sparkSession, "byte-bpe")
+    stitched = space.keep(_long_texts(long.select("key", "text"), vocabulary, size, overlap), "long-texts")
     joined = long.join(stitched, "key", "left").select(
         "row.*", F.coalesce("ids", whole(F.when(F.col("ids").isNull(), F.col("text")))).alias("ids")
     )
