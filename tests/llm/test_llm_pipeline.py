@@ -11,7 +11,7 @@ from tidegauge.llm.queries import QUERIES
 
 def test_names():
     numbers = [int(n[2:].split("_")[0]) for n in QUERIES]
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(ORACLES) <= set(QUERIES) and len(corpus_pipeline.STAGES) == 5
 
 

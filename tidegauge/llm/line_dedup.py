@@ -7,6 +7,8 @@ that a page is not boilerplate for having been crawled often.
 Defined results: lines are compared without surrounding white space; blank lines are
 never boilerplate; a page without host belongs to no site and stays as it is, as does
 a null text; a page of nothing but boilerplate keeps its blank lines or becomes empty.
+Texts of any length are split whole; a line at the ratio stays. Other columns are kept
+whatever their names, ``lines_dropped`` is replaced. An empty table gives no rows.
 Everything here is built from Spark's own functions.
 """
 
@@ -15,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.tables import Workspace
+from tidegauge.llm.tables import Workspace, named
 
 RATIO = 0.1
 MIN_PAGES = 5
@@ -75,7 +77,7 @@ def drop_boilerplate(
     Other columns are kept; the number of lines taken out is put in ``lines_dropped``.
     """
     of = F.col(host) if isinstance(host, str) else host
-    whole = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), of.alias("host"), F.col(text).alias("text"))
+    whole = docs.select(F.struct(*named(docs.columns)).alias("row"), of.alias("host"), F.col(text).alias("text"))
     # kept first, as its size then tells whether the texts have to be shuffled at all
     space = Workspace(docs.sparkSession, "line-dedup")
     found = space.keep(boilerplate(whole.select("host", "text"), ratio, min_pages), "boilerplate")
@@ -89,7 +91,7 @@ def drop_boilerplate(
     columns = [
         F.when(F.col("n") > 0, F.array_join("kept", "\n")).otherwise(F.col("text")).alias(c)
         if c == text
-        else F.col(f"row.`{c}`").alias(c)
+        else F.col("row").getField(c).alias(c)
         for c in docs.columns
         if c != "lines_dropped"
     ]

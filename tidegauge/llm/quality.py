@@ -8,7 +8,8 @@ labelled documents; the shards' weights are averaged. A score is the sparse dot
 
 Defined results: labels of fold 0 are never read; null and empty texts have no features
 and get the score of the bias alone; without labels every score is 0.5; repeated rows
-get equal scores; a text's length is not limited.
+get equal scores; a text's length is not limited. Of rows that repeat a labelled id one is
+learnt from. A score at the threshold is predicted 1. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.tables import Workspace, fold, known_labels
+from tidegauge.llm.tables import Workspace, fold, known_labels, training_rows
 from tidegauge.llm.workers import once_per_worker
 
 #: Labelled documents the weights are fitted on, at most about.
@@ -116,8 +117,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> np.ndarray:
     space = Workspace(docs.sparkSession, "quality")
     known = space.keep(known_labels(labels, "quality", sample), "labels")
     shards = max(1, round(known.count() / SHARD))
-    # the labels are bounded by the sample, the texts stay where they are read
-    rows = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
+    rows = training_rows(docs, known)
     shard = F.pmod(F.xxhash64("doc_id"), F.lit(shards)).alias("shard")
     weights = (
         rows.select(shard, "doc_id", "text", "label")

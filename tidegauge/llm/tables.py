@@ -12,6 +12,18 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def named(columns: list[str]) -> list[Column]:
+    """Columns by their names, whatever characters those hold."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in columns]
+
+
+def unused(columns: list[str], name: str) -> str:
+    """``name``, or that with underscores behind it, so that no column has it."""
+    while name in columns:
+        name += "_"
+    return name
+
+
 class Workspace:
     """A fresh folder below ``spark.checkpoint.dir`` for one run of an operator.
 
@@ -35,12 +47,28 @@ class Workspace:
         conf = self.spark._jsc.hadoopConfiguration()
         path.getFileSystem(conf).delete(path, True)
 
+    def close(self) -> None:
+        """Delete the whole folder, when no result that reads from it is needed any more."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
 
 def fold(doc_id: Column) -> Column:
     """crc32 of the id as text modulo 5; labels of fold 0 are held out."""
     return F.crc32(doc_id.cast("string")) % 5
 
 
+def training_rows(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """(doc_id, text, label): one row for each labelled document.
+
+    Of rows that repeat an id the text with the smallest hash counts, chosen on the map
+    side, so there are no more rows than labels however often an id occurs. ``known`` comes
+    from ``known_labels``, which bounds it; the texts stay where they are read.
+    """
+    joined = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
+    return joined.groupBy("doc_id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+
+
 def known_labels(labels: DataFrame, name: str, bound: int) -> DataFrame:
     """(doc_id, label) of at most about ``bound`` documents outside fold 0.
 

@@ -9,7 +9,9 @@ one-byte ``prefix`` that marks its beginning, so that pieces with the prefix beg
 words. Every byte the vocabulary lacks as a piece makes the whole word one unknown piece.
 
 Defined results: null, empty and blank texts have no words and no pieces; repeated
-rows each get their counts; a text of any length is read word by word.
+rows each get their counts; a text of any length is read word by word; where two pieces
+begin alike the longer one is cut off. Other columns are kept whatever their names,
+``n_words`` and ``n_tokens`` are replaced. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidegauge.llm.tables import named, unused
 from tidegauge.llm.workers import once_per_worker
 
 PREFIX = b" "
@@ -121,6 +124,6 @@ def token_counts(spark: SparkSession, text: Column, pieces: list[bytes], prefix:
 def with_token_counts(docs: DataFrame, pieces: list[bytes], prefix: bytes = PREFIX) -> DataFrame:
     """``docs`` with ``n_words`` and ``n_tokens``; columns of these names are replaced."""
     counts = token_counts(docs.sparkSession, F.col("text"), pieces, prefix)
-    return docs.withColumn("counted", counts).select(
-        *[c for c in docs.columns if c not in ("n_words", "n_tokens", "counted")], "counted.n_words", "counted.n_tokens"
-    )
+    kept = [c for c in docs.columns if c not in ("n_words", "n_tokens")]
+    both = unused(docs.columns, "counted")
+    return docs.withColumn(both, counts).select(*named(kept), f"{both}.n_words", f"{both}.n_tokens")

@@ -13,7 +13,9 @@ shards whose parameters are averaged.
 
 Defined results: null, empty and blank texts have no tokens and get the score of a text
 without suspicion; without labels, or with one class only, every score is 0; repeated
-rows get equal scores; lines and texts of any length are read whole.
+rows get equal scores; lines and texts of any length are read whole. Of rows that repeat a
+labelled id one is learnt from. A score at the threshold is predicted 1 and does not stay.
+An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.tables import Workspace, fold, known_labels
+from tidegauge.llm.tables import Workspace, fold, known_labels, training_rows
 from tidegauge.llm.workers import once_per_worker, portions, slim
 
 #: Labelled documents everything is fitted on, at most about.
@@ -320,8 +322,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Tagger:
     spark = docs.sparkSession
     space = Workspace(spark, "toxicity")
     known = space.keep(known_labels(labels, "toxic", sample), "labels")
-    # the labels are bounded by the sample, the texts stay where they are read
-    rows = space.keep(docs.select("doc_id", "text").join(F.broadcast(known), "doc_id"), "sample")
+    rows = space.keep(training_rows(docs, known), "sample")
     n = dict(rows.groupBy("label").count().collect())
     if not n.get(0) or not n.get(1):
         return Tagger(np.zeros(FEATURES), np.zeros((2, 2)), 0)
@@ -350,7 +351,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Tagger:
     judged = rows.mapInArrow(
         _tag(spark.sparkContext.broadcast(tagger), ["label"]), f"label int, {TAGGED}"
     ).select("label", "evidence")
-    pairs = judged.collect()  # bounded by the sample
+    pairs = judged.collect()  # one row a labelled document, so bounded by the sample
     tagger.judge = _logistic(np.array([r.evidence for r in pairs]), np.array([r.label for r in pairs], float))
     return tagger
 
