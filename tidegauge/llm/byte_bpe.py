@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidegauge.llm.tables import Workspace, named
-from tidegauge.llm.workers import once_per_worker
+from tidegauge.llm.workers import once_per_worker, slim
 
 #: Code points of a chunk, and of what it shares with the next one.
 CHUNK = 32_768
@@ -99,7 +99,7 @@ def _encode_texts(vocabulary: Vocabulary) -> Callable[[Column], Column]:
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         split = splitter(vocabulary.pattern)
         ids = vocabulary.pieces().__getitem__
-        for texts in batches:
+        for texts in slim(batches):
             for at in range(0, len(texts), TOGETHER):
                 some = texts.slice(at, TOGETHER).to_pylist()
                 yield _id_lists([b"".join(map(ids, split(x))) if x else b"" for x in some])
@@ -151,7 +151,7 @@ def boundaries(pattern: regex.Pattern, text: str, size: int, overlap: int, last:
 def _pretokenise(vocabulary: Vocabulary, size: int, overlap: int) -> Callable:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pattern = regex.compile(vocabulary.pattern)
-        for batch in batches:
+        for batch in slim(batches):
             number, chunks = batch.column("number").to_pylist(), batch.column("chunks").to_pylist()
             found = [
                 boundaries(pattern, text, size, overlap, n + 1 == of)
@@ -173,7 +173,7 @@ def _encode_chunks(vocabulary: Vocabulary, size: int) -> Callable:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pattern = regex.compile(vocabulary.pattern)
         ids = vocabulary.pieces().__getitem__
-        for batch in batches:
+        for batch in slim(batches):
             packed = []
             columns = (batch.column(c).to_pylist() for c in ("text", "begin", "until"))
             for text, begin, until in zip(*columns, strict=True):
@@ -245,7 +245,7 @@ def decode(ids: Column, vocabulary: Vocabulary) -> Column:
     @F.arrow_udf("binary")
     def decoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         token = vocabulary.tokens().__getitem__
-        for lists in batches:
+        for lists in slim(batches):
             ids = lists.values.to_numpy(zero_copy_only=False)
             ends, known = lists.offsets.to_pylist(), lists.is_valid().to_pylist()
             for at in range(0, len(known), TOGETHER):

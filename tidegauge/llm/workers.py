@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Hashable, Iterator
 from typing import Any
 
@@ -16,19 +17,35 @@ _kept: dict[str, tuple[Hashable, Any]] = {}
 
 
 def once_per_worker(kind: str, key: Hashable, build: Callable[[], Any]) -> Any:
-    """What ``build`` makes; the last one of each kind is kept."""
+    """What ``build`` makes; the last one of each kind is kept.
+
+    The first word of a kind names an operator. A worker that goes over to another operator
+    drops what the one before has built.
+    """
     if kind not in _kept or _kept[kind][0] != key:
+        for other in [k for k in _kept if k.split()[0] != kind.split()[0]]:
+            del _kept[other]
         _kept[kind] = key, build()
     return _kept[kind][1]
 
 
+def _trim() -> None:
+    """Give memory that is no longer used back to the system, as far as its library can."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass
+
+
 def slim(batches: Iterator) -> Iterator:
-    """The batches; gives memory that is no longer used back when they end.
+    """The batches; gives memory that is no longer used back when they begin and end.
 
     A worker stays for later tasks, of other stages as well, and would keep it.
     """
+    _trim()
     yield from batches
-    pa.default_memory_pool().release_unused()
+    _trim()
 
 
 def portions(batch: pa.RecordBatch, column: str, rows: int) -> Iterator[pa.RecordBatch]:
