@@ -56,9 +56,8 @@ def brute_scores(docs, size):
     return out
 
 
-@pytest.mark.parametrize("size,bucket", [(65_535, 2_000_000), (30, 50), (5, 10)])
-def test_backoff_scores_equal_brute_force(spark, monkeypatch, size, bucket):
-    monkeypatch.setattr(backoff_lm, "BUCKET", bucket)
+@pytest.mark.parametrize("size", [65_535, 30, 5])
+def test_backoff_scores_equal_brute_force(spark, size):
     docs = [(i, prose(i % 25, 5 + i)) for i in range(60)] + [(100, None), (101, ""), (102, "the the the the"), (None, prose(1)), (3, "sea0 sea0")]
     df = spark.createDataFrame(docs, SCHEMA).withColumn("word", F.lit("clash")).repartition(3)
     got = {r["doc_id"]: (r["n_words"], r["log_score"]) for r in backoff_lm.scores(df, size).collect()}
@@ -72,6 +71,57 @@ def test_backoff_scores_equal_brute_force(spark, monkeypatch, size, bucket):
             assert got[doc_id][1] is None
 
 
+def brute_orders(docs, order):
+    """Scores by n-grams up to an order, straight from the definition."""
+    words = [(d, (t or "").lower().split()) for d, t in docs]
+    total = sum(len(x) for _, x in words)
+
+    def grams(x, n):
+        marked = ["<s>", *x]
+        return Counter(tuple(marked[i - n + 1 : i + 1]) for i in range(max(1, n - 1), len(marked)))
+
+    counts = {n: sum((grams(x, n) for _, x in words), Counter()) for n in (2, 3)}
+    counts[1] = Counter((w,) for _, x in words for w in x)
+    counts[1]["<s>",] = sum(bool(x) for _, x in words)
+    out = {}
+    for doc_id, x in words:
+        if doc_id is None:
+            continue
+        own = {n: grams(x, n) for n in (2, 3)}
+        marked, score = ["<s>", *x], 0.0
+        for i in range(1, len(marked)):
+            factor = 1.0
+            for n in range(min(order, i + 1), 1, -1):
+                gram = tuple(marked[i - n + 1 : i + 1])
+                if others := counts[n][gram] - own[n][gram]:
+                    score += math.log(factor * others / counts[n - 1][gram[:-1]])
+                    break
+                factor *= 0.4
+            else:
+                score += math.log(factor * counts[1][marked[i],] / total)
+        n, before = out.get(doc_id, (0, 0.0))
+        out[doc_id] = n + len(x), before + score
+    return out
+
+
+@pytest.mark.parametrize("order", [1, 2, 3])
+@pytest.mark.parametrize("ids", [0, 8, 65_535])
+def test_orders_equal_brute_force(spark, monkeypatch, order, ids):
+    monkeypatch.setattr(backoff_lm, "VOCABULARY", ids)
+    docs = [(i, prose(i % 25, 5 + i)) for i in range(50)] + [(100, None), (101, ""), (102, "the the the the"), (None, prose(1)), (3, "sea0 sea0"), (104, "alone"), (105, "two words")]
+    df = spark.createDataFrame(docs, SCHEMA).withColumn("n", F.lit("clash")).repartition(3)
+    got = {r["doc_id"]: (r["n_words"], r["log_score"]) for r in backoff_lm.scores(df, order=order).collect()}
+    want = brute_orders(docs, order)
+    assert got.keys() == want.keys()
+    for doc_id, (n, score) in want.items():
+        assert got[doc_id] == (n, pytest.approx(score) if n else None), doc_id
+
+
+def test_other_orders_are_refused(spark):
+    with pytest.raises(ValueError):
+        backoff_lm.scores(spark.createDataFrame([], SCHEMA), order=4)
+
+
 def test_rare_words_have_counts_of_their_own(spark):
     # more words of one count than have ids: they must not become one unknown word
     docs = [(i, " ".join(f"w{j}" for j in range(i * 1000, i * 1000 + 1100))) for i in range(70)]
@@ -83,7 +133,6 @@ def test_rare_words_have_counts_of_their_own(spark):
 @pytest.mark.parametrize("ids", [0, 5, 30])
 def test_words_without_id_change_nothing(spark, monkeypatch, ids):
     monkeypatch.setattr(backoff_lm, "VOCABULARY", ids)
-    monkeypatch.setattr(backoff_lm, "BUCKET", 50)
     docs = [(i, prose(i, 30)) for i in range(40)]
     got = {r["doc_id"]: r["log_score"] for r in backoff_lm.scores(spark.createDataFrame(docs, SCHEMA)).collect()}
     assert all(got[d] == pytest.approx(s) for d, (_, s) in brute_scores(docs, 10**9).items())
