@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidegauge.llm import backoff_lm, quality, toxicity
+from tidegauge.llm import backoff_lm, backoff_relational, quality, toxicity
 from tidegauge.llm.tables import known_labels
 
 SCHEMA = "doc_id long, text string"
@@ -56,11 +56,14 @@ def brute_scores(docs, size):
     return out
 
 
-@pytest.mark.parametrize("size", [65_535, 30, 5])
-def test_backoff_scores_equal_brute_force(spark, size):
+@pytest.mark.parametrize("size,bucket", [(65_535, 2_000_000), (30, 50), (5, 10)])
+def test_backoff_scores_equal_brute_force(spark, monkeypatch, size, bucket):
+    monkeypatch.setattr(backoff_lm, "BUCKET", bucket)
     docs = [(i, prose(i % 25, 5 + i)) for i in range(60)] + [(100, None), (101, ""), (102, "the the the the"), (None, prose(1)), (3, "sea0 sea0")]
     df = spark.createDataFrame(docs, SCHEMA).withColumn("word", F.lit("clash")).repartition(3)
     got = {r["doc_id"]: (r["n_words"], r["log_score"]) for r in backoff_lm.scores(df, size).collect()}
+    joined = {r["doc_id"]: (r["n_words"], r["log_score"]) for r in backoff_relational.scores(df, size).collect()}
+    assert joined == {d: (n, s if s is None else pytest.approx(s)) for d, (n, s) in got.items()}
     want = brute_scores(docs, size)
     assert got.keys() == want.keys()
     for doc_id, (n, score) in want.items():
@@ -110,7 +113,7 @@ def test_orders_equal_brute_force(spark, monkeypatch, order, ids):
     monkeypatch.setattr(backoff_lm, "VOCABULARY", ids)
     docs = [(i, prose(i % 25, 5 + i)) for i in range(50)] + [(100, None), (101, ""), (102, "the the the the"), (None, prose(1)), (3, "sea0 sea0"), (104, "alone"), (105, "two words")]
     df = spark.createDataFrame(docs, SCHEMA).withColumn("n", F.lit("clash")).repartition(3)
-    got = {r["doc_id"]: (r["n_words"], r["log_score"]) for r in backoff_lm.scores(df, order=order).collect()}
+    got = {r["doc_id"]: (r["n_words"], r["log_score"]) for r in backoff_relational.scores(df, order=order).collect()}
     want = brute_orders(docs, order)
     assert got.keys() == want.keys()
     for doc_id, (n, score) in want.items():
@@ -119,7 +122,7 @@ def test_orders_equal_brute_force(spark, monkeypatch, order, ids):
 
 def test_other_orders_are_refused(spark):
     with pytest.raises(ValueError):
-        backoff_lm.scores(spark.createDataFrame([], SCHEMA), order=4)
+        backoff_relational.scores(spark.createDataFrame([], SCHEMA), order=4)
 
 
 def test_rare_words_have_counts_of_their_own(spark):
@@ -133,6 +136,7 @@ def test_rare_words_have_counts_of_their_own(spark):
 @pytest.mark.parametrize("ids", [0, 5, 30])
 def test_words_without_id_change_nothing(spark, monkeypatch, ids):
     monkeypatch.setattr(backoff_lm, "VOCABULARY", ids)
+    monkeypatch.setattr(backoff_lm, "BUCKET", 50)
     docs = [(i, prose(i, 30)) for i in range(40)]
     got = {r["doc_id"]: r["log_score"] for r in backoff_lm.scores(spark.createDataFrame(docs, SCHEMA)).collect()}
     assert all(got[d] == pytest.approx(s) for d, (_, s) in brute_scores(docs, 10**9).items())
@@ -148,6 +152,7 @@ def test_few_frequent_bigrams_change_nothing(spark, monkeypatch):
 
 def test_no_documents(spark):
     assert backoff_lm.scores(spark.createDataFrame([], SCHEMA)).count() == 0
+    assert backoff_relational.scores(spark.createDataFrame([], SCHEMA), order=3).count() == 0
     (row,) = backoff_lm.scores(spark.createDataFrame([(1, None)], SCHEMA)).collect()
     assert (row["n_words"], row["log_score"]) == (0, None)
 
