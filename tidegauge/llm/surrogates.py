@@ -2,16 +2,19 @@
 
 Entities are found by patterns. Every distinct entity gets a surrogate drawn from a
 keyed hash of its type and canonical form: digits become digits and letters letters of
-the same case, hex tokens stay hex, a card keeps its issuer digit and its check digit
-stays right or wrong, an address keeps four octets, a mail address its top-level domain,
-a name its title, its script and an ending of the title's gender. Equal entities get equal surrogates in all
+the same case, hex tokens stay hex, a secret keeps the prefix that names its provider, a card its
+issuer digit and its check, an account number its country and its check, an address four
+octets or its groups, a mail address its top-level domain, a name its title, its script and
+an ending of the title's gender. Equal entities get equal surrogates in all
 documents. A name's parts get surrogates of their own, so that a person keeps them behind
 another title or without given name; mentions without title of a name that has one in the
-same document are replaced as well. Surrogates that meet, or meet a real entity, are drawn again, so that
+same document are replaced as well, unless a mention is a month, a weekday or another ordinary
+word on its own. A run of digits is a card only if it passes the card check. Surrogates that meet, or meet a real entity, are drawn again, so that
 distinct entities stay distinct.
 
 Defined results: null and empty texts stay as they are; repeated rows get equal texts;
-without entities a text is unchanged; texts are searched whole. Everything here is
+without entities a text is unchanged; texts are searched whole; other columns are kept,
+``n_replaced`` and ``kinds`` are replaced; an empty table gives no rows. Everything here is
 built from Spark's own functions.
 """
 
@@ -20,22 +23,34 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.tables import Workspace
+from tidegauge.llm.tables import Workspace, named
 
-#: Entity patterns, tried in this order at each place of a text.
+#: Titles, which stand in any case before a name; the first ones are of women, the last of either gender.
+FEMALE = ["Mrs", "Ms", "Miss", "Madam", "Frau", "Madame", "Señora", "Госпожа"]
+MALE = ["Mr", "Sir", "Herr", "Monsieur", "Señor", "Господин"]
+EITHER = ["Dr", "Prof"]
+_TITLES = "(?iu:" + "|".join([*FEMALE, *MALE, *EITHER]) + ")"
+#: Titles that lower-case names are looked for behind; others begin ordinary phrases.
+_PLAIN_TITLES = "(?:mr|mrs|ms|dr|prof)"
+#: Entity patterns, tried in this order at each place of a text.
 PATTERNS = {
     "secret": r"""(?i:token|secret|password|passwd|api[_-]?key|access[_-]?key)["']?\s*[:=]\s*["']?[A-Za-z0-9_\-/+]{12,}|(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,}|(?=[A-Fa-f]*[0-9])[0-9A-Fa-f]{40})\b""",
     "email": r"[A-Za-z0-9_%+\-]+(?:\.[A-Za-z0-9_%+\-]+)*@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)*\.[A-Za-z]{2,}",
     "iban": r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b",
-    "ip": r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])",
+    "ip": r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])|(?=[0-9A-Fa-f:]*[0-9])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6})(?![0-9A-Za-z:])",
     "card": r"(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3})(?![0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    "phone": r"(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?![0-9])",
-    "name": r"(?:Mr|Mrs|Ms|Miss|Sir|Madam|Herr|Frau|Monsieur|Madame|Señor|Señora|Господин|Госпожа)\.? \p{Lu}\p{L}+(?: \p{Lu}\p{L}+)?",
+    "phone": r"(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}|0[0-9]{2,4}[ /-][0-9]{5,8}(?:[ -][0-9]{1,4})?)(?![0-9])",
+    "name": _TITLES + r"\.? \p{Lu}\p{L}+(?: \p{Lu}\p{L}+)?|" + _PLAIN_TITLES + r"\.? \p{Ll}{2,}",
 }
-#: Titles of women; the other titles are of men.
-FEMALE = ["Mrs", "Ms", "Miss", "Madam", "Frau", "Madame", "Señora", "Госпожа"]
-#: Syllables that names are made of, and their endings, by script and gender.
+#: Words that are no mention of a person on their own, whatever names the document has.
+ORDINARY = [
+    "Will", "May", "April", "June", "August", "Mark", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday",
+    "Mai", "Juni", "Juli", "Mars", "Avril", "Juin", "Abril", "Mayo", "Junio", "Julio", "Agosto", "Май", "Марта",
+]
+#: Prefixes by which a secret's provider is known.
+PROVIDERS = "^(?:AKIA|gh[pousr]_|sk-)"
+#: Syllables that names are made of, and their endings, by script and gender.
 SYLLABLES = {
     "latin": ["ba", "de", "fi", "go", "ka", "le", "mi", "no", "ra", "se", "ti", "vo", "wa", "ze", "lu", "ni"],
     "cyrillic": ["ба", "де", "фи", "го", "ка", "ле", "ми", "но", "ра", "се", "ти", "во", "ва", "зе", "лу", "ни"],
@@ -45,13 +60,12 @@ ENDINGS = {("latin", True): "na", ("latin", False): "rd", ("cyrillic", True): "
 DRAWS = 6
 
 #: An entity begins where no letter or digit stands before, and with one of few characters.
-BEGIN = r"(?<![\p{L}0-9])(?=[A-Za-z0-9_%+(\-ГС])"
+BEGIN = r"(?<![\p{L}0-9])(?=[A-Za-z0-9_%+(\-ГСгс])"
 ANY = BEGIN + "(?:" + "|".join(f"(?:{p})" for p in PATTERNS.values()) + ")"
-#: What a text with an entity has, apart from digits and @; cheap to look for. Keywords stand in any case.
+#: What a text with an entity has, apart from digits and @; cheap to look for. Keywords stand in any case.
 KEYWORDS = ["token", "secret", "passw", "api_key", "api-key", "apikey", "access_key", "access-key", "accesskey"]
-WORDS = [
-    "AKIA", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "sk-", "Mr", "Ms", "Miss", "Madam", "Monsieur", "Sir", "Herr", "Frau", "Señor", "Госпо",
-]
+WORDS = ["AKIA", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "sk-"]
+_TITLED = r"(?:^|[^\p{L}0-9])" + _TITLES + r"\.? \p{L}"
 _LOWER, _UPPER, _DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 _TITLE = r"^(\p{L}+\.? )"
 #: Syllables of a name's part; with sixteen of them there are 16 million parts.
@@ -60,7 +74,7 @@ N_SYLLABLES = 6
 
 def may_have_entities(text: Column) -> Column:
     """False only for texts without entities: a filter much cheaper than the patterns."""
-    may = text.rlike("[0-9@]")
+    may = text.rlike("[0-9@]") | text.rlike(_TITLED)
     for word in WORDS:
         may = may | text.contains(word)
     for word in KEYWORDS:
@@ -69,10 +83,17 @@ def may_have_entities(text: Column) -> Column:
 
 
 def kind_of(entity: Column) -> Column:
-    """The type of a found entity: the first pattern that matches all of it, or a name without title."""
-    kind = F.lit("name")
+    """The type of a found entity: the first pattern that matches all of it, or a name without title.
+
+    Null for a run of digits that fails the card check, and for an ordinary word.
+    """
+    kind = F.when(~entity.isin(ORDINARY), F.lit("name"))
     for name, pattern in reversed(PATTERNS.items()):
-        kind = F.when(entity.rlike(f"^(?:{pattern})$"), F.lit(name)).otherwise(kind)
+        found = F.lit(name)
+        if name == "card":
+            digits = F.regexp_replace(entity, "[^0-9]", "")
+            found = F.when(F.pmod(_luhn(digits), F.lit(10)) == 0, found)
+        kind = F.when(entity.rlike(f"^(?:{pattern})$"), found).otherwise(kind)
     return kind
 
 
@@ -145,6 +166,38 @@ def _card(value: Column, numbers: Column) -> Column:
     return F.concat(body, F.pmod(check + wrong, F.lit(10)).cast("string"))
 
 
+def _mod97(value: Column) -> Column:
+    """The number that digits and letters (A is 10) spell, modulo 97."""
+
+    def add(total: Column, c: Column) -> Column:
+        letter = F.pmod(total * 100 + F.ascii(c) - 55, F.lit(97))
+        return F.when(c.rlike("[0-9]"), F.pmod(total * 10 + F.ascii(c) - 48, F.lit(97))).otherwise(letter)
+
+    return F.aggregate(F.split(value, ""), F.lit(0), add)
+
+
+def _iban(value: Column, numbers: Column) -> Column:
+    """An account number of equal country and form whose check leaves what the real one's leaves."""
+    country, body = F.substring(value, F.lit(1), F.lit(2)), F.substring(value, F.lit(5), F.char_length(value))
+    own = _mod97(F.concat(body, F.substring(value, F.lit(1), F.lit(4))))
+    drawn_body = _same_shape(body, numbers)
+    check = F.pmod(own - _mod97(F.concat(drawn_body, country, F.lit("00"))), F.lit(97))
+    # check digits are 02 to 98
+    check = F.when(check < 2, check + 97).otherwise(check)
+    return F.concat(country, F.lpad(check.cast("string"), 2, "0"), drawn_body)
+
+
+def _hex_shape(text: Column, numbers: Column) -> Column:
+    """Every hex digit replaced by one; letters stay of their case."""
+    upper = text.rlike("[A-F]")
+
+    def one(c: Column, n: Column) -> Column:
+        digit = F.substring(F.lit("0123456789abcdef"), F.pmod(n, F.lit(16)) + 1, F.lit(1))
+        return F.when(c.rlike("[0-9A-Fa-f]"), F.when(upper, F.upper(digit)).otherwise(digit)).otherwise(c)
+
+    return F.array_join(F.zip_with(F.split(text, ""), F.slice(numbers, 1, F.char_length(text)), one), "")
+
+
 def _phone(value: Column, numbers: Column) -> Column:
     """Digits behind the country code drawn anew; a leading zero stays one, others become 2 to 9."""
     code = F.regexp_extract(value, r"^\+[0-9]", 0)
@@ -159,6 +212,11 @@ def _title(entity: Column) -> Column:
     return F.when(entity.rlike(f"^(?:{PATTERNS['name']})$"), F.regexp_extract(entity, _TITLE, 1)).otherwise("")
 
 
+def _of(title: Column, titles: list[str]) -> Column:
+    """Whether a title is one of some, in any case and with or without full stop."""
+    return F.lower(F.regexp_replace(title, "[. ]", "")).isin([t.lower() for t in titles])
+
+
 def _parts(entity: Column) -> Column:
     """The given and family name of a name."""
     return F.split(F.substring(entity, F.char_length(_title(entity)) + 1, F.char_length(entity)), " ")
@@ -172,8 +230,9 @@ def values(kind: Column, entity: Column, titled: Column) -> Column:
 
     def part(p: Column) -> Column:
         title = _title(entity)
-        by = F.when(title != "", title).otherwise(_title(F.get(F.filter(titled, lambda t: F.array_contains(_parts(t), p)), F.lit(0))))
-        female = F.regexp_replace(by, "[. ]", "").isin(FEMALE)
+        telling = F.filter(titled, lambda t: F.array_contains(_parts(t), p) & ~_of(_title(t), EITHER))
+        own = (title != "") & ~_of(title, EITHER)
+        female = _of(F.when(own, title).otherwise(_title(F.get(telling, F.lit(0)))), FEMALE)
         return F.concat(F.when(female, "F ").otherwise("M "), p)
 
     return F.when(kind == "name", F.transform(_parts(entity), part)).otherwise(F.array(canonical(kind, entity)))
@@ -209,6 +268,7 @@ def drawn(kind: Column, value: Column, key: str, attempt: Column) -> Column:
     length = F.char_length(value)
     numbers = _stream(F.concat_ws("|", F.lit(key), kind, value, attempt.cast("string")), F.ceil((length + 1) / 32).cast("int"))
     tail = F.regexp_extract(value, r"\.[a-z]+$", 0)
+    provider = F.regexp_extract(value, PROVIDERS, 0)
     octets = F.array_join(
         F.transform(F.sequence(F.lit(1), F.lit(4)), lambda i: (F.pmod(F.element_at(numbers, i), F.lit(254)) + 1).cast("string")), "."
     )
@@ -222,11 +282,13 @@ def drawn(kind: Column, value: Column, key: str, attempt: Column) -> Column:
         F.when(kind == "email", F.concat(_same_shape(F.substring(value, F.lit(1), length - F.char_length(tail)), numbers), tail))
         .when(kind == "card", _card(value, numbers))
         .when(kind == "phone", _phone(value, numbers))
+        .when((kind == "ip") & value.contains(":"), _hex_shape(value, numbers))
         .when(kind == "ip", octets)
         .when((kind == "secret") & value.rlike("^[0-9a-f]+$"), hexed("0123456789abcdef"))
         .when((kind == "secret") & value.rlike("^[0-9A-F]+$"), hexed("0123456789ABCDEF"))
         .when((kind == "secret") & value.rlike("^[0-9A-Fa-f]+$"), hexed("0123456789ABCDEFabcdef"))
-        .when(kind == "iban", F.concat(F.substring(value, F.lit(1), F.lit(2)), _same_shape(F.substring(value, F.lit(3), length), numbers)))
+        .when(kind == "secret", F.concat(provider, _same_shape(F.substring(value, F.char_length(provider) + 1, length), numbers)))
+        .when(kind == "iban", _iban(value, numbers))
         .when(kind == "name", _name(value, numbers))
         .otherwise(_same_shape(value, numbers))
     )
@@ -289,7 +351,7 @@ def replaced(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """
     space = Workspace(docs.sparkSession, "surrogates")
     columns = [c for c in docs.columns if c not in ("n_replaced", "kinds")]
-    rows = docs.select(F.struct(*[docs[c] for c in columns]).alias("row"), F.col(text).alias("text"))
+    rows = docs.select(F.struct(*named(columns)).alias("row"), F.col(text).alias("text"))
     has = F.coalesce(may_have_entities(F.col("text")) & F.col("text").rlike(ANY), F.lit(False))
     clean = rows.filter(~has).select("row.*", F.lit(0).alias("n_replaced"), F.array().cast("array<string>").alias("kinds"))
 
@@ -310,6 +372,7 @@ def replaced(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
         .dropDuplicates(["id"])
         .select("id", "titled", F.explode(F.array_distinct("entities")).alias("entity"))
         .withColumn("kind", kind_of(F.col("entity")))
+        .filter("kind is not null")
         .select("id", "entity", "kind", F.posexplode(values(F.col("kind"), F.col("entity"), F.col("titled"))).alias("at", "value")),
         "places",
     )
@@ -334,13 +397,15 @@ def replaced(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     between = F.split("text", F.col("pattern"), -1)
     rewritten = F.concat(
         F.array_join(
-            F.zip_with(F.slice(between, 1, F.size("entities")), F.col("entities"), lambda x, e: F.concat(x, F.col("new")[e])), ""
+            F.zip_with(F.slice(between, 1, F.size("entities")), F.col("entities"), lambda x, e: F.concat(x, F.coalesce(F.col("new")[e], e))), ""
         ),
         F.element_at(between, -1),
     )
-    rest = marked.join(space.keep(maps, "maps"), "id").select(
-        *[rewritten.alias(c) if c == text else F.col(f"row.`{c}`").alias(c) for c in columns],
-        F.size("entities").alias("n_replaced"),
-        F.transform("entities", lambda e: F.col("kind")[e]).alias("kinds"),
+    kinds = F.array_compact(F.transform("entities", lambda e: F.col("kind")[e]))
+    # texts whose finds were all none of an entity have no map
+    rest = marked.join(space.keep(maps, "maps"), "id", "left").select(
+        *[F.coalesce(rewritten, "text").alias(c) if c == text else F.col("row").getField(c).alias(c) for c in columns],
+        F.coalesce(F.size(kinds), F.lit(0)).alias("n_replaced"),
+        F.coalesce(kinds, F.array().cast("array<string>")).alias("kinds"),
     )
     return clean.unionByName(rest)
