@@ -146,12 +146,14 @@ def test_few_frequent_bigrams_change_nothing(spark, monkeypatch):
     monkeypatch.setattr(backoff_lm, "FREQUENT", 4)
     docs = [(i, prose(i, 30)) for i in range(40)]
     got = {r["doc_id"]: r["log_score"] for r in backoff_lm.scores(spark.createDataFrame(docs, SCHEMA)).collect()}
+    joined = {r["doc_id"]: r["log_score"] for r in backoff_relational.scores(spark.createDataFrame(docs, SCHEMA)).collect()}
     want = brute_scores(docs, 65_535)
-    assert all(got[d] == pytest.approx(s) for d, (_, s) in want.items())
+    assert all(got[d] == pytest.approx(s) and joined[d] == pytest.approx(s) for d, (_, s) in want.items())
 
 
 def test_no_documents(spark):
     assert backoff_lm.scores(spark.createDataFrame([], SCHEMA)).count() == 0
+    assert backoff_relational.scores(spark.createDataFrame([], SCHEMA)).count() == 0
     assert backoff_relational.scores(spark.createDataFrame([], SCHEMA), order=3).count() == 0
     (row,) = backoff_lm.scores(spark.createDataFrame([(1, None)], SCHEMA)).collect()
     assert (row["n_words"], row["log_score"]) == (0, None)

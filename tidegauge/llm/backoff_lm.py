@@ -21,8 +21,8 @@ its own occurrences; rows without doc_id are counted and not scored. Long texts
 though the bigrams of one text are found together. Equally frequent words all have ids or
 none. Other columns are ignored. An empty table gives no rows.
 
-``backoff_relational`` has the same scores, and those of orders 1 and 3, from count tables
-that Spark joins to exploded n-grams, a row for each document and n-gram.
+``backoff_relational``, which the registered query uses, has the same scores, and those of
+orders 1 and 3, from count tables that Spark joins to exploded n-grams.
 """
 
 from __future__ import annotations
