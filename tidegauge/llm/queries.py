@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegauge.llm import (
-    backoff_relational,
+    backoff_lm,
     byte_bpe,
     chat,
     decontamination,
@@ -73,7 +73,7 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     # sums of doubles depend on the order of tasks in their last digits
-    return backoff_relational.scores(read(spark, sf_dir, "documents")).select(
+    return backoff_lm.scores(read(spark, sf_dir, "documents")).select(
         "doc_id",
         "n_words",
         F.round("log_score", 6).alias("log_score"),
