@@ -5,7 +5,8 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from tidegauge.llm import decontamination, edit_fingerprints
+from tidegauge.llm import decontamination, edit_fingerprints, linking
+from tidegauge.llm.tables import Workspace
 from tidegauge.llm.workers import portions
 
 WORDS = ["harbour", "tide", "moon", "gauge", "of", "the", "level", "rises", "and", "falls", "twice", "a", "day", "étale", "Flut"]
@@ -212,18 +213,28 @@ def test_compared_with_next(spark):
     assert one[0]["near_next"] == 1.0
 
 
-def test_near_pairs_find_edited_texts(spark):
+def classes_of(spark, texts):
+    """class_id of each text, the texts that are classed together by plain comparison, and their near pairs."""
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("key", F.lit("clash")).repartition(3)
+    got = {r["doc_id"]: r["class_id"] for r in edit_fingerprints.classes(df).collect()}
+    prints = [edit_fingerprints.fingerprint(t) for t in texts]
+    pairs = [(i, j) for i in range(len(texts)) for j in range(i + 1, len(texts)) if edit_fingerprints.likeness(prints[i], prints[j]) >= 0.8]
+    root = list(range(len(texts)))
+    for i, j in pairs:
+        low, high = sorted((root[i], root[j]))
+        root = [low if r == high else r for r in root]
+    return got, root, pairs, prints
+
+
+def test_classes_find_edited_texts(spark):
     docs = [prose(i, 400) for i in range(15)]
     docs += [edited(t, 4, i) for i, t in enumerate(docs)] + docs[:3]
-    prints = [edit_fingerprints.fingerprint(t) for t in docs]
-    df = spark.createDataFrame([(p,) for p in prints], "fingerprint string")
-    got = {(r["a"], r["b"]) for r in edit_fingerprints.near_pairs(df).collect()}
-    distinct = sorted(set(prints))
-    want = {(a, b) for a in distinct for b in distinct if a < b and edit_fingerprints.likeness(a, b) >= 0.8}
-    assert got <= want and len(got) >= 0.9 * len(want) > 5
+    got, root, pairs, _ = classes_of(spark, docs)
+    assert all(root[i] == root[c] for i, c in got.items()) and sorted(got) == list(range(len(docs)))
+    assert sum(got[i] == got[j] for i, j in pairs) >= 0.9 * len(pairs) > 5
 
 
-def test_near_pairs_find_longer_and_shorter_texts(spark):
+def test_classes_find_longer_and_shorter_texts(spark):
     # sentences put in or taken out change the number of samples, and some texts' level
     docs = [prose(i, 200 + 5 * i) for i in range(120)]
     for i in range(120):
@@ -232,12 +243,46 @@ def test_near_pairs_find_longer_and_shorter_texts(spark):
         docs.append(" ".join(words[:at] + (prose(900 + i, n).split() if i % 2 else []) + words[at + (0 if i % 2 else n) :]))
     longer = [prose(300 + i, 60 + 9 * i) for i in range(80)]
     docs += [x for t in longer for x in (t, " ".join(t.split()[: len(t.split()) * 10 // 11]))]
-    prints = sorted({edit_fingerprints.fingerprint(t) for t in docs})
-    got = {(r["a"], r["b"]) for r in edit_fingerprints.near_pairs(spark.createDataFrame([(p,) for p in prints], "fingerprint string")).collect()}
-    want = {(a, b) for i, a in enumerate(prints) for b in prints[i + 1 :] if edit_fingerprints.likeness(a, b) >= 0.8}
-    unequal = {(a, b) for a, b in want if len(a) != len(b)}
-    assert len(unequal) > 30 and sum(a[:2] != b[:2] for a, b in want) > 3
-    assert got <= want and len(got) >= 0.95 * len(want) and len(got & unequal) >= 0.95 * len(unequal)
+    got, root, pairs, prints = classes_of(spark, docs)
+    unequal = [(i, j) for i, j in pairs if len(prints[i]) != len(prints[j])]
+    assert len(unequal) > 30 and sum(prints[i][:2] != prints[j][:2] for i, j in pairs) > 3
+    assert all(root[i] == root[c] for i, c in got.items())
+    for some in (pairs, unequal):
+        assert sum(got[i] == got[j] for i, j in some) >= 0.95 * len(some)
+
+
+@pytest.mark.parametrize("block", [16_384, 4])
+def test_members_of_one_band_are_linked_whole(spark, monkeypatch, block):
+    # all in one band: two chains of which only neighbours are near, so that no member is near all
+    monkeypatch.setattr(linking, "BLOCK", block)
+    monkeypatch.setattr(edit_fingerprints, "bands", lambda print_: [7, 8])
+    prints = ["00" + "5" * (10 - i) + digit * i + digit * 10 for digit in "1a" for i in range(10)]
+    nodes = spark.createDataFrame([(p,) for p in prints], "fingerprint string").select(F.xxhash64("fingerprint").alias("node"), "fingerprint")
+    space = Workspace(spark, "test")
+    names = {r["node"]: r["fingerprint"] for r in nodes.collect()}
+    edges = [(names[a], names[b]) for a, b in edit_fingerprints.links(space.keep(nodes, "nodes"), space, 0.9).collect()]
+    root = {p: p for p in prints}
+    for a, b in edges:
+        low, high = sorted((root[a], root[b]))
+        root = {p: low if r == high else r for p, r in root.items()}
+    want = {p: p for p in prints}
+    for a in prints:
+        for b in prints:
+            if edit_fingerprints.likeness(a, b) >= 0.9:
+                low, high = sorted((want[a], want[b]))
+                want = {p: low if r == high else r for p, r in want.items()}
+    assert len(set(want.values())) == 2
+    assert {(a, b) for a in prints for b in prints if root[a] == root[b]} == {(a, b) for a in prints for b in prints if want[a] == want[b]}
+    if block > len(prints):
+        assert len(edges) <= 3 * len(prints)
+
+
+def test_classes_of_odd_rows(spark):
+    rows = [(5, None), (4, ""), (None, "x" * 50), (9, "ab"), (9, "ab"), (7, prose(1, 50)), (7, prose(2, 50)), (None, prose(1, 50))]
+    got = edit_fingerprints.classes(spark.createDataFrame(rows, "doc_id long, text string").withColumn("class_id", F.lit(0))).collect()
+    found = sorted(((r["doc_id"], r["class_id"]) for r in got), key=repr)
+    assert found == sorted([(5, 4), (4, 4), (None, None), (9, 9), (9, 9), (7, 7), (7, 7), (None, 7)], key=repr)
+    assert edit_fingerprints.classes(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
 def test_portions_are_bounded_and_whole(monkeypatch):

@@ -10,10 +10,15 @@ digit, a hash of the three characters there. The likeness of two fingerprints is
 share of equal digits.
 
 Bands of samples give candidates for similar documents, which are verified by likeness.
+The members of a band are first compared with one of them; where that does not settle
+the band, its members are compared in blocks. Pairs within a band are never listed.
 
 Defined results: a null text is an empty one, whose fingerprint has level 0 and no
 samples; two empty texts have likeness 1, an empty and another one 0; equal texts have
-equal fingerprints; walks read a whole text, whatever its length.
+equal fingerprints and one class; walks read a whole text, whatever its length. Classes
+are of rows: rows of one doc_id may be in several, and rows without doc_id have a
+class but do not name it (null if there is no other). Distinct fingerprints are told apart by
+64 bits of a hash. Other columns are ignored. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -21,6 +26,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +34,9 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidegauge.llm import linking
+from tidegauge.llm.tables import Workspace
+
 #: Steps after which the shared bits repeat, and classes of characters that share them.
 PERIOD, CLASSES = 256, 64
 #: Fewest samples of a text that has so many steps; the most are twice as many.
@@ -171,27 +180,91 @@ def bands(print_: str) -> list[int]:
     return keys
 
 
-def near_pairs(prints: DataFrame, least: float = 0.8) -> DataFrame:
-    """(a, b, likeness) of distinct fingerprints at least ``least`` alike that share a band.
+def _compare_members(least: float):
+    """For ``mapInArrow`` over (key, piece, node, fingerprint) sorted by key and piece: edges of verified stars."""
+
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True))
+        for _, run in groupby(rows, key=lambda row: row[:2]):
+            prints = {node: print_ for _, _, node, print_ in run}
+
+            def near(others: np.ndarray, node: int) -> np.ndarray:
+                own = prints[int(node)]
+                return np.fromiter((likeness(prints[x], own) >= least for x in others.tolist()), bool, len(others))
+
+            a, b = linking._stars(np.array(sorted(prints), np.int64), near)
+            if len(a):
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
-    ``prints`` has a column fingerprint. Only the short keys are shuffled for candidates,
-    equal fingerprints are one, and every candidate is verified.
+    return link
+
+
+def links(nodes: DataFrame, space: Workspace, least: float = 0.8) -> DataFrame:
+    """Edges (a, b) that connect all distinct fingerprints at least ``least`` alike that share a band.
+
+    ``nodes`` is a written table (node, fingerprint). Only short keys are shuffled to find bands. Every
+    member of a band is compared with the smallest one, and a band whose members are all near it is done,
+    at a row a member. All members of any other band are compared by blocks, a task holding two of them.
     """
 
     @F.arrow_udf("array<long>")
     def keys(values: pa.Array) -> pa.Array:
         return pa.array([bands(x) for x in values.to_pylist()], pa.list_(pa.int64()))
 
-    distinct = prints.select("fingerprint").filter("fingerprint is not null").distinct()
-    entries = distinct.select("fingerprint", F.explode(keys("fingerprint")).alias("key"))
+    entries = space.keep(nodes.select(F.explode(keys("fingerprint")).alias("key"), "node"), "entries")
+    # written, so that a hot band is split over the tasks of the join
+    hubs = space.keep(
+        entries.groupBy("key").agg(F.min("node").alias("hub"), F.count("*").alias("members")).filter("members > 1"), "hubs"
+    )
+    spokes = entries.join(hubs, "key").filter("node <> hub")
+    prints = nodes.select("node", "fingerprint")
     pairs = (
-        entries.select(F.col("fingerprint").alias("a"), "key")
-        .join(entries.select(F.col("fingerprint").alias("b"), "key"), "key")
-        .filter("a < b")
-        .select("a", "b")
+        spokes.select("node", "hub")
         .distinct()
+        .join(prints, "node")
+        .join(prints.select(F.col("node").alias("hub"), F.col("fingerprint").alias("other")), "hub")
+        .select("node", "hub", (likenesses(F.col("fingerprint"), F.col("other")) >= least).alias("near"))
+    )
+    pairs = space.keep(pairs, "pairs")
+    edges = pairs.filter("near").select(F.col("node").alias("a"), F.col("hub").alias("b"))
+    apart = spokes.join(pairs.filter("not near"), ["node", "hub"], "left_semi").select("key").distinct()
+    blocks = F.ceil(F.col("members") / linking.BLOCK).cast("int").alias("blocks")
+    open_bands = space.keep(hubs.join(apart, "key", "left_semi").select("key", blocks), "open-bands")
+    if open_bands.isEmpty():
+        return edges
+    members = entries.join(open_bands, "key", "left_semi")
+    pieces = linking.split_large_keys(members, open_bands.filter("blocks > 1"))
+    compared = (
+        pieces.join(prints, "node")
+        .select("key", "piece", "node", "fingerprint")
+        .repartition("key", "piece")
+        .sortWithinPartitions("key", "piece")
+        .mapInArrow(_compare_members(least), linking.EDGES)
+    )
+    return edges.unionByName(compared)
+
+
+def classes(docs: DataFrame, least: float = 0.8) -> DataFrame:
+    """(doc_id, fingerprint, class_id) of every row: texts reachable over likenesses of at least ``least``.
+
+    class_id is the smallest doc_id of the class. Copies share a fingerprint and are never paired.
+    """
+    space = Workspace(docs.sparkSession, "edit-classes")
+    rows = space.keep(docs.select(F.col("doc_id").cast("long"), fingerprints(F.col("text")).alias("fingerprint")), "rows")
+    distinct = rows.groupBy("fingerprint").agg(F.min("doc_id").alias("least"))
+    nodes = space.keep(distinct.select(F.xxhash64("fingerprint").alias("node"), "fingerprint", "least"), "nodes")
+    roots = space.keep(linking.components(links(nodes, space, least), space), "roots")
+    # written, so that joins with the one root of a large class or one repeated text can be split
+    named = space.keep(roots.join(nodes, "node").groupBy("root").agg(F.min("least").alias("class_id")), "named")
+    joined = roots.join(named, "root").select("node", "class_id")
+    of_nodes = space.keep(
+        nodes.join(joined, "node", "left").select("node", F.coalesce("class_id", "least").alias("class_id")), "classes"
+    )
+    return (
+        rows.withColumn("node", F.xxhash64("fingerprint"))
+        .join(of_nodes, "node")
+        .select("doc_id", "fingerprint", "class_id")
     )
-    return pairs.withColumn("likeness", likenesses(F.col("a"), F.col("b"))).filter(F.col("likeness") >= least)
 
 
 COMPARED = (
