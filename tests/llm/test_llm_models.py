@@ -151,6 +151,33 @@ def test_few_frequent_bigrams_change_nothing(spark, monkeypatch):
     assert all(got[d] == pytest.approx(s) and joined[d] == pytest.approx(s) for d, (_, s) in want.items())
 
 
+@pytest.mark.parametrize("size", [None, 12])
+def test_hot_bigrams_come_to_no_bucket(spark, monkeypatch, size):
+    # with four frequent ids, bigrams of other words fill buckets unless they are counted ahead
+    monkeypatch.setattr(backoff_lm, "FREQUENT", 4)
+    monkeypatch.setattr(backoff_lm, "HOT", 20)
+    docs = [(i, prose(i, 30) + (" low water" if i % 2 else "")) for i in range(60)]
+    df = spark.createDataFrame(docs, SCHEMA).repartition(3)
+    dealt = []
+    whole = backoff_lm._deal
+
+    def deal(shared, buckets):
+        dealt.append(shared.value)
+        return whole(shared, buckets)
+
+    monkeypatch.setattr(backoff_lm, "_deal", deal)
+    got = {r["doc_id"]: r["log_score"] for r in backoff_lm.scores(df, size).collect()}
+    want = brute_scores(docs, 10**9 if size is None else size)
+    assert all(got[d] == pytest.approx(s) for d, (_, s) in want.items())
+    (model,) = dealt
+    pairs = Counter()
+    for _, text in docs:
+        first, second = model.frequent_bigrams([text])
+        pairs.update(zip(first.tolist(), second.tolist(), strict=True))
+    ahead = {p for p in pairs if model.ahead(np.array([p[0]]), np.array([p[1]]))[0] >= 0}
+    assert len(model.hot) > 0 and all(n < 20 for p, n in pairs.items() if p not in ahead and min(p) >= 0)
+
+
 def test_no_documents(spark):
     assert backoff_lm.scores(spark.createDataFrame([], SCHEMA)).count() == 0
     assert backoff_relational.scores(spark.createDataFrame([], SCHEMA)).count() == 0

@@ -6,8 +6,9 @@ grows with the corpus. Every document's bigrams are dealt to buckets by a hash;
 holds all occurrences of its bigrams, so its count table and the join with the documents'
 bigrams take one shuffle. The sums go back packed, a portion of documents at a time, and
 are added up there; where a score needs the count of a word without id, the document's
-(word, times) is joined to the table of counts. Bigrams of two very frequent words, the
-only ones that could fill a bucket, are counted ahead in a small table that is broadcast.
+(word, times) is joined to the table of counts. Bigrams of two very frequent words, and any
+other one that stands ``HOT`` times or more, are counted ahead in small tables that are
+broadcast and come to no bucket, so a bucket's size does not grow with the corpus.
 With a ``vocabulary_size`` the model is closed: words without id are one unknown word.
 
 The score of a word w after c is others(c w) / count(c), where ``others`` leaves out
@@ -49,6 +50,8 @@ VOCABULARY = 65_535
 FREQUENT = 512
 #: Bigrams a bucket holds on average.
 BUCKET = 2_000_000
+#: Occurrences from which any bigram is counted ahead; there are at most words / ``HOT`` such bigrams.
+HOT = 8_000_000
 #: Distinct words a task counts before it hands them on.
 COUNTED = 500_000
 #: Documents whose bigrams travel together.
@@ -131,6 +134,9 @@ class Model:
         self.words = int(counts[:-1].sum())
         self.size = FREQUENT
         self.frequent: np.ndarray | None = None
+        self.often = HOT
+        #: other bigrams that are counted ahead, sorted, and their counts
+        self.hot = self.hot_counts = np.zeros(0, np.int64)
 
     def is_frequent(self, numbers: np.ndarray) -> np.ndarray:
         """Ids follow the frequency of words, so the frequent ones are the smallest; hashes are negative."""
@@ -141,6 +147,25 @@ class Model:
         both = self.is_frequent(first) & self.is_frequent(second)
         return np.where(both, np.minimum(first, self.size - 1) * self.size + np.minimum(second, self.size - 1), -1)
 
+    def pair(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        return first * len(self.counts) + second
+
+    def may_be_hot(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        """A bigram stands no more often than either word."""
+        often = self.counts >= self.often
+        both = (first >= 0) & (second >= 0) & (self.dense(first, second) < 0)
+        return both & often[np.maximum(first, 0)] & often[np.maximum(second, 0)]
+
+    def ahead(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        """Counts of the bigrams that are counted ahead, -1 for others."""
+        place = self.dense(first, second)
+        n = np.where(place >= 0, self.frequent[place], -1)
+        if len(self.hot):
+            pair = self.pair(first, second)
+            at = np.minimum(np.searchsorted(self.hot, pair), len(self.hot) - 1)
+            n = np.where((self.hot[at] == pair) & (first >= 0) & (second >= 0), self.hot_counts[at], n)
+        return n
+
     def number(self, word: str) -> int:
         found = self.ids.get(word)
         return found if found is not None else 0 if self.closed else hashed(word)
@@ -216,6 +241,21 @@ def _count_frequent(shared) -> Callable:
     return count
 
 
+def _count_hot(shared) -> Callable:
+    """For ``mapInArrow``: (pair, n) of bigrams of words that are frequent enough, by portions."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        for batch in batches:
+            for some in portions(batch, "text", TOGETHER):
+                first, second = model.frequent_bigrams(some.column("text").to_pylist())
+                hot = model.may_be_hot(first, second)
+                pair, n = np.unique(model.pair(first[hot], second[hot]), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(pair), pa.array(n)], names=["pair", "n"])
+
+    return count
+
+
 def _deal(shared, buckets: int) -> Callable:
     """For ``mapInArrow``: (doc_id, text) to rows of many documents' bigrams of one bucket.
 
@@ -227,11 +267,11 @@ def _deal(shared, buckets: int) -> Callable:
     def rows(model: Model, docs: list, texts: list) -> Iterator[tuple]:
         ids = np.array(docs, np.int64)
         row, first, second, times = model.bigrams(texts)
-        place = model.dense(first, second)
-        ready = place >= 0
+        ahead = model.ahead(first, second)
+        ready = ahead >= 0
         if ready.any():
             own = times[ready]
-            logs = own * model.log_scores(first[ready], second[ready], model.frequent[place[ready]] - own)[0]
+            logs = own * model.log_scores(first[ready], second[ready], ahead[ready] - own)[0]
             sums, n = (np.bincount(row[ready], x, len(docs)) for x in (logs, own))
             some = np.flatnonzero(n)
             yield int(ids[some[0]] % buckets), ids[some], n[some].astype(np.int32), None, None, None, sums[some]
@@ -383,6 +423,12 @@ def scores(docs: DataFrame, vocabulary_size: int | None = None) -> DataFrame:
     model.frequent = np.zeros(FREQUENT * FREQUENT, np.int64)
     for pair, n in frequent.collect():
         model.frequent[pair] = n
+    often = np.flatnonzero(table >= HOT)
+    if not model.is_frequent(often).all():
+        hot = texts.mapInArrow(_count_hot(spark.sparkContext.broadcast(model)), "pair long, n long")
+        # at most words / HOT rows
+        found = sorted(map(tuple, hot.groupBy("pair").agg(F.sum("n").alias("n")).filter(F.col("n") >= HOT).collect()))
+        model.hot, model.hot_counts = np.array(found, np.int64).reshape(-1, 2).T.copy()
     shared = spark.sparkContext.broadcast(model)
 
     missing = -(2**63)
