@@ -29,6 +29,31 @@ def test_day_range_is_inclusive(spark):
     assert offline.daily_stats(lake(spark, rows), "2026-01-03", "2026-01-05").count() == 3
 
 
+def test_gathered_statistics_equal_those_aggregated_where_they_are_read(spark, conf):
+    conf("spark.sql.shuffle.partitions", "3")
+    rng = random.Random(8)
+    rows = [(None, "d0", {"t": 1.0}), (None, "d0", {"t": 3.0}), (date(2026, 1, 1), None, {"t": 2.0, "h": None}),
+            (date(2026, 1, 1), "d0", None), (date(2026, 1, 1), "d0", {}), (date(2026, 1, 1), "d0", {"n": float("nan")})]
+    for _ in range(400):
+        day = date(2026, 1, 1) + timedelta(days=rng.randrange(70))
+        rows += 2 * [(day, f"d{rng.randrange(4)}", {"t": rng.gauss(1e6, 1), "h": float(rng.randrange(3))})]
+    table = lake(spark, rows)
+
+    def found(df):
+        return sorted(tuple("" if v is None else f"{v:.5f}" if isinstance(v, float) else str(v) for v in r)
+                      for r in df.collect())
+
+    plain = offline.daily_stats(table)
+    for unit in ("week", "month"):
+        gathered = offline.daily_stats(table, gather=unit)
+        assert gathered.schema.simpleString() == plain.schema.simpleString()
+        assert found(gathered) == found(plain)
+        assert found(offline.trend(gathered, unit)) == found(offline.trend(plain, unit))
+        assert found(offline.thresholds(gathered)) == found(offline.thresholds(plain))
+    some = offline.daily_stats(table, "2026-01-03", "2026-02-05", gather="month")
+    assert found(some) == found(offline.daily_stats(table, "2026-01-03", "2026-02-05"))
+
+
 def test_thresholds_equal_statistics_over_all_days(spark):
     rng = random.Random(5)
     rows, values = [], []

@@ -74,6 +74,40 @@ def test_thresholds_add_one_shuffle_of_daily_rows(spark, sf_dir):
     assert shuffles(offline.thresholds(offline.daily_stats(lake))) == 2
 
 
+def written(df):
+    """Bytes and rows of each shuffle of a run, from the last to the first."""
+    plan, found = df._jdf.queryExecution().executedPlan(), []
+    df.collect()
+    parts = [plan.executedPlan()]
+    while parts:
+        node = parts.pop(0)
+        if node.nodeName() == "Exchange":
+            held = node.metrics()
+            found.append((held.apply("shuffleBytesWritten").value(), held.apply("shuffleRecordsWritten").value()))
+        below = [node.plan()] if node.nodeName().endswith("QueryStage") else []
+        parts += below + [node.children().apply(i) for i in range(node.children().size())]
+    return found
+
+
+@pytest.mark.parametrize("name", ["thresholds"])
+def test_few_messages_a_device_and_day_are_shuffled_whole(spark, name, tmp_path):
+    from tidegauge.plans.queries import QUERIES
+
+    tables = {
+        "nation": spark.sql("select 1L as n_nationkey, 'N' as n_name"),
+        "supplier": spark.range(50).selectExpr("id as s_suppkey", "1L as s_nationkey"),
+        "lineitem": spark.range(2000).selectExpr(
+            "id % 50 as l_suppkey", "timestamp_ntz'2026-01-01' + make_interval(0, 0, 0, id % 31) as l_shipdate",
+            "'A' as l_returnflag", "double(id) as l_quantity", "double(id) as l_extendedprice", "0.1d as l_discount",
+            "0.2d as l_tax",
+        ),
+    }
+    for table, rows in tables.items():
+        rows.write.parquet(f"{tmp_path}/{table}.parquet")
+    # a row per message, not one per reading with the states of all its aggregates
+    assert written(QUERIES[name](spark, str(tmp_path)))[-1][1] == 2000
+
+
 def test_day_filters_reach_the_lake_partitions(spark, tmp_path):
     path = str(tmp_path / "lake")
     rows = spark.sql(

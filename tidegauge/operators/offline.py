@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -14,19 +14,50 @@ from tidegauge.settings import MIN_STD
 SERIES = ("device_id", "metric")
 
 
-def daily_stats(lake: DataFrame, since: str | None = None, until: str | None = None) -> DataFrame:
+def daily_stats(
+    lake: DataFrame, since: str | None = None, until: str | None = None, gather: str | None = None
+) -> DataFrame:
     """Count, mean and sample std per day, device and metric.
 
     ``since`` and ``until`` (both inclusive days) prune lake partitions.
+
+    Readings are aggregated where they are read, so that a series with many readings a day
+    is shuffled as a few rows. Where devices send few messages a day that shrinks nothing,
+    and each reading is hashed and shuffled as a wide state. ``gather``, a unit of time such
+    as "month", is for such a lake: messages are shuffled whole, each once, by device and
+    unit, and the readings of a day are sorted together. A trend by that unit or a longer one
+    then merges days before it shuffles them.
     """
     if since is not None:
         lake = lake.filter(F.col("dt") >= F.lit(since).cast("date"))
     if until is not None:
         lake = lake.filter(F.col("dt") <= F.lit(until).cast("date"))
+    aggregates = {"n": F.count("*"), "mean": F.avg("value"), "stddev": F.stddev("value")}
+    if gather is not None:
+        return _gathered_stats(lake, gather, aggregates)
     rows = explode_metrics(lake, carry=("dt", "device_id"), drop_null_values=True)
-    return rows.groupBy("dt", *SERIES).agg(
-        F.count("*").alias("n"), F.avg("value").alias("mean"), F.stddev("value").alias("stddev")
+    return rows.groupBy("dt", *SERIES).agg(*(c.alias(name) for name, c in aggregates.items()))
+
+
+def _gathered_stats(lake: DataFrame, unit: str, aggregates: dict[str, Column]) -> DataFrame:
+    """The aggregates per day and series, without a map of all days and series in a task.
+
+    The number of tasks is given, because Spark would make them by the size of the messages,
+    which is far less than that of the readings sorted.
+    """
+    tasks = int(lake.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    messages = lake.select("dt", "device_id", "metrics", F.date_trunc(unit, F.col("dt")).alias("unit"))
+    messages = messages.repartition(tasks, "device_id", "unit")
+    rows = explode_metrics(messages, carry=("unit", "dt", "device_id"), drop_null_values=True)
+    day = Window.partitionBy("device_id", "unit", "metric", "dt").orderBy("value")
+    whole = day.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    placed = rows.select(
+        "dt",
+        *SERIES,
+        *(c.over(whole).alias(name) for name, c in aggregates.items()),
+        F.row_number().over(day).alias("place"),
     )
+    return placed.filter(F.col("place") == 1).drop("place")
 
 
 def trend(daily: DataFrame, unit: str = "month") -> DataFrame:

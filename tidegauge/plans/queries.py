@@ -378,7 +378,7 @@ def trend_weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fx.plain(offline.thresholds(offline.daily_stats(_lake(spark, sf_dir)), k=2.0), 4)
+    return fx.plain(offline.thresholds(offline.daily_stats(_lake(spark, sf_dir), gather="month"), k=2.0), 4)
 
 
 @query
