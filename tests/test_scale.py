@@ -89,7 +89,7 @@ def written(df):
     return found
 
 
-@pytest.mark.parametrize("name", ["thresholds"])
+@pytest.mark.parametrize("name", ["thresholds", "trend_rollup", "offline_stats"])
 def test_few_messages_a_device_and_day_are_shuffled_whole(spark, name, tmp_path):
     from tidegauge.plans.queries import QUERIES
 
@@ -108,6 +108,18 @@ def test_few_messages_a_device_and_day_are_shuffled_whole(spark, name, tmp_path)
     assert written(QUERIES[name](spark, str(tmp_path)))[-1][1] == 2000
 
 
+def test_days_of_a_month_are_merged_before_a_trend_shuffles_them(spark, conf):
+    rows = spark.range(0, 6000, 1, 8).selectExpr(
+        "date_add(date'2026-01-01', cast(id % 59 as int)) as dt",
+        "concat('d', id div 59 % 10) as device_id",
+        "map('t', cast(id as double), 'h', 1d) as metrics",
+    )
+    daily = offline.daily_stats(rows, gather="month")
+    assert daily.count() == 59 * 10 * 2
+    months, messages = written(offline.trend(daily, "month"))
+    assert (months[1], messages[1]) == (2 * 10 * 2, 6000)
+
+
 def test_day_filters_reach_the_lake_partitions(spark, tmp_path):
     path = str(tmp_path / "lake")
     rows = spark.sql(

@@ -347,7 +347,7 @@ def _event_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def offline_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fx.plain(offline.daily_stats(_lake(spark, sf_dir)))
+    return fx.plain(offline.daily_stats(_lake(spark, sf_dir), gather="month"))
 
 
 @query
@@ -368,7 +368,7 @@ def offline_stats_from_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def trend_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fx.plain(offline.trend(offline.daily_stats(_lake(spark, sf_dir)), "month"))
+    return fx.plain(offline.trend(offline.daily_stats(_lake(spark, sf_dir), gather="month"), "month"))
 
 
 @query
